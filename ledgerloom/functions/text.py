@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: White space of any kind, format characters (zero width, soft hyphen, marks), controls and the two marks.
-BLANKS_AND_MARKS = r"(?U)[\s\p{Z}\p{Cf}\p{Cc}™®]+"
-INVISIBLE_AND_MARKS = r"[​‌‍﻿™®]"
+BLANKS_AND_MARKS = r"(?U)[\s\p{Z}\p{Cf}\p{Cc}\u2122\u00AE]+"
+INVISIBLE_AND_MARKS = r"[\u200B-\u200D\uFEFF\u2122\u00AE]"
 
 
 def text_or_empty(c: Column) -> Column:

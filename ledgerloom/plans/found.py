@@ -4,11 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from ledgerloom.operators.history import listing_versions
+from ledgerloom.operators.moments import normalise_moments
+from ledgerloom.operators.packed import unpack
 from ledgerloom.operators.snapshot_diff import ledger_changes
 from ledgerloom.session import table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    firmware = table(spark, sf_dir, "ap_firmware").select("row_id", F.lit("ap_firmware").alias("name"), F.col("supported_fw_versions").alias("cell"))
+    notices = table(spark, sf_dir, "eos_notices").select("row_id", F.lit("eos_notices").alias("name"), F.col("replacement_product").alias("cell"))
+    found = unpack(firmware.unionByName(notices), F.col("name"), "cell", ["row_id"])
+    return found.select(F.col("source").alias("source_table"), "row_id", F.col("pos").cast("int").alias("pos"), "val")
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listings = table(spark, sf_dir, "listings")
+    newest = listings.agg(F.max("scan_no")).head()[0]
+    dated = [
+        listings.where(F.col("scan_no") == newest).select(F.lit("listings").alias("name"), "row_id", F.col("page").alias("source"), F.col("date").alias("value"), F.lit("UTC").alias("zone")),
+        *[
+            table(spark, sf_dir, name).select(F.lit(name).alias("name"), "row_id", F.col("publisher_zone").alias("source"), F.col(field).alias("value"), F.col("publisher_zone").alias("zone"))
+            for name, field in (("recommendations", "recommendation_effective_date"), ("eos_notices", "end_of_sale"))
+        ],
+    ]
+    rows = dated[0].unionByName(dated[1]).unionByName(dated[2])
+    return normalise_moments(rows, F.col("name"), F.col("source"), F.col("row_id"), F.col("value"), F.col("zone"), ["row_id"])
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listing_versions(table(spark, sf_dir, "listings"))
 
@@ -18,7 +43,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p3_found": p3_found, "p4_found": p4_found}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found}
 
 
 _KEYED = """
@@ -85,4 +110,4 @@ WHERE scan_no BETWEEN 2 AND (SELECT max(scan_no) FROM listings) AND (was_ IS NUL
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p3_found": P3_SQL, "p4_found": P4_SQL}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": P3_SQL, "p4_found": P4_SQL}

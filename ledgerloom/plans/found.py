@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.drift import schema_changes, unified
 from ledgerloom.operators.history import listing_versions
 from ledgerloom.operators.moments import normalise_moments
 from ledgerloom.operators.packed import unpack
@@ -42,8 +43,17 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger_changes(table(spark, sf_dir, "listings"), table(spark, sf_dir, "snapshots"))
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schema_changes(table(spark, sf_dir, "support_rows")).withColumnRenamed("file", "file_id")
+
+
+def p6_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "support_rows")
+    return unified(rows, schema_changes(rows), ["row_id"]).withColumnRenamed("file", "file_id")
+
+
 def queries() -> dict:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_unified": p6_unified}
 
 
 _KEYED = """

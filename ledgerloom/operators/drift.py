@@ -8,6 +8,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ledgerloom.session import cut_lineage
@@ -36,28 +37,42 @@ def json_kind(variant: Column) -> Column:
     )
 
 
-def cells_of(records: DataFrame, file: str, record: str, keep: list[str]) -> DataFrame:
-    """Long form of JSON records: file, line (a fingerprint of the record), the columns in `keep`, name, kind, val.
+def fields_of(record: Column) -> Column:
+    """The fields of one JSON record as an array of (name, kind, val); NULL for what is no JSON object.
 
-    Values of kind NULL are kept, since any row with a heading makes it a field of the file. Records that are no JSON
-    object give no cells.
+    Values of kind NULL are kept, since any row with a heading makes it a field of the file. Of headings with the same
+    normal form in one record, the first with a value counts.
     """
-    fields = F.from_json(F.col(record), "map<string, variant>")
-    line = F.xxhash64(F.col(record))
-    cells = records.select(F.col(file).alias("file"), line.alias("line"), *keep, F.explode(fields).alias("raw", "value"))
-    kind = json_kind(F.col("value"))
-    text = F.when(kind == "text", F.col("value").cast("string")).otherwise(F.to_json("value"))
-    return cells.select("file", "line", *keep, heading(F.col("raw")).alias("name"), kind.alias("kind"), F.when(kind.isNotNull(), text).alias("val"))
-
-
-def _matched(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Maximum-weight one-to-one matching of gone and come columns of one file pair, over pairs that qualify."""
-    gone, come = sorted(set(pdf["old_name"])), sorted(set(pdf["new_name"]))
-    weight = {(r.old_name, r.new_name): r.carried + NAME_WEIGHT * SequenceMatcher(None, r.old_name, r.new_name).ratio() for r in pdf.itertuples()}
+    entries = F.map_entries(F.from_json(record, "map<string, variant>"))
+
+    def field(entry: Column) -> Column:
+        kind = json_kind(entry["value"])
+        text = F.when(kind == "text", entry["value"].cast("string")).when(kind.isNotNull(), F.to_json(entry["value"]))
+        return F.struct(heading(entry["key"]).alias("name"), kind.alias("kind"), text.alias("val"))
+
+    return F.transform(entries, field)
+
+
+def value_of(fields: Column, name: Column) -> Column:
+    return F.get(F.filter(fields, lambda f: (f["name"] == name) & f["val"].isNotNull()), F.lit(0))["val"]
+
+
+_PAIRS = T.ArrayType(T.StructType([T.StructField("old_name", T.StringType()), T.StructField("new_name", T.StringType())]))
+
+
+@F.pandas_udf(_PAIRS)
+def _matched(candidates: pd.Series) -> pd.Series:
+    """Maximum-weight one-to-one matching of the gone and come columns of each file, over the pairs that qualify."""
+    return pd.Series([match_columns([(c["old_name"], c["new_name"], c["carried"]) for c in some]) for some in candidates], dtype="object")
+
+
+def match_columns(candidates: list[tuple[str, str, float]]) -> list[dict]:
+    weight = {(g, c): carried + NAME_WEIGHT * SequenceMatcher(None, g, c).ratio() for g, c, carried in candidates}
+    gone, come = sorted({g for g, _ in weight}), sorted({c for _, c in weight})
     n, big = max(len(gone), len(come)), 10.0
-    cost = [[big - weight[g, c] if i < len(gone) and j < len(come) and (g := gone[i], c := come[j]) and (g, c) in weight else big for j in range(n)] for i in range(n)]
-    rows = [(gone[i], come[j]) for i, j in enumerate(assignment(cost)) if i < len(gone) and j < len(come) and (gone[i], come[j]) in weight]
-    return pd.DataFrame({"file": pdf["file"].iloc[0], "old_name": [a for a, _ in rows], "new_name": [b for _, b in rows]})
+    cost = [[big - weight.get((gone[i], come[j]), 0.0) if i < len(gone) and j < len(come) else big for j in range(n)] for i in range(n)]
+    pairs = [(gone[i], come[j]) for i, j in enumerate(assignment(cost)) if i < len(gone) and j < len(come)]
+    return [{"old_name": g, "new_name": c} for g, c in pairs if (g, c) in weight]
 
 
 def assignment(cost: list[list[float]]) -> list[int]:
@@ -98,70 +113,122 @@ def assignment(cost: list[list[float]]) -> list[int]:
     return chosen
 
 
+def _files(rows: DataFrame) -> DataFrame:
+    """Each file with the file before and after it in its series."""
+    in_time = Window.partitionBy("series").orderBy("scan", "file")
+    files = rows.groupBy("file").agg(F.min("series").alias("series"), F.min("scan").alias("scan"))
+    return files.select("file", F.lag("file").over(in_time).alias("before"), F.lead("file").over(in_time).alias("next"))
+
+
+def column_profiles(lines: DataFrame) -> DataFrame:
+    """lines(file, fields) -> file, name, profile(kinds, identifies, values).
+
+    values is a theta sketch of the column's distinct values. A column identifies rows if no value occurs twice and at
+    least nine tenths of the lines have one; that is counted exactly.
+    """
+    cells = lines.select("file", F.explode("fields").alias("f")).select("file", "f.*")
+    bags = cells.groupBy("file", "name", "kind", "val").agg(F.count("*").alias("lines"))
+    filled = F.when(F.col("kind").isNotNull(), F.col("lines"))
+    return bags.groupBy("file", "name").agg(
+        F.struct(
+            F.array_sort(F.collect_set("kind")).alias("kinds"),
+            ((F.max(filled) == 1) & (F.sum(filled) >= 0.9 * F.sum("lines"))).alias("identifies"),
+            F.theta_sketch_agg("val").alias("values"),
+        ).alias("profile")
+    )
+
+
+def _anchor(same: Column, gone: Column, come: Column) -> Column:
+    """The pair of identifying columns with the most common values by their sketches: struct(n, kept, old_name, new_name)."""
+
+    def link(a: Column, b: Column, kept: bool) -> Column:
+        common = F.theta_sketch_estimate(F.theta_intersection(a["profile"]["values"], b["profile"]["values"]))
+        return F.struct(common.alias("n"), F.lit(kept).alias("kept"), a["name"].alias("old_name"), b["name"].alias("new_name"))
+
+    known = lambda column: F.filter(column, lambda c: c["profile"]["identifies"])
+    stayed = F.transform(
+        F.filter(same, lambda c: c["was"]["identifies"] & c["now"]["identifies"]),
+        lambda c: link(F.struct(c["name"].alias("name"), c["was"].alias("profile")), F.struct(c["name"].alias("name"), c["now"].alias("profile")), True),
+    )
+    moved = F.flatten(F.transform(known(gone), lambda g: F.transform(known(come), lambda c: link(g, c, False))))
+    return F.array_max(F.concat(stayed, moved))
+
+
 def schema_changes(records: DataFrame, file: str = "file_id", series: str = "table_name", scan: str = "scan_no", record: str = "record") -> DataFrame:
     """Changes of each file against the file of its series at the nearest earlier scan: file, change, old_name, new_name.
 
-    Each column is profiled by its kinds and by its bag of distinct values with their counts (a full value sketch). Rows
-    of two files are aligned on the pair of columns that identify rows in both and share most values; a column that is
-    gone and one that has come qualify as a rename if nearly all aligned rows with both values carry the value over.
-    Qualified pairs are matched one to one. Everything is joined on values or rows, so neither a large file nor a series
-    that holds a third of all rows ends in one task; only column pairs (bounded by a file's width) are gathered.
-    Repeated rows count once; rows without a file or a scan are left out; files without readable records have no fields;
-    an empty table gives no rows; keys of a record may clash with column names.
+    Each column is profiled by kinds, by whether it identifies rows, and by a sketch of its values. Where columns are
+    gone and others have come, rows of the two files are aligned on the identifying pair of columns that shares most
+    values; a gone and a come column qualify as a rename if nearly all aligned rows with both values carry them over,
+    which is counted over all rows. Qualified pairs are matched one to one, names deciding between equals.
+
+    Rows meet on (file, identifying value), so neither a large file nor a series that holds a third of all rows ends in
+    one task; what is gathered per file is its columns. Without an identifying pair nothing counts as renamed. Repeated
+    rows count once; rows without a file or a scan are left out; records that are no JSON object have no fields; files
+    without fields are compared like others; an empty table gives no rows; keys of a record may clash with column names.
     """
-    clean = records.select(F.col(file).alias("file"), F.col(series).alias("series"), F.col(scan).alias("scan"), F.col(record).alias("record")).where(
+    rows = records.select(F.col(file).alias("file"), F.col(series).alias("series"), F.col(scan).alias("scan"), F.col(record).alias("record")).where(
         F.col("file").isNotNull() & F.col("scan").isNotNull()
     )
-    cells = cut_lineage(cells_of(clean.select("file", "record"), "file", "record", []))
-    files = clean.groupBy("file").agg(F.min("series").alias("series"), F.min("scan").alias("scan"))
-    in_time = Window.partitionBy("series").orderBy("scan", "file")
-    pairs = files.select("file", F.lag("file").over(in_time).alias("before")).where(F.col("before").isNotNull())
+    lines = cut_lineage(rows.select("file", F.array_sort(fields_of(F.col("record"))).alias("fields")).distinct())
+    files = _files(rows)
 
-    bags = cells.groupBy("file", "name", "kind", "val").agg(F.count_distinct("line").alias("lines"))
-    lines = cells.groupBy("file").agg(F.count_distinct("line").alias("all_lines"))
-    fields = cut_lineage(
-        bags.groupBy("file", "name")
+    placed = column_profiles(lines).join(files.hint("merge"), "file")
+    none = F.lit(None)
+    kind = "struct<kinds:array<string>,identifies:boolean,values:binary>"
+    ends = F.array(
+        F.struct(F.when(F.col("before").isNotNull(), F.col("file")).alias("file"), none.cast(kind).alias("was"), F.col("profile").alias("now")),
+        F.struct(F.col("next").alias("file"), F.col("profile").alias("was"), none.cast(kind).alias("now")),
+    )
+    sides = placed.select("name", F.explode(ends).alias("end")).select("end.file", "name", "end.was", "end.now").where(F.col("file").isNotNull())
+    sides = sides.groupBy("file", "name").agg(F.max("was").alias("was"), F.max("now").alias("now"))
+    is_gone, is_come = F.col("now").isNull(), F.col("was").isNull()
+    other = (F.size("was.kinds") > 0) & (F.size("now.kinds") > 0) & (F.col("was.kinds") != F.col("now.kinds"))
+    pairs = cut_lineage(
+        sides.groupBy("file")
         .agg(
-            F.array_sort(F.collect_set("kind")).alias("kinds"),
-            F.sum(F.when(F.col("kind").isNotNull(), F.col("lines")).otherwise(0)).alias("filled"),
-            F.max(F.when(F.col("kind").isNotNull(), F.col("lines"))).alias("most"),
+            F.collect_list(F.when(is_gone, F.struct("name", F.col("was").alias("profile")))).alias("gone"),
+            F.collect_list(F.when(is_come, F.struct("name", F.col("now").alias("profile")))).alias("come"),
+            F.collect_list(F.when(~is_gone & ~is_come, F.struct("name", "was", "now"))).alias("same"),
+            F.collect_list(F.when(other, F.col("name"))).alias("retyped"),
         )
-        .join(lines, "file")
-        .withColumn("identifies", (F.col("most") == 1) & (F.col("filled") >= 0.9 * F.col("all_lines")))
+        .join(files.where("before IS NOT NULL").select("file", "before").hint("merge"), "file")
+        .withColumn("anchor", F.when((F.size("gone") > 0) & (F.size("come") > 0), _anchor(F.col("same"), F.col("gone"), F.col("come"))))
+        .select("file", "before", F.col("gone.name").alias("gone"), F.col("come.name").alias("come"), "retyped", "anchor")
     )
 
-    # Each field once as a field of its own file and once as a field of the file before the next one: one shuffle by (file, name).
-    now = fields.join(pairs.select("file"), "file").select("file", "name", F.struct("kinds", "identifies").alias("now"), F.lit(None).cast("struct<kinds:array<string>,identifies:boolean>").alias("was"))
-    was = fields.withColumnRenamed("file", "before").join(pairs, "before").select("file", "name", F.lit(None).cast("struct<kinds:array<string>,identifies:boolean>").alias("now"), F.struct("kinds", "identifies").alias("was"))
-    sides = cut_lineage(now.unionByName(was).groupBy("file", "name").agg(F.max("now").alias("now"), F.max("was").alias("was")))
-    gone = sides.where("now IS NULL").select("file", F.col("name").alias("old_name"), F.col("was.identifies").alias("old_id"))
-    come = sides.where("was IS NULL").select("file", F.col("name").alias("new_name"), F.col("now.identifies").alias("new_id"))
-    retyped = sides.where("size(was.kinds) > 0 AND size(now.kinds) > 0 AND was.kinds <> now.kinds").select("file", F.lit("retyped").alias("change"), F.col("name").alias("old_name"), F.col("name").alias("new_name"))
-
-    candidates = gone.join(come, "file")
-    torn = candidates.select("file").distinct()
-    same = sides.join(torn, "file").where("was.identifies AND now.identifies").select("file", F.col("name").alias("old_name"), F.col("name").alias("new_name"))
-    anchors = same.unionByName(candidates.where("old_id AND new_id").select("file", "old_name", "new_name")).join(pairs, "file")
-    old_cells = cells.where("val IS NOT NULL").select(F.col("file").alias("before"), F.col("name").alias("old_name"), F.col("line").alias("old_line"), F.col("val").alias("old_val")).distinct()
-    new_cells = cells.where("val IS NOT NULL").select("file", F.col("name").alias("new_name"), F.col("line").alias("new_line"), F.col("val").alias("new_val")).distinct()
-    linked = anchors.join(old_cells, ["before", "old_name"]).join(new_cells.withColumnRenamed("new_val", "old_val"), ["file", "new_name", "old_val"])
-    shared = linked.groupBy("file", "before", "old_name", "new_name").agg(F.count("*").alias("n"))
-    ranked = Window.partitionBy("file").orderBy(F.desc("n"), F.desc(F.col("old_name") == F.col("new_name")), "old_name", "new_name")
-    anchor = shared.withColumn("_r", F.row_number().over(ranked)).where("_r = 1").select("file", "before", "old_name", "new_name")
-    rows = linked.join(anchor, ["file", "before", "old_name", "new_name"], "left_semi").select("file", "before", "old_line", "new_line")
-
-    held_before = rows.join(gone.select("file", "old_name"), "file").join(old_cells, ["before", "old_name", "old_line"])
-    both = held_before.join(come.select("file", "new_name"), "file").join(new_cells, ["file", "new_name", "new_line"])
-    carried = both.groupBy("file", "old_name", "new_name").agg(F.avg((F.col("old_val") == F.col("new_val")).cast("int")).alias("carried"))
-    renamed = cut_lineage(
-        carried.where(F.col("carried") >= CARRIED)
-        .groupBy("file")
-        .applyInPandas(_matched, carried.select("file", "old_name", "new_name").schema)
+    torn = pairs.where("anchor IS NOT NULL AND anchor.n >= 1").select("file", "before", "gone", "come", "anchor")
+    earlier = lines.withColumnRenamed("file", "before").join(torn.hint("merge"), "before").select(
+        "file",
+        value_of(F.col("fields"), F.col("anchor.old_name")).alias("met"),
+        F.filter("fields", lambda f: f["val"].isNotNull() & F.array_contains("gone", f["name"])).alias("old"),
+    )
+    later = lines.join(torn.hint("merge"), "file").select(
+        "file",
+        value_of(F.col("fields"), F.col("anchor.new_name")).alias("met"),
+        F.filter("fields", lambda f: f["val"].isNotNull() & F.array_contains("come", f["name"])).alias("new"),
+    )
+    aligned = earlier.where(F.col("met").isNotNull()).join(later.where(F.col("met").isNotNull()).hint("merge"), ["file", "met"])
+    held = aligned.select("file", F.explode("old").alias("o"), "new").select("file", "o", F.explode("new").alias("n"))
+    carried = held.groupBy("file", F.col("o.name").alias("old_name"), F.col("n.name").alias("new_name")).agg(
+        F.avg((F.col("o.val") == F.col("n.val")).cast("int")).alias("carried")
+    )
+    qualified = carried.where(F.col("carried") >= CARRIED).groupBy("file").agg(F.array_sort(F.collect_list(F.struct("old_name", "new_name", "carried"))).alias("candidates"))
+    renamed = qualified.select("file", _matched("candidates").alias("renamed"))
+
+    told = pairs.join(renamed.hint("merge"), "file", "left").withColumn("renamed", F.coalesce("renamed", F.array().cast("array<struct<old_name:string,new_name:string>>")))
+
+    def report(change: str, old: Column, new: Column) -> Column:
+        return F.struct(F.lit(change).alias("change"), old.alias("old_name"), new.alias("new_name"))
+
+    blank = F.lit("")
+    changes = F.concat(
+        F.transform("renamed", lambda r: report("renamed", r["old_name"], r["new_name"])),
+        F.transform(F.array_except("come", F.col("renamed.new_name")), lambda c: report("added", blank, c)),
+        F.transform(F.array_except("gone", F.col("renamed.old_name")), lambda g: report("removed", g, blank)),
+        F.transform("retyped", lambda k: report("retyped", k, k)),
     )
-    added = come.join(renamed, ["file", "new_name"], "left_anti").select("file", F.lit("added").alias("change"), F.lit("").alias("old_name"), "new_name")
-    removed = gone.join(renamed, ["file", "old_name"], "left_anti").select("file", F.lit("removed").alias("change"), "old_name", F.lit("").alias("new_name"))
-    moved = renamed.select("file", F.lit("renamed").alias("change"), "old_name", "new_name")
-    return moved.unionByName(added).unionByName(removed).unionByName(retyped)
+    return told.select("file", F.explode(changes).alias("c")).select("file", "c.*")
 
 
 def _lineages(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -193,11 +260,9 @@ def unified(records: DataFrame, changes: DataFrame, keep: list[str], file: str =
     A field keeps one name through all of its renames within a series. What is gathered per series is its headings, not
     its rows.
     """
-    clean = records.where(F.col(file).isNotNull() & F.col(scan).isNotNull())
-    cells = cells_of(clean, file, record, keep)
-    heads = clean.select(F.col(file).alias("file"), F.coalesce(F.col(series), F.lit("")).alias("series"), F.col(scan).alias("scan"), F.col(record).alias("record"))
-    heads = heads.select("file", "series", "scan", F.explode(F.map_keys(F.from_json("record", "map<string, string>"))).alias("raw"))
-    heads = heads.select("file", "series", "scan", heading(F.col("raw")).alias("name")).groupBy("file", "name").agg(F.min("series").alias("series"), F.min("scan").alias("scan"))
+    rows = records.where(F.col(file).isNotNull() & F.col(scan).isNotNull())
+    filled = rows.select(F.col(file).alias("file"), F.coalesce(F.col(series), F.lit("")).alias("series"), F.col(scan).alias("scan"), *keep, F.explode(fields_of(F.col(record))).alias("f"))
+    heads = filled.groupBy("file", F.col("f.name").alias("name")).agg(F.min("series").alias("series"), F.min("scan").alias("scan"))
     moved = changes.where("change = 'renamed'").select("file", "old_name", F.col("new_name").alias("name"))
-    names = heads.join(moved, ["file", "name"], "left").groupBy("series").applyInPandas(_lineages, "file long, name string, field string")
-    return cells.join(names, ["file", "name"]).select("file", *keep, "field", "name", "kind", "val")
+    names = heads.join(moved.hint("merge"), ["file", "name"], "left").groupBy("series").applyInPandas(_lineages, "file long, name string, field string")
+    return filled.select("file", *keep, "f.*").join(names.hint("merge"), ["file", "name"]).select("file", *keep, "field", "name", "kind", "val")

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.canonical import map_to_entries
+from ledgerloom.llm.leaks import find_leaks
+from ledgerloom.llm.packing import pack_texts
+from ledgerloom.llm.subjects import subjects_of
 from ledgerloom.session import table
 
 
@@ -18,8 +21,40 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("source_table", "row_id", "entry_id")
 
 
+def p7_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_texts(table(spark, sf_dir, "documents"))
+
+
+def p7_harmonic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_texts(table(spark, sf_dir, "documents"), harmonic=True)
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_stretches(spark, sf_dir).select("doc_id", "item_id")
+
+
+def p8_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p9_shares(spark, sf_dir).select("doc_id", "subject_id")
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subjects_of(table(spark, sf_dir, "documents"), table(spark, sf_dir, "subjects"), table(spark, sf_dir, "subject_labels"))
+
+
 def queries() -> dict:
-    return {"p5_found": p5_found}
+    return {
+        "p5_found": p5_found,
+        "p7_packed": p7_packed,
+        "p7_harmonic": p7_harmonic,
+        "p8_found": p8_found,
+        "p8_stretches": p8_stretches,
+        "p9_found": p9_found,
+        "p9_shares": p9_shares,
+    }
 
 
 def oracle_sql() -> dict[str, str]:

@@ -42,7 +42,7 @@ def last_segment(c: Column) -> Column:
 
 def extension(c: Column) -> Column:
     """'.pdf' for a path that ends in a short alphanumeric extension, else ''."""
-    return F.regexp_extract(F.lower(decoded(path(c))), r"[^/](\.[a-z0-9]{1,5})$", 1)
+    return F.regexp_extract(F.lower(decoded(path(c))), r"[^/](\.[a-z0-9]{1,5})\z", 1)
 
 
 def area_of(c: Column) -> Column:

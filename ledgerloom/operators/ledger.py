@@ -222,7 +222,17 @@ def fold_best(rows: DataFrame, group: list[str], order: str, latest: str, key: s
     return rows.groupBy(*group).agg(best.alias("b")).select(*group, F.col("b.o").alias(order), F.col("b.p").alias(payload))
 
 
-def fill_forward(df: DataFrame, value: Column, group: list[str], order: list[Column], name: str) -> DataFrame:
-    """The nearest preceding value that is not NULL, in order, within each group."""
-    w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(name, F.last_value(value, ignoreNulls=True).over(w) if hasattr(F, "last_value") else F.last(value, ignorenulls=True).over(w))
+def fill_forward(df: DataFrame, value: Column, group: list[str], order: str, name: str, block: int = 100_000) -> DataFrame:
+    """The nearest preceding value that is not NULL, by an integer order, within each group.
+
+    Rows are filled in blocks of `block` order numbers; what a block starts with is the last value of the blocks before
+    it. So a group that holds a third of all rows is spread over its blocks. Ties of the order take any of their rows.
+    """
+    rows = df.withColumn("_v", value).withColumn("_b", F.floor(F.col(order) / block))
+    inner = Window.partitionBy(*group, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = rows.withColumn("_own", F.last("_v", ignorenulls=True).over(inner))
+    ends = rows.groupBy(*group, "_b").agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col(order))).alias("_end"))
+    before = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*group, "_b", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    joined = filled.join(carried, [*group, "_b"])
+    return joined.select(*df.columns, F.coalesce("_own", "_carried").alias(name))

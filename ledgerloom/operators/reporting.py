@@ -60,7 +60,7 @@ def catalog_numbers(listings: DataFrame, pages: DataFrame, datasheets: DataFrame
 
 def matrix(docs: DataFrame, types: Sequence[str], entry: str = "entry", kind: str = "type") -> DataFrame:
     """One row per entry, one column per type with the number of its documents, 0 where there are none."""
-    wide = docs.groupBy(entry).pivot(kind, list(types)).agg(F.count("*"))
+    wide = docs.groupBy(entry).pivot(kind, list(types)).agg(F.count(F.lit(1)))
     return wide.select(entry, *[F.coalesce(F.col(f"`{t}`"), F.lit(0)).alias(t) for t in types])
 
 
@@ -108,7 +108,7 @@ def recommendation_dates(pages: DataFrame, sites: tuple[str, str] = ("docs-site"
     pages: key, site, title, text.
     """
     said = pages.withColumn("said", stated_date(F.col("text")))
-    wide = said.groupBy("key").pivot("site", list(sites)).agg(F.max("title").alias("title"), F.max("said").alias("said"), F.count("*").alias("n"))
+    wide = said.groupBy("key").pivot("site", list(sites)).agg(F.max("title").alias("title"), F.max("said").alias("said"), F.count(F.lit(1)).alias("n"))
     a, b = sites
     shown = lambda s: F.when(F.col(f"`{s}_n`").isNotNull(), F.coalesce(F.col(f"`{s}_said`"), F.lit("–"))).otherwise("–")
     return wide.select("key", F.coalesce(F.col(f"`{a}_title`"), F.col(f"`{b}_title`")).alias("title"), shown(a).alias("first_date"), shown(b).alias("second_date"))

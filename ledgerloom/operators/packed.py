@@ -89,9 +89,10 @@ def _evidence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 continue
             cover = masked(cell)
             found = [n for n, p in PATTERNS.items() if p.search(cover)]
-            if not any(n in STRONG for n in found):
+            strong = [n for n in found if n in STRONG]
+            if not strong:
                 pieces[source, "", signature(cover)] += 1
-            for name in found:
+            for name in strong or found:  # beside a likely delimiter, an unlikely one proves nothing
                 kinds = [signature(p) for p in PATTERNS[name].split(cover) if p.strip()]
                 if len(kinds) > 1:
                     for kind in kinds:
@@ -104,8 +105,8 @@ def _evidence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def delimiter_scores(cells: DataFrame) -> DataFrame:
     """cells(source, cell) -> source, candidate, regularity, consistency, score, accepted.
 
-    regularity: share of a candidate's pieces whose type also occurs as a whole cell of the source (or is quoted), drawn
-    towards the candidate's prior while few pieces were seen. consistency: 1 / (1 + variation of the piece count).
+    regularity: share of a candidate's pieces whose type also occurs as a whole cell of the source (or is quoted), for
+    likely delimiters at least the share of the commonest type; drawn towards the prior while few pieces were seen. consistency: 1 / (1 + variation of the piece count).
     Types are counted on the map side; what is shuffled grows with distinct types, not with cells.
     """
     schema = "source string, candidate string, kind string, pieces long, cells long, total long, squares long"
@@ -120,7 +121,8 @@ def delimiter_scores(cells: DataFrame) -> DataFrame:
         .join(whole, ["source", "kind"], "left")
         .groupBy("source", "candidate")
         .agg(
-            F.sum(F.when(regular, F.col("pieces")).otherwise(0)).alias("hits"),
+            F.sum(F.when(regular, F.col("pieces")).otherwise(0)).alias("known"),
+            F.max("pieces").alias("commonest"),
             *[F.sum(c).alias(c) for c in ("pieces", "cells", "total", "squares")],
         )
     )
@@ -129,7 +131,7 @@ def delimiter_scores(cells: DataFrame) -> DataFrame:
     return scored.select(
         "source",
         "candidate",
-        ((F.col("hits") + 5 * prior) / (F.col("pieces") + 5)).alias("regularity"),
+        ((F.when(prior >= 0.5, F.greatest("known", "commonest")).otherwise(F.col("known")) + 5 * prior) / (F.col("pieces") + 5)).alias("regularity"),
         (1 / (1 + spread / mean)).alias("consistency"),
     ).select(
         "*", (F.col("regularity") * (0.5 + 0.5 * F.col("consistency"))).alias("score")

@@ -29,6 +29,8 @@ CANDIDATES: list[tuple[str, str, float]] = [
 ]
 PATTERNS = {name: re.compile(p, re.I) for name, p, _ in CANDIDATES}
 PRIORS = {name: prior for name, _, prior in CANDIDATES}
+#: Score from which a likely and an unlikely delimiter are accepted.
+LIKELY_SCORE, UNLIKELY_SCORE = 0.5, 0.8
 STRONG = [name for name, _, prior in CANDIDATES if prior >= 0.5]
 
 _EDGE_BEFORE, _EDGE_AFTER = r"(?<![^\s,;|/&•·])", r"(?=$|[\s,;|/&•·])"
@@ -41,12 +43,12 @@ _PROTECTED = re.compile(rf"{_EDGE_BEFORE}(?:{_QUOTED}){_EDGE_AFTER}|\([^()]*(?:\
 _WHOLE_QUOTED = re.compile(rf"(?:{_QUOTED})\Z", re.S)
 _JOINING = re.compile(r"^(?:and|or|&)\s+|\s+(?:and|or|&)$", re.I)
 _NOTHING = {"", "n/a", "-", "–", "—"}
-_PLACE = "\ue000"
+_QUOTE_PLACE, _BRACKET_PLACE = "\ue000", "\ue001"
 
 
 def masked(cell: str) -> str:
     """The cell with quoted and bracketed text blotted out, of the same length."""
-    return _PROTECTED.sub(lambda m: _PLACE * len(m[0]), cell)
+    return _PROTECTED.sub(lambda m: (_BRACKET_PLACE if m[0][0] in "([" else _QUOTE_PLACE) * len(m[0]), cell)
 
 
 def tidy(piece: str) -> str:
@@ -115,7 +117,7 @@ def delimiter_scores(cells: DataFrame) -> DataFrame:
     )
     whole = counts.where("candidate = ''").select("source", "kind", F.lit(True).alias("known"))
     prior = F.try_element_at(F.create_map(*[F.lit(x) for name, _, p in CANDIDATES for x in (name, p)]), F.col("candidate"))
-    regular = F.col("known") | F.col("kind").rlike(f"^{_PLACE}+$")
+    regular = F.col("known") | F.col("kind").rlike(f"^{_QUOTE_PLACE}+$")
     scored = (
         counts.where("candidate <> ''")
         .join(whole, ["source", "kind"], "left")
@@ -135,7 +137,7 @@ def delimiter_scores(cells: DataFrame) -> DataFrame:
         (1 / (1 + spread / mean)).alias("consistency"),
     ).select(
         "*", (F.col("regularity") * (0.5 + 0.5 * F.col("consistency"))).alias("score")
-    ).withColumn("accepted", F.col("score") >= 0.5)
+    ).withColumn("accepted", F.col("score") >= F.when(prior >= 0.5, LIKELY_SCORE).otherwise(UNLIKELY_SCORE))
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))

@@ -6,19 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.canonical import map_to_entries
-from ledgerloom.llm.leaks import find_leaks
+from ledgerloom.llm.leaks import find_leaks, remove_leaks
 from ledgerloom.llm.packing import pack_texts
 from ledgerloom.llm.subjects import subjects_of
 from ledgerloom.session import table
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p5_mapped(spark, sf_dir).select("source_table", "row_id", "entry_id")
+
+
+def p5_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = [
         table(spark, sf_dir, name).select(F.lit(name).alias("source_table"), "row_id", F.col(field).alias("value"))
         for name, field in (("recommendations", "platform"), ("datasheets", "product"))
     ]
-    found = map_to_entries(typed[0].unionByName(typed[1]), table(spark, sf_dir, "entries"), ["source_table", "row_id"])
-    return found.select("source_table", "row_id", "entry_id")
+    return map_to_entries(typed[0].unionByName(typed[1]), table(spark, sf_dir, "entries"), ["source_table", "row_id"])
 
 
 def p7_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +40,25 @@ def p8_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+def p8_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p8_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test items that leaked, with how many documents hold them and how much of them at most."""
+    return p8_stretches(spark, sf_dir).groupBy("item_id").agg(F.count("*").alias("documents"), F.max("words").alias("most_words"))
+
+
+def p5_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that no entry was found for, with how often each is written."""
+    return p5_mapped(spark, sf_dir).where("entry_id = 0").groupBy("value").agg(F.count("*").alias("n"))
+
+
+def p9_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus by subject: documents, and the sum of their shares of sentences."""
+    return p9_shares(spark, sf_dir).groupBy("subject_id").agg(F.count("*").alias("documents"), F.round(F.sum("share"), 6).alias("weight"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p9_shares(spark, sf_dir).select("doc_id", "subject_id")
 
@@ -48,12 +70,16 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "p5_found": p5_found,
+        "p5_unmatched": p5_unmatched,
         "p7_packed": p7_packed,
         "p7_harmonic": p7_harmonic,
         "p8_found": p8_found,
         "p8_stretches": p8_stretches,
+        "p8_cleaned": p8_cleaned,
+        "p8_items": p8_items,
         "p9_found": p9_found,
         "p9_shares": p9_shares,
+        "p9_composition": p9_composition,
     }
 
 

@@ -148,12 +148,12 @@ def common_length(a: list[int], b: list[int]) -> int:
     return row[-1]
 
 
-def stretch(anchors: list[tuple[int, int, int]], doc: list[int], item: list[int]) -> tuple[int, int, int, int, int, int]:
+def stretch(anchors: list[tuple[int, int, int]], doc: list[int], item: list[int]) -> tuple[int, int, int, list[tuple[int, int]]]:
     """The best chain of exact runs (doc start, item start, length) in common order.
 
     Gaps on either side may hold up to SMALL_GAP words and a quarter of what is matched; once, other sentences of up to
-    INTERRUPTION words may stand in the document. Result: words repeated, first and last item word, first and last
-    document word (all exclusive at the end), words of the stretch.
+    INTERRUPTION words may stand in the document. Result: words repeated, first and last item word, and the parts of the
+    document that repeat them (one, or two around an interruption); ends are exclusive.
     """
     anchors = sorted(set(anchors))
     best: list[list[tuple[float, int, int]]] = []  # per anchor and number of interruptions: score, previous anchor, its interruptions
@@ -182,7 +182,7 @@ def stretch(anchors: list[tuple[int, int, int]], doc: list[int], item: list[int]
         _, i, k = best[i][k]
     chain.reverse()
     d0, p0, _ = anchors[chain[0]]
-    d1, p1, words = d0, p0, 0
+    d1, p1, words, parts = d0, p0, 0, [d0]
     for i in chain:
         d, p, n = anchors[i]
         over = max(d1 - d, p1 - p, 0)
@@ -191,6 +191,7 @@ def stretch(anchors: list[tuple[int, int, int]], doc: list[int], item: list[int]
         else:  # around an interruption, words may be missing on either side of it
             gap = item[p1 : p + over]
             words += max(common_length(doc[d1 : d1 + len(gap) + 2], gap), common_length(doc[d + over - len(gap) - 2 : d + over], gap))
+            parts += [d1, d + over]
         words += n - over
         d1, p1 = d + n, p + n
     # At both ends, single words may stand beyond a changed one.
@@ -205,7 +206,8 @@ def stretch(anchors: list[tuple[int, int, int]], doc: list[int], item: list[int]
         if more >= 0.7 * width and item[p1 + width - 1] in doc[d1 : d1 + width + 1]:
             words, p1, d1 = words + more, p1 + width, d1 + width
             break
-    return words, p0, p1, d0, d1, p1 - p0
+    parts = [d0, *parts[1:], d1]
+    return words, p0, p1, list(zip(parts[::2], parts[1::2]))
 
 
 class ItemIndex:
@@ -219,9 +221,8 @@ class ItemIndex:
             self.words.append([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in normal_words(passage)])
         self.automaton = SuffixAutomaton(self.words)
 
-    def leaks(self, text: str | None) -> Iterator[tuple[int, int, int, int, int, int, int]]:
-        """item_id, words repeated, words of the stretch, first and last item word, first and last document word."""
-        found = normal_words(text)
+    def leaks(self, found: list[str]) -> Iterator[tuple[int, int, int, int, list[tuple[int, int]]]]:
+        """item_id, words repeated, first and last item word, and the parts of the document, for its normal words."""
         if len(found) < ANCHOR:
             return
         numbers = list(map(self.vocabulary.get, found, [0] * len(found)))
@@ -238,8 +239,9 @@ class ItemIndex:
         for item, runs in anchors.items():
             if sum(n for _, _, n in runs) < LEAST_WORDS // 3:
                 continue
-            words, p0, p1, d0, d1, span = stretch(runs, numbers, self.words[item])
-            yield self.ids[item], words, span, p0, p1, d0, d1
+            words, p0, p1, parts = stretch(runs, numbers, self.words[item])
+            if words >= LEAST_WORDS * 0.8 and p1 - p0 >= LEAST_WORDS * 0.92 and words >= LEAST_SHARE * (p1 - p0):
+                yield self.ids[item], words, p0, p1, parts
 
 
 def item_blocks(items: DataFrame, item_id: str, passage: str) -> Iterator[list[tuple[int, str]]]:
@@ -276,9 +278,61 @@ def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", t
         def stream(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
             held: ItemIndex = pickle.loads(index.value)
             for batch in batches:
-                rows = [(doc, *leak) for doc, body in zip(batch["doc_id"], batch["text"]) for leak in held.leaks(body)]
+                rows = [
+                    (doc, item, words, p1 - p0, p0, p1, parts[0][0], parts[-1][1])
+                    for doc, body in zip(batch["doc_id"], batch["text"])
+                    for item, words, p0, p1, parts in held.leaks(normal_words(body))
+                ]
                 yield pd.DataFrame(rows, columns=["doc_id", "item_id", "words", "stretch", "first_word", "end_word", "from_word", "to_word"])
 
         part = read.mapInPandas(stream, schema)
         result = part if number == 0 else result.unionByName(part)
-    return result.where((F.col("words") >= LEAST_WORDS * 0.8) & (F.col("stretch") >= LEAST_WORDS * 0.92) & (F.col("words") >= LEAST_SHARE * F.col("stretch")))
+    return result
+
+
+def remove_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", passage: str = "passage") -> DataFrame:
+    """doc_id, text, removed: every document without the parts that repeat a test item, and how many characters those were.
+
+    Only the repeating parts go; sentences that interrupt a stretch stay. Documents without a leak, NULL and empty texts
+    come out as they are, repeated documents as often as they came. Blocks of items are taken off one after another.
+    """
+    id_type = documents.schema[doc_id].dataType.simpleString()
+    clean = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.lit(0).alias("removed"))
+    for block in item_blocks(items, item_id, passage):
+        index = documents.sparkSession.sparkContext.broadcast(pickle.dumps(ItemIndex(block)))
+
+        def strip(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
+            held: ItemIndex = pickle.loads(index.value)
+            for batch in batches:
+                kept = [cut_out(body, held) if body and any(True for _ in held.leaks(normal_words(body))) else (body, 0) for body in batch["text"]]
+                yield pd.DataFrame({"doc_id": batch["doc_id"], "text": [t for t, _ in kept], "removed": batch["removed"] + [n for _, n in kept]})
+
+        clean = clean.mapInPandas(strip, f"doc_id {id_type}, text string, removed int")
+    return clean
+
+
+def located_words(text: str) -> tuple[list[str], list[tuple[int, int]]]:
+    """The normal words of a text with the places they have in it, markup counted to the word it stands at."""
+    blank = lambda m: " " * len(m[0])
+    flat = _INLINE_TAG.sub(lambda m: "\u00ad" * len(m[0]), _BLOCK_TAG.sub(blank, text)) if "<" in text else text
+    flat = re.sub(r"&(?:nbsp|ensp|emsp|thinsp|#160|#xa0);", blank, flat, flags=re.I)
+    words, places = [], []
+    for m in re.finditer(r"(?:\S*\w-[ \t]*\r?\n\s*(?=\w))*\S+", flat):
+        found = normal_words(m[0])
+        words += found
+        places += [m.span()] * len(found)
+    return words, places
+
+
+def cut_out(text: str, index: ItemIndex) -> tuple[str, int]:
+    """The text without the parts that repeat an item, and how many characters they had."""
+    words, places = located_words(text)
+    cuts = sorted((places[a][0], places[b - 1][1]) for _, _, _, _, parts in index.leaks(words) for a, b in parts if b > a)
+    kept, at, removed = [], 0, 0
+    for start, end in cuts:
+        if end > at:
+            kept.append(text[at : max(at, start)])
+            removed += end - max(at, start)
+            at = end
+    kept.append(text[at:])
+    return "".join(kept), removed

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.leaks import ANCHOR, ItemIndex, SuffixAutomaton, common_length, find_leaks, normal_words
+from ledgerloom.llm.leaks import ANCHOR, ItemIndex, SuffixAutomaton, common_length, find_leaks, located_words, normal_words, remove_leaks
 
 RNG = random.Random(5)
 WORDS = [f"{a}{b}{c}" for a in "bdfgklmn" for b in ("a", "e", "oo") for c in ("rd", "st", "ll", "nt", "x")]
@@ -100,4 +100,32 @@ def test_building_alike_is_no_leak():
     index = ItemIndex([(1, ITEM)])
     rng = random.Random(9)
     alike = " ".join(w if i % 5 < 3 else rng.choice(WORDS) for i, w in enumerate(ITEM.split()))
-    assert all(words < 0.86 * span or words < 20 for _, words, span, *_ in index.leaks(alike))
+    assert list(index.leaks(normal_words(alike))) == []
+
+
+@pytest.mark.parametrize("text", ["A <b>bold</b> te-\nst&nbsp;of words.", "x<p>y</p>z", "plain text, no more", "a-\nb-\nc d", ""])
+def test_located_words_are_the_normal_words(text):
+    words, places = located_words(text)
+    assert words == normal_words(text) and all(0 <= a < b <= len(text) for a, b in places)
+
+
+def test_removal(spark):
+    words = ITEM.split()
+    between = "These sentences interrupt it. They must stay here. " + NOISE[6]
+    docs = {
+        1: f"Before it. {ITEM}. After it.",
+        2: f"Start. {' '.join(words[:30])} {between} {' '.join(words[30:60])} End.",
+        3: "Nothing here " + NOISE[1],
+        4: None,
+        5: "",
+        6: "Keep. " + "&nbsp;".join(f"**{w}**" for w in words) + " Keep too.",
+    }
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    items = spark.createDataFrame([(1, ITEM), (2, ITEM)], "item_id long, passage string")
+    got = {r["doc_id"]: r for r in remove_leaks(df, items).collect()}
+    assert got[1]["text"].split() == ["Before", "it.", "After", "it."] and got[6]["text"].split() == ["Keep.", "Keep", "too."]
+    assert " ".join(got[2]["text"].split()) == f"Start. {between} End."
+    for i in (3, 4, 5):
+        assert got[i]["text"] == docs[i] and got[i]["removed"] == 0
+    assert all(len(got[i]["text"]) + got[i]["removed"] == len(docs[i]) for i in (1, 2, 6))
+    assert find_leaks(remove_leaks(df, items).select("doc_id", "text"), items).count() == 0

@@ -9,15 +9,24 @@ from pyspark.sql import functions as F
 from ledgerloom.operators.drift import schema_changes, unified
 from ledgerloom.operators.history import listing_versions
 from ledgerloom.operators.moments import normalise_moments
-from ledgerloom.operators.packed import unpack
+from ledgerloom.operators.packed import delimiter_scores, unpack
 from ledgerloom.operators.snapshot_diff import ledger_changes
 from ledgerloom.session import table
 
 
-def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _packed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     firmware = table(spark, sf_dir, "ap_firmware").select("row_id", F.lit("ap_firmware").alias("name"), F.col("supported_fw_versions").alias("cell"))
     notices = table(spark, sf_dir, "eos_notices").select("row_id", F.lit("eos_notices").alias("name"), F.col("replacement_product").alias("cell"))
-    found = unpack(firmware.unionByName(notices), F.col("name"), "cell", ["row_id"])
+    return firmware.unionByName(notices)
+
+
+def p1_delimiters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delimiters inferred for each source, with their scores."""
+    return delimiter_scores(_packed_cells(spark, sf_dir).select(F.col("name").alias("source"), "cell"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = unpack(_packed_cells(spark, sf_dir), F.col("name"), "cell", ["row_id"])
     return found.select(F.col("source").alias("source_table"), "row_id", F.col("pos").cast("int").alias("pos"), "val")
 
 
@@ -53,7 +62,7 @@ def p6_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_unified": p6_unified}
+    return {"p1_found": p1_found, "p1_delimiters": p1_delimiters, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_unified": p6_unified}
 
 
 _KEYED = """

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -95,3 +98,26 @@ def moved_aside(decisions: DataFrame, how: str, today: str) -> DataFrame:
     dated = F.concat(stem, F.lit(f" ({today})"), ext)
     target = {"archive": F.concat(F.lit(".docsync/archive/"), dated), "keep": dated, "delete": F.lit(None).cast("string")}[how]
     return decisions.where("decision IN ('updated', 'dropped')").select("path", target.alias("target"))
+
+
+def set_aside(root: str | Path, moves: DataFrame) -> int:
+    """Moves or deletes a library's superseded files as `moved_aside` says; returns how many were there."""
+    done = 0
+    for path, target in moves.select("path", "target").toLocalIterator():
+        file = Path(root) / path
+        if not file.exists():
+            continue
+        done += 1
+        if target is None:
+            file.unlink()
+        else:
+            goal = Path(root) / target
+            goal.parent.mkdir(parents=True, exist_ok=True)
+            shutil.move(file, goal)
+    return done
+
+
+def copy_snapshots(pages: DataFrame, names: list[str], default_site: str = "docs-site") -> DataFrame:
+    """The snapshot pages a profile names, with or without their site; names that don't exist are passed over."""
+    wanted = [n if "/" in n else f"{default_site}/{n}" for n in names]
+    return pages.where(F.col("name").isin(*wanted)) if wanted else pages.limit(0)

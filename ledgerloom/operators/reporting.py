@@ -196,3 +196,11 @@ def render_report(document: dict, day: str, numbers: DataFrame | None = None) ->
     if numbers is not None:
         out += ["", "## Numbers", "", table_markdown(most_common(numbers).select("section", "name", "n"))]
     return "\n".join(out) + "\n"
+
+
+def render_last_scan(meta: dict) -> str:
+    """The block about the last scan: dates, counts and slowest steps."""
+    out = [f"* {site}: scanned {day}" + "".join(f", {n:,} {name}" for name, n in sorted((meta.get("counts") or {}).get(site, {}).items()) if isinstance(n, int)) for site, day in sorted((meta.get("scanned") or {}).items())]
+    steps = sorted((meta.get("timing") or {}).get("steps") or [], key=lambda s: -s.get("seconds", 0))[:6]
+    out += [f"* {s['step']}: {s.get('pages', 0):,} pages in {s.get('seconds', 0):.1f} s" for s in steps]
+    return "\n".join(out) or "No scan yet."

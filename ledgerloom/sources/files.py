@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.cards import text_card
+from ledgerloom.functions.hashing import page_hash
 
 SKIPPED_FOLDERS = {".docsync", "snapshots", ".git"}
 
@@ -71,6 +72,24 @@ def read_snapshot_tables(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInPandas(cells, "table_name string, row_no int, col_no int, header string, value string")
 
 
+def snapshot_hashes(spark: SparkSession, path: str) -> DataFrame:
+    """name, hash of the snapshot pages (Markdown files) below a folder, blind to their generated headers."""
+    pages = spark.read.format("binaryFile").option("pathGlobFilter", "*.md").option("recursiveFileLookup", True).load(path)
+    return pages.select(F.regexp_extract("path", r"([^/]*)\.md$", 1).alias("name"), page_hash(F.decode("content", "UTF-8")).alias("hash"))
+
+
+def load_lock(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A library's lock; an empty one where there is none."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    held = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+    return spark.read.schema(schema).json(path) if held else spark.createDataFrame([], schema)
+
+
+def save_lock(lock: DataFrame, path: str) -> None:
+    """The lock as JSON lines in order of path."""
+    lock.orderBy("path").coalesce(1).write.mode("overwrite").json(path)
+
+
 def library_files(spark: SparkSession, root: str) -> DataFrame:
     """path (relative), sha256, bytes of a library's files, without its own folders and hidden top-level names."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)

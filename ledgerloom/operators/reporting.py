@@ -94,12 +94,16 @@ def release_places(docs: DataFrame, order: DataFrame, types: Sequence[str], entr
     return joined.withColumn("rel_no", F.coalesce(F.col("place") - 1, F.lit(0))).withColumn("type_no", F.when(at > 0, at - 1).otherwise(len(types) - 1)).drop("place")
 
 
-def explorer_rows(docs: DataFrame, entry: str = "entry") -> DataFrame:
-    """One JSON text per entry with its documents, newest month first, then by title; '</' is escaped for script tags."""
+def explorer_rows(docs: DataFrame, entry: str = "entry", most: int = 1000) -> DataFrame:
+    """entry, part, json: each entry's documents as JSON texts of about `most` documents, newest month first, then by title.
+
+    An entry with many documents has several parts, so none grows with the table. '</' is escaped for script tags.
+    """
+    sizes = docs.groupBy(entry).agg(F.ceil(F.count("*") / most).cast("int").alias("_parts"))
+    placed = docs.join(sizes, entry).withColumn("part", F.pmod(F.xxhash64("url"), F.col("_parts")).cast("int"))
     item = F.struct("month", "title", "url", "release", "type", "format", "via")
-    held = F.reverse(F.array_sort(F.collect_list(item)))
-    packed = docs.groupBy(entry).agg(held.alias("d"))
-    return packed.select(entry, F.replace(F.to_json(F.struct(F.col(entry).alias("n"), "d")), F.lit("</"), F.lit("<\\/")).alias("json"))
+    packed = placed.groupBy(entry, "part").agg(F.reverse(F.array_sort(F.collect_list(item))).alias("d"))
+    return packed.select(entry, "part", F.replace(F.to_json(F.struct(F.col(entry).alias("n"), "d")), F.lit("</"), F.lit("<\\/")).alias("json"))
 
 
 def recommendation_dates(pages: DataFrame, sites: tuple[str, str] = ("docs-site", "main-site")) -> DataFrame:

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import due_on
-from ledgerloom.operators import catalog, compat, ledger, releases, reporting
-from ledgerloom.plans.common import IS_LATEST_SQL, LABEL_SQL, LATEST, PREVIOUS, PRODUCTS, RULES, TYPE_SQL, TYPES, is_latest, label
+from ledgerloom.operators import catalog, compat, releases, reporting
+from ledgerloom.operators.scan import snapshot_totals
+from ledgerloom.plans.common import IS_LATEST_SQL, LABEL_SQL, LATEST, PREVIOUS, PRODUCTS, RULES, TYPE_SQL, TYPES, is_latest, label, snapshot_rows, snapshot_sql
 from ledgerloom.plans.releases import docs
 from ledgerloom.session import table
 
@@ -271,6 +272,17 @@ def q_document_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"), F.max("n_chars").alias("longest"))
 
 
+@query(f"WITH {snapshot_sql('s', LATEST[0])} SELECT site, count(*) AS pages, sum(tables)::BIGINT AS tables, sum(\"rows\")::BIGINT AS \"rows\" FROM s GROUP BY site")
+def q_snapshot_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshot_totals(snapshot_rows(spark, sf_dir, LATEST[0]))
+
+
+@query(f"SELECT DISTINCT url FROM listings WHERE scan_no = {LATEST[0]} AND url NOT IN (SELECT url FROM listings WHERE scan_no = {PREVIOUS[0]})")
+def q_unread_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = lambda n: table(spark, sf_dir, "listings").where(F.col("scan_no") == n).select("url")
+    return catalog.unread_options(at(LATEST[0]), at(PREVIOUS[0]))
+
+
 def queries() -> dict:
     return dict(QUERIES)
 

@@ -137,8 +137,11 @@ def test_library_from_update_to_drop(spark):
 def test_reports(spark, tmp_path):
     df = spark.createDataFrame([("a", 3), ("b", 1), ("a", 5), ("c", 2), ("c", 9)], "v string, ord int")
     assert [(r["name"], r["n"]) for r in reporting.most_common(reporting.counted(df, "s", F.col("v"), "ord")).collect()] == [("c", 2), ("a", 2), ("b", 1)]
-    docs = spark.createDataFrame([("E", "Guide", "t/a"), ("E", "Guide", "t"), ("F", "Notes", "t")], "entry string, type string, title string")
+    docs = spark.createDataFrame([("E", "Guide", "t</a"), ("E", "Guide", "t"), ("F", "Notes", "t")], "entry string, type string, title string")
     assert rows(reporting.matrix(docs, ["Guide", "Notes"])) == [("E", 2, 0), ("F", 0, 1)]
+    shown = docs.selectExpr("entry", "type", "title", "concat(title, entry) AS url", "'' AS month", "'' AS release", "'' AS format", "'' AS via")
+    parts = reporting.explorer_rows(shown, most=1).collect()
+    assert len(parts) >= 2 and sum(len(json.loads(r["json"])["d"]) for r in parts) == 3 and all("</" not in r["json"] for r in parts)
     assert "| entry | type | title |" in reporting.table_markdown(docs) and "1 more" in reporting.table_markdown(docs, 2)
     file = tmp_path / "r.md"
     assert not reporting.replace_block(file, "n", "x")

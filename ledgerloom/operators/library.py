@@ -96,7 +96,7 @@ def moved_aside(decisions: DataFrame, how: str, today: str) -> DataFrame:
     """Where the superseded copies go: archive folder, beside the file, or nowhere (deleted): path, target."""
     stem, ext = F.regexp_replace("path", r"\.[^./]*$", ""), F.regexp_extract("path", r"(\.[^./]*)$", 1)
     dated = F.concat(stem, F.lit(f" ({today})"), ext)
-    target = {"archive": F.concat(F.lit(".docsync/archive/"), dated), "keep": dated, "delete": F.lit(None).cast("string")}[how]
+    target = {"archive": F.concat(F.lit(".library/archive/"), dated), "keep": dated, "delete": F.lit(None).cast("string")}[how]
     return decisions.where("decision IN ('updated', 'dropped')").select("path", target.alias("target"))
 
 

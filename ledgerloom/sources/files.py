@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ledgerloom.functions.cards import text_card
 from ledgerloom.functions.hashing import page_hash
 
-SKIPPED_FOLDERS = {".docsync", "snapshots", ".git"}
+SKIPPED_FOLDERS = {".library", "snapshots", ".git"}
 
 
 def load_yaml(path: str | Path, default: object = None) -> object:

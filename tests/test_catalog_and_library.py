@@ -126,7 +126,7 @@ def test_library_from_update_to_drop(spark):
     after = {r["url"]: r for r in library.next_lock(lock, d, seen, "d2").collect()}
     assert set(after) == {"same", "content", "again", "new", "down"}
     assert after["again"]["sha256"] == "new" and [e["sha256"] for e in after["again"]["earlier"]] == ["s3"] and after["same"]["fetched"] == "d1" and after["new"]["fetched"] == "d2"
-    assert {tuple(r) for r in library.moved_aside(d, "archive", "d2").collect()} == {("p3", ".docsync/archive/p3 (d2)"), ("p4", ".docsync/archive/p4 (d2)")}
+    assert {tuple(r) for r in library.moved_aside(d, "archive", "d2").collect()} == {("p3", ".library/archive/p3 (d2)"), ("p4", ".library/archive/p4 (d2)")}
     assert library.history_entry(d, "d2").count() == 4
     files = spark.createDataFrame([("p1", "s1"), ("p2", "zz"), ("x", "y")], "path string, sha256 string")
     assert rows(library.check_files(lock.where("path IN ('p1', 'p2', 'p3')"), files)) == [("p1", "ok"), ("p2", "changed"), ("p3", "missing"), ("x", "new")]

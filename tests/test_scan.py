@@ -67,7 +67,7 @@ def test_files_beside_the_library(spark, tmp_path):
     assert [r["path"] for r in files.load_lock(spark, str(tmp_path / "lock"), schema).collect()] == ["a", "b"]
     (tmp_path / "f.pdf").write_text("x")
     (tmp_path / "g.pdf").write_text("x")
-    moves = spark.createDataFrame([("f.pdf", ".docsync/archive/f (d).pdf"), ("g.pdf", None), ("none.pdf", None)], "path string, target string")
-    assert library.set_aside(tmp_path, moves) == 2 and (tmp_path / ".docsync/archive/f (d).pdf").exists() and not (tmp_path / "g.pdf").exists()
+    moves = spark.createDataFrame([("f.pdf", ".library/archive/f (d).pdf"), ("g.pdf", None), ("none.pdf", None)], "path string, target string")
+    assert library.set_aside(tmp_path, moves) == 2 and (tmp_path / ".library/archive/f (d).pdf").exists() and not (tmp_path / "g.pdf").exists()
     text = render_last_scan({"scanned": {"a": "2025-01-01"}, "counts": {"a": {"pages": 1234}}, "timing": {"steps": [{"step": "s", "pages": 5, "seconds": 2.0}]}})
     assert "1,234 pages" in text and "5 pages in 2.0 s" in text and render_last_scan({}) == "No scan yet."

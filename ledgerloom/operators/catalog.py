@@ -18,6 +18,9 @@ FURNITURE_PAGES, FURNITURE_SHARE = 8, 0.2
 #: In an area of at least so many pages, a link on this share of them is furniture of the area.
 AREA_PAGES, AREA_SHARE = 5, 0.6
 NUMBERED = r"^v?[0-9]"
+# What labels begin with that says nothing of the document, and labels that stand for a MIB archive.
+EMPTY_LABEL = r"(?i)^(Download( PDF| Matrix| Excel| Zip)?|Learn More)\s*"
+MIB_LABEL = "^(TAR|ZIP) Download$"
 
 
 def page_targets(urls: DataFrame, areas: Sequence[str], resource_types: Sequence[str], url: str = "url") -> DataFrame:
@@ -189,8 +192,8 @@ def main_documents(links: DataFrame, titles: DataFrame, by_path: Sequence[tuple[
     hub = links.where(F.col("via") == "content_hub").join(titles.select(F.col("url").alias("page"), F.col("title").alias("page_title")), "page", "left")
     bare = F.regexp_replace(path(F.col("page")), "/+$", "")
     kind = "struct<type:string,entry:string,title:string>"
-    label = F.coalesce(F.nullif(F.regexp_replace(F.col("label"), r"(?i)^(Download( PDF| Matrix| Excel| Zip)?|Learn More)\s*", ""), F.lit("")), F.col("heading"))
-    label = F.when(F.col("label").rlike("^(TAR|ZIP) Download$"), F.concat(F.lit("MIBs ("), F.split_part(F.col("label"), F.lit(" "), F.lit(1)), F.lit(")"))).otherwise(label)
+    label = F.coalesce(F.nullif(F.regexp_replace(F.col("label"), EMPTY_LABEL, ""), F.lit("")), F.col("heading"))
+    label = F.when(F.col("label").rlike(MIB_LABEL), F.concat(F.lit("MIBs ("), F.split_part(F.col("label"), F.lit(" "), F.lit(1)), F.lit(")"))).otherwise(label)
     chain = None
     for doc_type, ending, name in by_path:
         made = F.struct(F.lit(doc_type).alias("type"), F.lit(name).alias("entry"), label.alias("title"))

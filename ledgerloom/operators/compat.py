@@ -14,6 +14,8 @@ from ledgerloom.functions.versions import version_key
 
 #: What stands for the open last part of a release such as 9.x while releases are compared.
 OPEN_PART = 999
+# Fixed value: the usual endings of range tables' file names.
+TABLE_ENDING = r"-(?:switches|port-extenders|series-routers)-software-support$"
 RELATION = "platform string, software array<string>, kind string, min string, max string, releases array<string>, source string"
 
 
@@ -25,7 +27,7 @@ class RangeSource:
     software: Sequence[str]
     platforms: Mapping[str, str]
     no_entry: Sequence[str] = ()
-    suffix: str = r"-(?:switches|port-extenders|series-routers)-software-support$"
+    suffix: str = TABLE_ENDING
     prefixes: str = ""
     last_heading: str = "last supported"
 

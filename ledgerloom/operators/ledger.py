@@ -209,17 +209,39 @@ def merge_meta(old: dict, counts: dict[str, dict], ran: list[str], today: str, t
     return meta
 
 
-def fold_best(rows: DataFrame, group: list[str], order: str, latest: str, key: str, payload: str) -> DataFrame:
+def _replaces(row: Column, held: Column) -> Column:
+    return (row["l"] & ~held["l"]) | (row["k"] > held["k"])
+
+
+def _after(entries: Column, held: Column) -> Column:
+    """What is held after a block: the outcome of the first of its entries that replaces it, else what was held."""
+    first = F.get(F.filter(entries, lambda e: held.isNull() | _replaces(e, held)), F.lit(0))
+    return F.when(first.isNull(), held).otherwise(first["final"])
+
+
+def fold_best(rows: DataFrame, group: list[str], order: str, latest: str, key: str, payload: str, block: int = 100_000) -> DataFrame:
     """One row per group by an ordered fold: a row replaces the one held when it is latest and that is not, or its key is greater.
 
-    The fold is not a maximum: a newer row that is not latest displaces one that is. `order` must be unique in a group,
-    and a group is what one page lists of one document, so its rows are few.
+    The fold is not a maximum: a newer row that is not latest displaces one that is. `order` holds whole numbers, unique
+    in a group. Rows are folded in blocks of `block` order numbers. A block is summed up by its entries: rows that can be
+    the first to replace something, each with what is held at the block's end from then on. Read from the back, an entry
+    falls when an earlier row replaces all that it could. So a block keeps at most two entries per distinct key, blocks
+    are folded in turn, and a group that holds a third of all rows is spread over its blocks.
     """
     item = F.struct(F.col(order).alias("o"), F.col(latest).alias("l"), F.col(key).alias("k"), F.col(payload).alias("p"))
-    kind = rows.select(item.alias("i")).schema["i"].dataType
-    held = F.array_sort(F.collect_list(item))
-    best = F.aggregate(held, F.lit(None).cast(kind), lambda c, r: F.when(c.isNull() | (r["l"] & ~c["l"]) | (r["k"] > c["k"]), r).otherwise(c))
-    return rows.groupBy(*group).agg(best.alias("b")).select(*group, F.col("b.o").alias(order), F.col("b.p").alias(payload))
+    kind = rows.select(item.alias("i")).schema["i"].dataType.simpleString()
+    entry = f"array<struct<l:boolean,k:array<bigint>,final:{kind}>>"
+
+    def before(entries: Column, row: Column) -> Column:
+        here = F.struct(row["l"].alias("l"), row["k"].alias("k"), _after(entries, row).alias("final"))
+        reachable = F.filter(entries, lambda e: (e["k"] > row["k"]) | (e["l"] & ~row["l"]))
+        return F.concat(F.array(here), reachable)
+
+    backwards = F.reverse(F.array_sort(F.collect_list(item)))
+    blocks = rows.groupBy(*group, F.floor(F.col(order) / block).alias("_b")).agg(F.aggregate(backwards, F.array().cast(entry), before).alias("_e"))
+    in_turn = F.transform(F.array_sort(F.collect_list(F.struct("_b", "_e"))), lambda x: x["_e"])
+    best = F.aggregate(in_turn, F.lit(None).cast(kind), lambda held, entries: _after(entries, held))
+    return blocks.groupBy(*group).agg(best.alias("_f")).select(*group, F.col("_f.o").alias(order), F.col("_f.p").alias(payload))
 
 
 def fill_forward(df: DataFrame, value: Column, group: list[str], order: str, name: str, block: int = 100_000) -> DataFrame:

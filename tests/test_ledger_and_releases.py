@@ -61,6 +61,20 @@ def test_fold_is_no_maximum(spark):
         assert [tuple(r) for r in ledger.fold_best(df, ["e", "u"], "o", "l", "k", "p").collect()] == [("e", "u", 3, "z")]
 
 
+@pytest.mark.parametrize("block", [1, 3, 7, 1000])
+def test_fold_in_blocks_is_the_fold(spark, block):
+    rng = random.Random(block)
+    rows = [(g, o, rng.random() < 0.4, [rng.randint(0, 4)] + [rng.randint(0, 3)] * rng.randint(0, 1), f"{g}{o}") for g in range(40) for o in rng.sample(range(60), rng.randint(1, 40))]
+    df = spark.createDataFrame(rows, "g int, o int, l boolean, k array<bigint>, p string").repartition(5)
+    got = {r["g"]: (r["o"], r["p"]) for r in ledger.fold_best(df, ["g"], "o", "l", "k", "p", block).collect()}
+    for g in range(40):
+        held = None
+        for _, o, latest, k, p in sorted(r for r in rows if r[0] == g):
+            if held is None or (latest and not held[1]) or k > held[2]:
+                held = (o, latest, k, p)
+        assert got[g] == (held[0], held[3])
+
+
 @pytest.mark.parametrize("block", [1, 3, 1000])
 def test_fill_forward(spark, block):
     rng = random.Random(block)

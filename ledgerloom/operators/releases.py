@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.functions.versions import cut_to, line, line_label, listed, major, padded, version_key
+from ledgerloom.functions.versions import bound, cut_to, line, line_label, listed, major, padded, version_key
 
 PRESETS = ("latest", "latest-per-major", "latest-per-line", "first-per-line")
 
@@ -78,13 +78,16 @@ def newest_lines(labels: DataFrame, entry: str, label: str, n: int) -> DataFrame
 
 def in_range(label: Column, start: str, end: str) -> Column:
     """Whether a numbered label lies between two bounds, each compared at its own length."""
-    key = version_key(label)
-    inside = key.isNotNull()
-    for bound, ok in ((start, lambda c, b: c >= b), (end, lambda c, b: c <= b)):
-        limit = version_key(F.lit(bound)) if bound else None
-        if limit is not None:
-            inside = inside & F.coalesce(ok(cut_to(key, limit), padded(limit)), F.lit(True))
-    return inside
+
+    def inside(key: Column) -> Column:
+        holds = key.isNotNull()
+        for written, ok in ((start, lambda c, b: c >= b), (end, lambda c, b: c <= b)):
+            if written:
+                limit = version_key(F.lit(written))
+                holds = holds & F.coalesce(ok(cut_to(key, limit), padded(limit)), F.lit(True))
+        return holds
+
+    return F.coalesce(bound(version_key(label), inside), F.lit(False))
 
 
 def release_set(labels: DataFrame, rules: ReleaseRules, entry: str = "entry", label: str = "release", order: str = "pos") -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.text import slug
 from ledgerloom.operators import library
 from ledgerloom.plans.common import LATEST, PREVIOUS, scan_rows, scan_sql, snapshot_rows, snapshot_sql
-from ledgerloom.session import table
 
 QUERIES, SQL = {}, {}
 

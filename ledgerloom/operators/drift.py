@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ledgerloom.functions.versions import bound
 from ledgerloom.session import cut_lineage
 
 #: Share of the components with a value in both files whose value must be carried over for a rename.
@@ -24,9 +25,8 @@ def heading(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(c), r"(?U)\s+", " "))
 
 
-def json_kind(variant: Column) -> Column:
-    """text, number, true/false, list or object; NULL for null."""
-    schema = F.schema_of_variant(variant)
+def json_kind(schema: Column) -> Column:
+    """text, number, true/false, list or object of a variant's schema; NULL for null."""
     return (
         F.when(schema == "VOID", None)
         .when(schema == "STRING", "text")
@@ -46,9 +46,11 @@ def fields_of(record: Column) -> Column:
     entries = F.map_entries(F.from_json(record, "map<string, variant>"))
 
     def field(entry: Column) -> Column:
-        kind = json_kind(entry["value"])
-        text = F.when(kind == "text", entry["value"].cast("string")).when(kind.isNotNull(), F.to_json(entry["value"]))
-        return F.struct(heading(entry["key"]).alias("name"), kind.alias("kind"), text.alias("val"))
+        def typed(schema: Column) -> Column:
+            text = F.when(schema == "STRING", entry["value"].cast("string")).when(schema != "VOID", F.to_json(entry["value"]))
+            return F.struct(heading(entry["key"]).alias("name"), json_kind(schema).alias("kind"), text.alias("val"))
+
+        return bound(F.schema_of_variant(entry["value"]), typed)
 
     return F.transform(entries, field)
 

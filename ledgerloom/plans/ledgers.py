@@ -108,7 +108,7 @@ def q_health_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH c AS (SELECT scan_no, count(*) AS now_, count_if(status <> 200) AS failed FROM snapshots GROUP BY scan_no)
+    """WITH c AS (SELECT scan_no, count(*) AS now_, count_if(status <> 200)::BIGINT AS failed FROM snapshots GROUP BY scan_no)
 SELECT c.scan_no, c.now_ AS now, p.now_ AS before, c.failed, CASE WHEN c.now_ < 0.9 * p.now_ THEN 'shrunk' WHEN c.failed > 0.02 * c.now_ THEN 'failed' ELSE '' END AS verdict
 FROM c LEFT JOIN c p ON p.scan_no = c.scan_no - 1"""
 )
@@ -149,7 +149,7 @@ def q_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT unnest(['pages', 'failed']) AS metric, unnest([count(*), count_if(status <> 200)]) AS n FROM snapshots WHERE scan_no = {LATEST[0]}
+    f"""SELECT unnest(['pages', 'failed']) AS metric, unnest([count(*), count_if(status <> 200)::BIGINT]) AS n FROM snapshots WHERE scan_no = {LATEST[0]}
 UNION ALL SELECT unnest(['listings', 'documents', 'latest_documents']), unnest([count(*), count(DISTINCT url), count(DISTINCT CASE WHEN latest = 'yes' THEN url END)]) FROM listings WHERE scan_no = {LATEST[0]}"""
 )
 def q_scan_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

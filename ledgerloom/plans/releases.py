@@ -73,7 +73,7 @@ def q_release_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return releases.release_set(labels(spark, sf_dir), releases.release_rules(written))
 
 
-@query(f"WITH {_LABELS} SELECT entry, release, row_number() OVER (PARTITION BY entry ORDER BY release = '', coalesce(k, [-1::BIGINT]) DESC, release DESC) AS place FROM n")
+@query(f"WITH {_LABELS} SELECT entry, release, row_number() OVER (PARTITION BY entry ORDER BY release = '', coalesce(k, [-1::BIGINT]) DESC, release DESC)::INTEGER AS place FROM n")
 def q_release_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return releases.in_release_order(labels(spark, sf_dir))
 

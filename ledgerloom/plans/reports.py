@@ -100,7 +100,7 @@ def q_unplaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH d AS (SELECT entry, url, {LABEL_SQL} AS release, {TYPE_SQL} AS type FROM listings WHERE scan_no = {LATEST[0]} QUALIFY row_number() OVER (PARTITION BY url ORDER BY row_id) = 1),
 k AS (SELECT DISTINCT entry, release, CASE WHEN regexp_extract(release, '^v?([0-9]+(?:[.][0-9]+)*)', 1) <> '' THEN list_transform(string_split(regexp_extract(release, '^v?([0-9]+(?:[.][0-9]+)*)', 1), '.'), lambda x: x::BIGINT) ELSE [-1::BIGINT] END AS k FROM d),
 o AS (SELECT entry, release, row_number() OVER (PARTITION BY entry ORDER BY release = '', k DESC, release DESC) AS place FROM k)
-SELECT d.entry, d.url, o.place - 1 AS rel_no, list_position({TYPES!r}, d.type) - 1 AS type_no FROM d JOIN o USING (entry, release)"""
+SELECT d.entry, d.url, (o.place - 1)::INTEGER AS rel_no, list_position({TYPES!r}, d.type)::BIGINT - 1 AS type_no FROM d JOIN o USING (entry, release)"""
 )
 def q_release_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = docs(spark, sf_dir)
@@ -266,7 +266,7 @@ def q_page_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("url", (catalog.snapshot_page(F.col("url"), ["/velmark-policies"]) | stem).alias("is_snapshot"))
 
 
-@query("SELECT coalesce(doc_type, '') AS doc_type, count(*) AS n, sum(n_chars) AS chars, max(n_chars) AS longest FROM documents GROUP BY 1")
+@query("SELECT coalesce(doc_type, '') AS doc_type, count(*) AS n, sum(n_chars)::BIGINT AS chars, max(n_chars) AS longest FROM documents GROUP BY 1")
 def q_document_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").groupBy(F.coalesce("doc_type", F.lit("")).alias("doc_type"))
     return rows.agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"), F.max("n_chars").alias("longest"))

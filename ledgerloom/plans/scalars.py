@@ -126,7 +126,7 @@ _VERSIONS = r"(?i)\b(?:v|version\s+|release\s+)?(\d{1,2}\.\d{1,2}(?:\.\d{1,4}){0
 v AS (SELECT doc_id, t, list_zip(regexp_extract_all(t, '{_VERSIONS}', 0), regexp_extract_all(t, '{_VERSIONS}', 1)) AS pairs FROM t),
 w AS (SELECT doc_id, t, list_transform(list_filter(pairs, lambda p: lower(left(p[1], 1)) IN ('v', 'r') OR len(string_split(p[2], '.')) >= 3), lambda p: p[2]) AS named FROM v),
 d AS (SELECT doc_id, t, list_filter(named, lambda x, i: list_position(named, x) = i) AS named FROM w)
-SELECT doc_id, CASE WHEN regexp_replace(t, '[\\s\\p{{Z}}\\x{{85}}]+', '', 'g') = '' THEN 0 ELSE len(regexp_split_to_array(regexp_replace(t, '^[\\s\\p{{Z}}\\x{{85}}]+|[\\s\\p{{Z}}\\x{{85}}]+$', '', 'g'), '[\\s\\p{{Z}}\\x{{85}}]+')) END AS words,
+SELECT doc_id, (CASE WHEN regexp_replace(t, '[\\s\\p{{Z}}\\x{{85}}]+', '', 'g') = '' THEN 0 ELSE len(regexp_split_to_array(regexp_replace(t, '^[\\s\\p{{Z}}\\x{{85}}]+|[\\s\\p{{Z}}\\x{{85}}]+$', '', 'g'), '[\\s\\p{{Z}}\\x{{85}}]+')) END)::INTEGER AS words,
   nullif(regexp_extract(t, '\\bRev(?:ision)?\\.?\\s*:?\\s*([A-Z]{{2}})\\b', 1), '') AS revision, array_to_string(named[1:8], ' ') AS versions FROM d"""
 )
 def q_text_cards(spark: SparkSession, sf_dir: str) -> DataFrame:

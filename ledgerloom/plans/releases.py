@@ -140,17 +140,19 @@ def _safe(c: str) -> str:
     return f"coalesce(nullif(regexp_replace(left(regexp_replace(regexp_replace(regexp_replace({c}, '[\\\\/:*?\"<>|\\x00-\\x1f]', ' ', 'g'), '[\\s\\p{{Z}}\\x{{85}}]+', ' ', 'g'), '^[ .]+|[ .]+$', '', 'g'), 120), '^[ .]+|[ .]+$', '', 'g'), ''), 'untitled')"
 
 
-@query(
-    f"""WITH {_DOCS}, f AS (SELECT *, CASE WHEN filter = 2 THEN 'guides/' || {_safe('type')} || '/' || CASE WHEN release = '' THEN '' ELSE {_safe('release')} END
+_PLAN = f"""{_DOCS}, f AS (SELECT *, CASE WHEN filter = 2 THEN 'guides/' || {_safe('type')} || '/' || CASE WHEN release = '' THEN '' ELSE {_safe('release')} END
    ELSE CASE WHEN filter = 0 THEN 'notes' ELSE '' END || '/' || {_safe('entry')} END AS raw,
-   {_safe("regexp_replace(coalesce(nullif(title, ''), regexp_extract(url, '([^/]*)$', 1)), '(?i)\\.(?:pdf|zip|xlsx?|csv|html?|gz)$', '')")} AS base FROM m WHERE filter IS NOT NULL)
-SELECT url, entry, type, release, filter, concat_ws('/', nullif(regexp_replace(regexp_replace(raw, '/+', '/', 'g'), '^/|/$', '', 'g'), ''), base) AS path FROM f"""
+   {_safe("regexp_replace(coalesce(nullif(title, ''), regexp_extract(url, '([^/]*)$', 1)), '(?i)\\.(?:pdf|zip|xlsx?|csv|html?|gz)$', '')")} AS base FROM m WHERE filter IS NOT NULL),
+plan AS (SELECT url, entry, type, release, filter, concat_ws('/', nullif(regexp_replace(regexp_replace(raw, '/+', '/', 'g'), '^/|/$', '', 'g'), ''), base) AS path FROM f)"""
+
+
+@query(f"WITH {_PLAN} SELECT * FROM plan"
 )
 def q_file_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.plan_files(docs(spark, sf_dir), PROFILE, ["row_id"]).select("url", "entry", "type", "release", "filter", "path")
 
 
-@query()
+@query(f"WITH {_PLAN} SELECT path, count(*) AS n, min(url) AS first_url FROM plan GROUP BY path HAVING count(*) > 1")
 def q_path_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.path_collisions(profiles.plan_files(docs(spark, sf_dir), PROFILE, ["row_id"]))
 

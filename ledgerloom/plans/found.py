@@ -128,5 +128,30 @@ WHERE scan_no BETWEEN 2 AND (SELECT max(scan_no) FROM listings) AND (was_ IS NUL
 )
 
 
+P6_SQL = """WITH r AS (SELECT DISTINCT file_id, record FROM support_rows), f AS (SELECT file_id, min(table_name) AS t, min(scan_no) AS s FROM support_rows GROUP BY file_id),
+p AS (SELECT * FROM (SELECT file_id, lag(file_id) OVER (PARTITION BY t ORDER BY s, file_id) AS prev FROM f) WHERE prev IS NOT NULL),
+c AS (SELECT r.file_id, r.record AS line, trim(regexp_replace(lower(e.key), '\\s+', ' ', 'g')) AS name,
+  CASE WHEN e.type = 'VARCHAR' THEN 'text' WHEN e.type = 'BOOLEAN' THEN 'flag' WHEN e.type IN ('ARRAY', 'OBJECT') THEN lower(e.type) WHEN e.type <> 'NULL' THEN 'number' END AS kind,
+  CASE WHEN e.type <> 'NULL' THEN e.value::VARCHAR END AS val FROM r, json_each(r.record) e),
+n AS (SELECT file_id, count(*) AS lines FROM r GROUP BY file_id),
+cols AS (SELECT file_id, name, list_sort(list(DISTINCT kind) FILTER (WHERE kind IS NOT NULL)) AS kinds, count(val) > 0 AND count(val) = count(DISTINCT val) AND count(val) >= 0.9 * min(lines) AS ident FROM c JOIN n USING (file_id) GROUP BY file_id, name),
+was AS (SELECT p.file_id, cols.name, cols.kinds, cols.ident FROM p JOIN cols ON cols.file_id = p.prev), now_ AS (SELECT p.file_id, cols.name, cols.kinds, cols.ident FROM p JOIN cols ON cols.file_id = p.file_id),
+gone AS (SELECT * FROM was ANTI JOIN now_ USING (file_id, name)), come AS (SELECT * FROM now_ ANTI JOIN was USING (file_id, name)),
+torn AS (SELECT DISTINCT file_id FROM gone SEMI JOIN come USING (file_id)),
+anchors AS (SELECT a.file_id, a.name AS x, b.name AS y FROM was a JOIN now_ b ON a.file_id = b.file_id AND a.name = b.name SEMI JOIN torn ON torn.file_id = a.file_id WHERE a.ident AND b.ident
+  UNION ALL SELECT g.file_id, g.name, h.name FROM gone g JOIN come h ON g.file_id = h.file_id WHERE g.ident AND h.ident),
+links AS (SELECT a.file_id, p.prev, a.x, a.y, o.line AS old_line, w.line AS new_line FROM anchors a JOIN p ON p.file_id = a.file_id
+  JOIN c o ON o.file_id = p.prev AND o.name = a.x AND o.val IS NOT NULL JOIN c w ON w.file_id = a.file_id AND w.name = a.y AND w.val = o.val),
+best AS (SELECT * FROM (SELECT file_id, x, y, count(*) AS n FROM links GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY file_id ORDER BY n DESC, x = y DESC, x, y) = 1),
+ren AS (SELECT l.file_id, g.name AS old_name, h.name AS new_name FROM links l SEMI JOIN best b ON b.file_id = l.file_id AND b.x = l.x AND b.y = l.y
+  JOIN gone g ON g.file_id = l.file_id JOIN come h ON h.file_id = l.file_id
+  JOIN c o ON o.file_id = l.prev AND o.name = g.name AND o.line = l.old_line AND o.val IS NOT NULL JOIN c w ON w.file_id = l.file_id AND w.name = h.name AND w.line = l.new_line AND w.val IS NOT NULL
+  GROUP BY ALL HAVING avg((o.val = w.val)::INTEGER) >= 0.8)
+SELECT file_id, 'renamed' AS change, old_name, new_name FROM ren
+UNION ALL SELECT file_id, 'added', '', name FROM come WHERE NOT EXISTS (SELECT 1 FROM ren WHERE ren.file_id = come.file_id AND ren.new_name = come.name)
+UNION ALL SELECT file_id, 'removed', name, '' FROM gone WHERE NOT EXISTS (SELECT 1 FROM ren WHERE ren.file_id = gone.file_id AND ren.old_name = gone.name)
+UNION ALL SELECT a.file_id, 'retyped', a.name, a.name FROM was a JOIN now_ b ON a.file_id = b.file_id AND a.name = b.name WHERE len(a.kinds) > 0 AND len(b.kinds) > 0 AND a.kinds <> b.kinds"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p3_found": P3_SQL, "p4_found": P4_SQL}
+    return {"p3_found": P3_SQL, "p4_found": P4_SQL, "p6_found": P6_SQL}

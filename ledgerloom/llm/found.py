@@ -83,5 +83,21 @@ def queries() -> dict:
     }
 
 
+#: The same matching by comparing every word with every word of the list.
+P5_SQL = """WITH typed AS (SELECT 'recommendations' AS source_table, row_id, platform AS value FROM recommendations UNION ALL SELECT 'datasheets', row_id, product FROM datasheets),
+filled AS (SELECT * FROM typed WHERE regexp_replace(coalesce(value, ''), '[\\s\\p{Z}\\p{Cf}]+', '', 'g') <> ''),
+b AS (SELECT DISTINCT value, regexp_replace(value, '[\\x{200B}-\\x{200D}\\x{2060}\\x{FEFF}\\x{00AD}\\x{2122}\\x{00AE}]', '', 'g') AS bare FROM filled),
+m AS (SELECT value, bare, lower(regexp_replace(regexp_extract(bare, '(?i)lp[\\s\\p{Z}-]*[0-9]{3}[\\s\\p{Z}-]*[a-z]{0,2}\\b'), '[\\s\\p{Z}-]', '', 'g')) AS lp, regexp_extract(bare, '(?:^|[^0-9])([0-9]{4})(?:[^0-9]|$)', 1) AS num FROM b),
+models AS (SELECT min(entry_id) AS entry_id, lower(regexp_extract(entry, 'LP[0-9]+[A-Za-z]*|[0-9]{4}')) AS model FROM entries WHERE regexp_matches(entry, '[0-9]{3}') GROUP BY 2),
+w AS (SELECT value, unnest(list_distinct(regexp_extract_all(lower(regexp_replace(bare, '([a-z])([A-Z])([a-zA-Z]{2})', '\\1 \\2\\3', 'g')), '\\p{L}+\\.?'))) AS word FROM m WHERE lp = '' AND num = ''),
+named AS (SELECT entry_id, entry, unnest(list_distinct(string_split(lower(entry), ' '))) AS part FROM entries WHERE NOT regexp_matches(entry, '[0-9]{3}')),
+near AS (SELECT DISTINCT w.value, v.part FROM w JOIN (SELECT DISTINCT part FROM named) v ON (levenshtein(rtrim(word, '.'), part) <= 1 AND length(part) >= 3)
+  OR (levenshtein(rtrim(word, '.'), part) <= 2 AND (length(part) >= 5 OR list_sort(string_split(rtrim(word, '.'), '')) = list_sort(string_split(part, '')))) OR (ends_with(word, '.') AND starts_with(part, rtrim(word, '.')))),
+whole AS (SELECT value, min(entry_id) AS entry_id FROM (SELECT near.value, named.entry_id FROM near JOIN named USING (part) GROUP BY near.value, named.entry_id, named.entry HAVING count(*) = len(list_distinct(string_split(lower(named.entry), ' ')))) GROUP BY value),
+glued AS (SELECT w.value, min(e.entry_id) AS entry_id FROM w JOIN (SELECT DISTINCT entry_id, replace(lower(entry), ' ', '') AS run FROM named) e ON levenshtein(rtrim(w.word, '.'), e.run) <= 2 GROUP BY w.value)
+SELECT f.source_table, f.row_id, coalesce(CASE WHEN m.lp <> '' OR m.num <> '' THEN models.entry_id ELSE coalesce(whole.entry_id, glued.entry_id) END, 0)::BIGINT AS entry_id
+FROM filled f JOIN m ON m.value = f.value LEFT JOIN models ON models.model = CASE WHEN m.lp <> '' THEN m.lp ELSE m.num END LEFT JOIN whole ON whole.value = f.value LEFT JOIN glued ON glued.value = f.value"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p5_found": P5_SQL}

@@ -128,6 +128,19 @@ WHERE scan_no BETWEEN 2 AND (SELECT max(scan_no) FROM listings) AND (was_ IS NUL
 )
 
 
+_BLANK = "[\\s\\p{Z}\\x{85}]"
+_DIVIDES = f"{_BLANK}+(?:and|or|&){_BLANK}+|{_BLANK}+/{_BLANK}+|[,;|\\t\\r\\n]"
+#: Quoted and bracketed parts, delimiters and single characters of a cell in turn; delimiters become chr(1), on which it is split.
+P1_SQL = f"""WITH c AS (SELECT 'ap_firmware' AS source_table, row_id, supported_fw_versions AS cell FROM ap_firmware UNION ALL SELECT 'eos_notices', row_id, replacement_product FROM eos_notices),
+f AS (SELECT source_table, row_id, cell || ' ' AS cell FROM c WHERE cell IS NOT NULL AND lower(regexp_replace(cell, '{_BLANK}+', '', 'g')) NOT IN ('', 'n/a', '-')),
+t AS (SELECT *, regexp_extract_all(cell, '"(?:[^"]|"")*"|''[^'']*''|“[^”]*”|\\([^()]*\\)|{_DIVIDES}|[\\s\\S]') AS parts FROM f),
+p AS (SELECT source_table, row_id, string_split(array_to_string(list_transform(parts, lambda x: CASE WHEN regexp_full_match(x, '{_DIVIDES}') THEN chr(1) ELSE x END), ''), chr(1)) AS pieces FROM t),
+q AS (SELECT source_table, row_id, list_transform(pieces, lambda x: regexp_replace(x, '^{_BLANK}+|{_BLANK}+$', '', 'g')) AS pieces FROM p),
+u AS (SELECT source_table, row_id, list_transform(pieces, lambda x: CASE WHEN regexp_full_match(x, '"(?:[^"]|"")*"') THEN replace(substr(x, 2, length(x) - 2), '""', '"')
+  WHEN regexp_full_match(x, '''[^'']*''|“[^”]*”') THEN substr(x, 2, length(x) - 2) ELSE x END) AS pieces FROM q),
+v AS (SELECT source_table, row_id, list_filter(list_transform(pieces, lambda x: trim(regexp_replace(x, '{_BLANK}+', ' ', 'g'), ' ')), lambda x: x <> '') AS vals FROM u)
+SELECT source_table, row_id, unnest(range(1, len(vals) + 1))::INTEGER AS pos, unnest(vals) AS val FROM v"""
+
 P6_SQL = """WITH r AS (SELECT DISTINCT file_id, record FROM support_rows), f AS (SELECT file_id, min(table_name) AS t, min(scan_no) AS s FROM support_rows GROUP BY file_id),
 p AS (SELECT * FROM (SELECT file_id, lag(file_id) OVER (PARTITION BY t ORDER BY s, file_id) AS prev FROM f) WHERE prev IS NOT NULL),
 c AS (SELECT r.file_id, r.record AS line, trim(regexp_replace(lower(e.key), '\\s+', ' ', 'g')) AS name,
@@ -154,4 +167,4 @@ UNION ALL SELECT a.file_id, 'retyped', a.name, a.name FROM was a JOIN now_ b ON
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p3_found": P3_SQL, "p4_found": P4_SQL, "p6_found": P6_SQL}
+    return {"p1_found": P1_SQL, "p3_found": P3_SQL, "p4_found": P4_SQL, "p6_found": P6_SQL}

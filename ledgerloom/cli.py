@@ -28,12 +28,17 @@ def due(root: str, today: str, sites: list[str], after: int) -> tuple[bool, str]
     return scan_due(today, read_meta(root).get("scanned") or {}, sites, after)
 
 
-def publish_scan(store: VersionStore, today: str, deliveries: dict, keys: dict[str, list[str]], site: str, allow_shrink: bool = False) -> dict[str, int]:
+def publish_scan(store: VersionStore, today: str, deliveries: dict, keys: dict[str, list[str]], site: str, allow_shrink: bool = False, watched: dict | None = None) -> dict[str, int]:
     """All deliveries of a scan merged and published together; every guard is asked before anything is written.
 
-    deliveries: table name -> rows with an `ord` column. Returns how many rows each ledger has.
+    deliveries: table name -> rows with an `ord` column. watched: name -> pages with their status, which are guarded and
+    counted but not written. Returns how many rows each ledger and how many pages each watched table has.
     """
     spark, merged, counts = store.spark, {}, {}
+    last = (read_meta(store.root).get("counts") or {}).get(site) or {}
+    for name, pages in (watched or {}).items():
+        counts[name], failed = pages.agg(F.count("*"), F.count_if(F.col("status") != 200)).head()
+        guard(name, counts[name], last.get(name), failed, allow=allow_shrink)
     for name, new in deliveries.items():
         values = [c for c in new.columns if c not in ("ord", "first_seen", "last_seen")]
         schema = ", ".join(f"`{c}` {new.schema[c].dataType.simpleString()}" for c in values) + ", first_seen string, last_seen string"
@@ -75,6 +80,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     p.add_argument("deliveries")
     p.add_argument("--site", required=True)
     p.add_argument("--keys", required=True, help='JSON: {"listings": ["url", "page"]}')
+    p.add_argument("--watched", nargs="*", default=[], help="deliveries with a status that are only guarded and counted: archive_pages")
     p.add_argument("--today", default=dt.date.today().isoformat())
     p.add_argument("--if-due", action="store_true")
     p.add_argument("--after", type=int, default=30)
@@ -107,7 +113,8 @@ def main(argv: Sequence[str] | None = None) -> int:
             return 0
         keys = json.loads(args.keys)
         found = {n: spark.read.parquet(f"{args.deliveries}/{n}.parquet") for n in keys}
-        print(json.dumps(publish_scan(VersionStore(spark, args.root), args.today, found, keys, args.site, args.allow_shrink)))
+        watched = {n: spark.read.parquet(f"{args.deliveries}/{n}.parquet") for n in args.watched}
+        print(json.dumps(publish_scan(VersionStore(spark, args.root), args.today, found, keys, args.site, args.allow_shrink, watched)))
         return 0
     if args.command == "compare":
         summary = compare(VersionStore(spark, args.root), args.a, args.b, json.loads(args.keys), json.loads(args.shown))

@@ -7,6 +7,7 @@ parser, and its results are ready to be merged and published together.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import urljoin
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from ledgerloom.functions.links import format_via, join_url, link_kind, portal_r
 from ledgerloom.functions.urls import area_of, canonical, host
 from ledgerloom.operators import catalog
 from ledgerloom.operators.ledger import first_wins
-from ledgerloom.sources.html import read_docs_pages, read_index, read_links, read_tables
+from ledgerloom.sources.html import read_archive, read_docs_pages, read_index, read_links, read_tables
 
 
 def numbered(df: DataFrame, order: list[Column]) -> DataFrame:
@@ -25,17 +26,37 @@ def numbered(df: DataFrame, order: list[Column]) -> DataFrame:
     return df.withColumn("ord", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
 
 
-def scan_docs(raw: DataFrame, index_url: str, wanted: str, hosts: dict[str, list[str]], site_suffix: str = "") -> dict[str, DataFrame]:
-    """pages, listings and health of the documentation site.
+def scan_archive(raw: DataFrame, menu_url: str, wanted: str, docs_url: str, hosts: dict[str, list[str]]) -> dict[str, DataFrame]:
+    """release-notes: the links of every archive page the menu leads to, without those back to the docs host; archive_pages: their status.
+
+    A page the menu names but that was not fetched has status 0.
+    """
+    at, last = canonical(F.col("url")), F.regexp_extract(F.regexp_replace("page", "/+$", ""), "([^/]*)$", 1)
+    menu = read_archive(raw.where((at == canonical(F.lit(menu_url))) & (F.col("status") == 200)), wanted).select(canonical(F.col("url")).alias("page")).distinct()
+    pages = menu.join(raw.withColumn("page", at), "page", "left").select("page", F.coalesce("url", "page").alias("url"), F.coalesce("status", F.lit(0)).alias("status"), "body")
+    found = read_links(pages.where("status = 200")).withColumn("fv", format_via(link_kind(F.col("href"), F.col("label"), **hosts)))
+    found = found.where(F.regexp_replace(host(F.col("href")), ":[0-9]*$", "") != F.regexp_replace(host(F.lit(docs_url)), ":[0-9]*$", ""))
+    rows = found.select(last.alias("archive_page"), F.col("label").alias("title"), F.col("fv.format").alias("format"), F.col("fv.via").alias("via"), F.col("href").alias("url"), "page", F.col("pos").alias("ord"))
+    return {"release-notes": first_wins(rows, ["archive_page", "url"], [F.col("page"), F.col("ord")]).drop("page"), "archive_pages": pages.select("page", "status")}
+
+
+def scan_docs(
+    raw: DataFrame, index_url: str, wanted: str, hosts: dict[str, list[str]], site_suffix: str = "", archive_url: str = "/support/release-notes/", archive_wanted: str = "/release-notes/product/"
+) -> dict[str, DataFrame]:
+    """pages, listings and health of the documentation site, and release-notes and archive_pages of its archive.
 
     An index entry owns its own page and, through that page's menu, the pages of its releases; index links win over menu
-    links, earlier entries over later ones. A page no entry owns is an orphan. Listings are the items of every page.
+    links, earlier entries over later ones. A page no entry owns is an orphan. Listings are the items of every page. The
+    archive's menu and the pages it leads to are no documentation pages.
     """
     at = canonical(F.col("url"))
+    menu_url = urljoin(index_url, archive_url)
+    archive = scan_archive(raw, menu_url, archive_wanted, index_url, hosts)
     index = read_index(raw.where(at == canonical(F.lit(index_url))), wanted).withColumn("pos", F.monotonically_increasing_id())
     entries = numbered(index.select(canonical(F.col("url")).alias("url"), "heading", F.col("label").alias("entry"), "pos"), [F.col("pos")]).drop("pos")
     entries = first_wins(entries, ["url"], [F.col("ord")])
-    pages = raw.where(at != canonical(F.lit(index_url))).select(F.col("url"), "status", "body")
+    pages = raw.where(~at.isin(canonical(F.lit(index_url)), canonical(F.lit(menu_url)))).select(F.col("url"), "status", "body")
+    pages = pages.withColumn("page", at).join(archive["archive_pages"], "page", "left_anti").drop("page")
     parsed = read_docs_pages(pages, wanted, site_suffix).join(pages.select("url", "status"), "url").withColumn("page", canonical(F.col("url")))
     options = parsed.select("page", F.posexplode("doc.options").alias("pos", "o")).select("page", "pos", F.col("o.label").alias("label"), canonical(F.col("o.url")).alias("target"))
     menu = options.join(entries.withColumnRenamed("url", "page"), "page").select(F.col("target").alias("url"), "heading", "entry", "ord")
@@ -58,7 +79,7 @@ def scan_docs(raw: DataFrame, index_url: str, wanted: str, hosts: dict[str, list
         month_iso(F.col("i.date")).alias("month"), F.col("fv.format").alias("format"), F.col("fv.via").alias("via"), host(F.col("i.url")).alias("host"), F.col("i.url").alias("url"), "page", "ord",
     )
     health = catalog.page_health(full.select("page", "status", F.size("doc.items").alias("items"), F.col("doc.missed").alias("missed"), F.col("doc.selects").alias("selects"), F.col("doc.signals").alias("signals"), "entry"))
-    return {"pages": page_rows, "listings": listings, "health": health}
+    return {"pages": page_rows, "listings": listings, "health": health, **archive}
 
 
 def guide_redirects(raw: DataFrame) -> DataFrame:

@@ -282,6 +282,11 @@ def read_index(pages: DataFrame, wanted: str, url: str = "url", body: str = "bod
     return _udf(pages, "heading string, label string, url string", lambda b, u: index_entries(b, u, wanted), url, body)
 
 
+def read_archive(pages: DataFrame, wanted: str, url: str = "url", body: str = "body") -> DataFrame:
+    """page, url: the archive pages each page's menus lead to."""
+    return _udf(pages, "url string", lambda b, u: [(v,) for v in archive_pages(b, u, wanted)], url, body)
+
+
 def read_tables(pages: DataFrame, url: str = "url", body: str = "body") -> DataFrame:
     """Long form of all tables: page, table_no, caption, row_no, col_no, header, value; a last column holds the row's links."""
 

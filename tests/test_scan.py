@@ -1,4 +1,8 @@
+import pytest
+
+from ledgerloom import cli
 from ledgerloom.operators import library, scan
+from ledgerloom.operators.ledger import GuardError, VersionStore
 from ledgerloom.operators.reporting import render_last_scan
 from ledgerloom.sources import files
 
@@ -33,6 +37,32 @@ def test_docs_site(spark):
     assert [tuple(r) for r in moved.collect()] == [("https://h/g", "https://h/g/ug_revabdev/", "AB")]
 
 
+ARCHIVE = [
+    (f"{D}/support/release-notes", 200, "<select><option value=''>-<option value='/release-notes/product/sw/'>S<option value='/release-notes/product/sw'>S<option value='/release-notes/product/ap/'>P<option value='/release-notes/product/lost/'>L<option value='/release-notes/product/gone/'>G<option value='/entry/b/'>B</select>"),
+    (f"{D}/release-notes/product/sw/", 200, f"<main><a href='https://www.vendor.example/n1.pdf'>N1</a><a href='https://www.vendor.example/n1.pdf'>N1 again</a><a href='{D}/entry/a/'>Back</a><a href='https://x.hubstore.example/n2'>N2</a></main>"),
+    (f"{D}/release-notes/product/ap/", 200, "<main><a href='https://www.vendor.example/n1.pdf'>N1 of P</a></main>"),
+    (f"{D}/release-notes/product/gone/", 404, "<a href='https://www.vendor.example/404.pdf'>no</a>"),
+]
+
+
+def test_release_notes_archive(spark, tmp_path):
+    raw = spark.createDataFrame(RAW + ARCHIVE, "url string, status int, body string")
+    got, plain = scan.scan_docs(raw, f"{D}/", "/entry/", HOSTS, "| Docs"), scan.scan_docs(spark.createDataFrame(RAW, "url string, status int, body string"), f"{D}/", "/entry/", HOSTS, "| Docs")
+    notes = {(r["archive_page"], r["title"], r["format"], r["via"], r["url"]) for r in got["release-notes"].collect()}
+    assert notes == {("sw", "N1", "pdf", "direct", f"{M}/n1.pdf"), ("sw", "N2", "file", "content_hub", "https://x.hubstore.example/n2"), ("ap", "N1 of P", "pdf", "direct", f"{M}/n1.pdf")}
+    assert {(r["page"].split("/")[-2], r["status"]) for r in got["archive_pages"].collect()} == {("sw", 200), ("ap", 200), ("lost", 0), ("gone", 404)}
+    for name in ("pages", "listings", "health"):  # the archive's own pages are no documentation pages
+        assert sorted(map(str, got[name].collect())) == sorted(map(str, plain[name].collect()))
+    assert plain["release-notes"].count() == 0 and plain["archive_pages"].count() == 0
+    store, parts, keys = VersionStore(spark, str(tmp_path / "store")), {"release-notes": got["release-notes"]}, {"release-notes": ["archive_page", "url"]}
+    with pytest.raises(GuardError):
+        cli.publish_scan(store, "2025-01-01", parts, keys, "docs-site", watched={"archive_pages": got["archive_pages"]})
+    fine = got["archive_pages"].where("status = 200")
+    assert cli.publish_scan(store, "2025-01-01", parts, keys, "docs-site", watched={"archive_pages": fine}) == {"archive_pages": 2, "release-notes": 3}
+    with pytest.raises(GuardError):
+        cli.publish_scan(store, "2025-01-02", parts, keys, "docs-site", watched={"archive_pages": fine.limit(1)})
+
+
 def test_main_site(spark):
     nav = "<a href='/contact'>Contact</a>"
     raw = [(f"{M}/products/p{i}/", 200, f"<title>P{i} | Vendor</title><main><h2>Files</h2><a href='https://a.hubstore.example/d{i}'>Data Sheet</a>{nav}</main>") for i in range(9)]

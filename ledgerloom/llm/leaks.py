@@ -7,7 +7,7 @@ import pickle
 import re
 import unicodedata
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -148,18 +148,20 @@ def common_length(a: list[int], b: list[int]) -> int:
     return row[-1]
 
 
-def stretch(anchors: list[tuple[int, int, int]], doc: list[int], item: list[int]) -> tuple[int, int, int, list[tuple[int, int]]]:
-    """The best chain of exact runs (doc start, item start, length) in common order.
+def chains(anchors: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int, int]]]:
+    """For every exact run (doc start, item start, length) the best chain in common order that ends with it, best ones first.
 
     Gaps on either side may hold up to SMALL_GAP words and a quarter of what is matched; once, other sentences of up to
-    INTERRUPTION words may stand in the document. Result: words repeated, first and last item word, and the parts of the
-    document that repeat them (one, or two around an interruption); ends are exclusive.
+    INTERRUPTION words may stand in the document.
     """
     anchors = sorted(set(anchors))
     best: list[list[tuple[float, int, int]]] = []  # per anchor and number of interruptions: score, previous anchor, its interruptions
+    longest, first = max(n for _, _, n in anchors), 0
     for i, (d, p, n) in enumerate(anchors):
         now = [(float(n), -1, 0), (float(n), -1, 1)]
-        for j in range(i):
+        while anchors[first][0] + longest + INTERRUPTION < d:
+            first += 1
+        for j in range(first, i):
             dj, pj, nj = anchors[j]
             over = max(dj + nj - d, pj + nj - p, 0)
             if over >= n or d <= dj or p <= pj:
@@ -175,16 +177,62 @@ def stretch(anchors: list[tuple[int, int, int]], doc: list[int], item: list[int]
             elif gap_doc <= INTERRUPTION and (score := best[j][0][0] + gain) > now[1][0]:
                 now[1] = (score, j, 0)
         best.append(now)
-    score, i, k = max((best[i][k][0], i, k) for i in range(len(anchors)) for k in (0, 1))
-    chain = []
-    while i >= 0:
-        chain.append(i)
-        _, i, k = best[i][k]
-    chain.reverse()
-    d0, p0, _ = anchors[chain[0]]
+    for _, i, k in sorted(((best[i][k][0], i, k) for i in range(len(anchors)) for k in (0, 1)), reverse=True):
+        chain = []
+        while i >= 0:
+            chain.append(anchors[i])
+            _, i, k = best[i][k]
+        yield chain[::-1]
+
+
+def may_pass(chain: list[tuple[int, int, int]], doc: list[int], item: list[int]) -> bool:
+    """Whether a chain can come up to the limits at all, with every gap and end as full as it can be."""
+    reach, words = SMALL_GAP + 2, chain[0][2]
+    (d0, p0, _), (d1, p1, n1) = chain[0], chain[-1]
+    for (dj, pj, nj), (d, p, n) in zip(chain, chain[1:]):
+        words += n + max(p - pj - nj, 0)
+    words, d1, p1 = min(words, p1 + n1 - p0), d1 + n1, p1 + n1
+    before, after = set(doc[max(0, d0 - reach - 1) : d0]), set(doc[d1 : d1 + reach + 1])
+    ends = sum(x in before for x in item[max(0, p0 - reach) : p0]) + sum(x in after for x in item[p1 : p1 + reach])
+    return words + ends >= LEAST_WORDS * 0.8
+
+
+def passes(words: int, p0: int, p1: int) -> bool:
+    return words >= LEAST_WORDS * 0.8 and p1 - p0 >= LEAST_WORDS * 0.92 and words >= LEAST_SHARE * (p1 - p0)
+
+
+def stretch(anchors: list[tuple[int, int, int]], doc: list[int], item: list[int]) -> tuple[int, int, int, list[tuple[int, int]]] | None:
+    """What the best chain of exact runs repeats that passes the limits, as `measured` gives it; None if none passes.
+
+    A chain that fails as a whole may have taken in chance runs at its ends: its parts are tried then, those with most
+    words first, and then the chains that end elsewhere.
+    """
+    tried = set()
+    for chain in chains(anchors):
+        found = None
+        for size in range(len(chain), 0, -1):
+            for start in range(len(chain) - size + 1):
+                part = tuple(chain[start : start + size])
+                if part in tried:
+                    continue
+                tried.add(part)
+                if may_pass(part, doc, item) and passes(*(got := measured(part, doc, item))[:3]) and (found is None or got[0] > found[0]):
+                    found = got
+            if size == len(chain) and found:
+                break
+        if found:
+            return found
+    return None
+
+
+def measured(chain: Sequence[tuple[int, int, int]], doc: list[int], item: list[int]) -> tuple[int, int, int, list[tuple[int, int]]]:
+    """What a chain of exact runs repeats: words, first and last item word, and the parts of the document that repeat them.
+
+    There is one part, or two around an interruption; ends are exclusive.
+    """
+    d0, p0, _ = chain[0]
     d1, p1, words, parts = d0, p0, 0, [d0]
-    for i in chain:
-        d, p, n = anchors[i]
+    for d, p, n in chain:
         over = max(d1 - d, p1 - p, 0)
         if d + over - d1 <= 2 * SMALL_GAP:
             words += common_length(doc[d1 : d + over], item[p1 : p + over])
@@ -239,9 +287,8 @@ class ItemIndex:
         for item, runs in anchors.items():
             if sum(n for _, _, n in runs) < LEAST_WORDS // 3:
                 continue
-            words, p0, p1, parts = stretch(runs, numbers, self.words[item])
-            if words >= LEAST_WORDS * 0.8 and p1 - p0 >= LEAST_WORDS * 0.92 and words >= LEAST_SHARE * (p1 - p0):
-                yield self.ids[item], words, p0, p1, parts
+            if found := stretch(runs, numbers, self.words[item]):
+                yield self.ids[item], *found
 
 
 def item_blocks(items: DataFrame, item_id: str, passage: str) -> Iterator[list[tuple[int, str]]]:

@@ -96,6 +96,14 @@ def test_blocks_of_items_give_the_same(spark, monkeypatch):
     assert {tuple(r) for r in find_leaks(df, items).collect()} == whole and len(whole) == 2
 
 
+def test_a_chance_run_beyond_the_end_loses_no_leak():
+    index, words = ItemIndex([(1, ITEM)]), ITEM.split()
+    far = " ".join(["unknown"] * 20)
+    for text in (f"{' '.join(words[:30])} {far} {' '.join(words[38:41])}", f"{' '.join(words[:3])} {far} {' '.join(words[11:41])}"):
+        (found,) = index.leaks(normal_words(text))
+        assert found[1] == 30 and found[3] - found[2] == 30
+
+
 def test_building_alike_is_no_leak():
     index = ItemIndex([(1, ITEM)])
     rng = random.Random(9)

@@ -69,10 +69,17 @@ class SuffixAutomaton:
                 while len(ends) < len(self.length):
                     ends.append([])
                 ends[last].append((number, at))
-        for state in sorted(range(1, len(self.length)), key=self.length.__getitem__, reverse=True):
+        self.sequences, self.offset = sequences, [0] * len(self.length)  # where a state's places stand among its link's
+        order = sorted(range(1, len(self.length)), key=self.length.__getitem__, reverse=True)
+        for state in order:
             if self.length[up := self.link[state]] >= ANCHOR:
+                self.offset[state] = len(ends[up])
                 ends[up] += ends[state]
         self.ends = [tuple(e) if n >= ANCHOR else () for e, n in zip(ends, self.length)]
+        self.top = list(range(len(self.length)))  # the last state of at least ANCHOR words on the way of the links
+        for state in reversed(order):
+            if self.length[up := self.link[state]] >= ANCHOR:
+                self.top[state] = self.top[up]
 
     def _clone(self, of: int, length: int) -> int:
         self.next.append(dict(self.next[of]))
@@ -133,6 +140,38 @@ class SuffixAutomaton:
         if length >= ANCHOR:
             yield stop, length, state
 
+    def runs(self, words: list[int], start: int, stop: int) -> Iterator[tuple[int, int, int, int]]:
+        """Every sequence's own maximal runs of at least ANCHOR words within words[start:stop]: sequence, start in words, start in it, length.
+
+        A run of one sequence ends where that sequence goes on differently, however far others go on.
+        """
+        step, link, size, ends, offset, top = self.next, self.link, self.length, self.ends, self.offset, self.top
+        state = length = 0
+        for at in range(start, stop):
+            word = words[at]
+            while (after := step[state].get(word)) is None and state:
+                state = link[state]
+                length = size[state]
+            if after is None:
+                continue
+            state, length = after, length + 1
+            if length < ANCHOR:
+                continue
+            follow = words[at + 1] if at + 1 < stop else 0
+            if (on := step[top[state]].get(follow)) is not None and len(ends[on]) == len(ends[top[state]]):
+                continue  # every place goes on
+            here, n, below = state, length, None
+            while size[here] >= ANCHOR:
+                places = ends[here]
+                if below is not None:
+                    places = places[: offset[below]] + places[offset[below] + len(ends[below]) :]
+                for number, end in places:
+                    sequence = self.sequences[number]
+                    if end + 1 == len(sequence) or sequence[end + 1] != follow:
+                        yield number, at + 1 - n, end + 1 - n, n
+                here, below = link[here], here
+                n = size[here]
+
 
 def common_length(a: list[int], b: list[int]) -> int:
     """Length of the longest common subsequence of two short lists."""
@@ -279,11 +318,10 @@ class ItemIndex:
         long = np.flatnonzero(edges[1::2] - edges[::2] >= ANCHOR)
         if not len(long):
             return
-        anchors, ends = defaultdict(list), self.automaton.ends
+        anchors = defaultdict(list)
         for start, stop in zip(edges[::2][long].tolist(), edges[1::2][long].tolist()):
-            for end, length, state in self.automaton.matches(numbers, start, stop):
-                for item, at in ends[state]:
-                    anchors[item].append((end - length, at + 1 - length, length))
+            for item, d, p, n in self.automaton.runs(numbers, start, stop):
+                anchors[item].append((d, p, n))
         for item, runs in anchors.items():
             if sum(n for _, _, n in runs) < LEAST_WORDS // 3:
                 continue

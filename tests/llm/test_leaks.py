@@ -46,6 +46,36 @@ def test_automaton_against_brute_force():
             assert set(automaton.ends[state]) == places
 
 
+def test_runs_of_every_sequence_against_brute_force():
+    rng = random.Random(4)
+    for _ in range(80):
+        items = [[rng.randint(1, 3) for _ in range(rng.randint(0, 14))] for _ in range(5)]
+        items.append(items[0][2:9])
+        text = [rng.randint(0, 3) for _ in range(25)] + items[0] + [rng.randint(0, 3) for _ in range(5)]
+        want = set()
+        for i, item in enumerate(items):
+            for d in range(len(text)):
+                for p in range(len(item)):
+                    n = 0
+                    while d + n < len(text) and p + n < len(item) and text[d + n] == item[p + n]:
+                        n += 1
+                    if n >= ANCHOR and not (d and p and text[d - 1] == item[p - 1]):
+                        want.add((i, d, p, n))
+        automaton, edges = SuffixAutomaton(items), [-1, *[k for k, x in enumerate(text) if x == 0], len(text)]
+        got = [r for a, b in zip(edges, edges[1:]) for r in automaton.runs(text, a + 1, b)]
+        assert set(got) == want and len(got) == len(want)
+
+
+def test_contained_and_nearly_equal_items(spark):
+    words = passage(60, 21).split()
+    near = ["other" if k in (20, 41) else w for k, w in enumerate(words)]
+    held = {1: words, 2: words[:30], 3: words[15:45], 4: words[30:], 5: near, 6: words[:30] + passage(30, 22).split(), 7: passage(60, 23).split()}
+    items = spark.createDataFrame([(i, " ".join(w)) for i, w in held.items()], "item_id long, passage string")
+    df = spark.createDataFrame([(1, f"{NOISE[0]} {' '.join(words)} {NOISE[1]}"), (2, f"{NOISE[0]} {' '.join(near)} {NOISE[1]}")], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"]) for r in find_leaks(df, items).collect())
+    assert got == [(d, i) for d in (1, 2) for i in range(1, 7)]
+
+
 def test_common_length():
     assert common_length([1, 2, 3, 4], [2, 9, 4]) == 2 and common_length([], [1]) == 0 and common_length([0, 0], [0, 0]) == 0
 

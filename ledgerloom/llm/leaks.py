@@ -297,6 +297,21 @@ def measured(chain: Sequence[tuple[int, int, int]], doc: list[int], item: list[i
     return words, p0, p1, list(zip(parts[::2], parts[1::2]))
 
 
+def without(anchors: list[tuple[int, int, int]], start: int, stop: int) -> list[tuple[int, int, int]]:
+    """The exact runs outside words[start:stop] of the document; what is left of one they share must still be an anchor."""
+    kept = []
+    for d, p, n in anchors:
+        before, after = min(n, max(0, start - d)), min(n, max(0, d + n - stop))
+        if before == n or after == n:
+            kept.append((d, p, n))
+            continue
+        if before >= ANCHOR:
+            kept.append((d, p, before))
+        if after >= ANCHOR:
+            kept.append((d + n - after, p + n - after, after))
+    return kept
+
+
 class ItemIndex:
     """The items of one block: their vocabulary, their words as numbers, and the automaton over them."""
 
@@ -308,8 +323,12 @@ class ItemIndex:
             self.words.append([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in normal_words(passage)])
         self.automaton = SuffixAutomaton(self.words)
 
-    def leaks(self, found: list[str]) -> Iterator[tuple[int, int, int, int, list[tuple[int, int]]]]:
-        """item_id, words repeated, first and last item word, and the parts of the document, for its normal words."""
+    def leaks(self, found: list[str], every: bool = True) -> Iterator[tuple[int, int, int, int, list[tuple[int, int]]]]:
+        """item_id, words repeated, first and last item word, and the parts of the document, for its normal words.
+
+        An item the document repeats at several places comes out with each of them, the best one first; with every=False
+        with that one only.
+        """
         if len(found) < ANCHOR:
             return
         numbers = list(map(self.vocabulary.get, found, [0] * len(found)))
@@ -325,8 +344,15 @@ class ItemIndex:
         for item, runs in anchors.items():
             if sum(n for _, _, n in runs) < LEAST_WORDS // 3:
                 continue
-            if found := stretch(runs, numbers, self.words[item]):
+            left = numbers
+            while runs and (found := stretch(runs, left, self.words[item])):
                 yield self.ids[item], *found
+                if not every:
+                    break
+                left = left.copy()
+                for a, b in found[3]:
+                    left[a:b] = [0] * (b - a)
+                    runs = without(runs, a, b)
 
 
 def item_blocks(items: DataFrame, item_id: str, passage: str) -> Iterator[list[tuple[int, str]]]:
@@ -343,8 +369,10 @@ def item_blocks(items: DataFrame, item_id: str, passage: str) -> Iterator[list[t
         yield block
 
 
-def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", passage: str = "passage") -> DataFrame:
-    """Every (doc_id, item_id) of which the document repeats at least LEAST_WORDS words in order, with the stretch.
+def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", passage: str = "passage", every: bool = False) -> DataFrame:
+    """Every (doc_id, item_id) of which the document repeats at least LEAST_WORDS words in order, with the best stretch.
+
+    With every=True, a document that repeats an item at several places gives a row for each of them.
 
     Columns: doc_id, item_id, words (repeated), stretch (words of the passage it covers), first_word, end_word (of the
     passage), from_word, to_word (of the normalised document). Whole texts are streamed through the automaton; a block
@@ -366,7 +394,7 @@ def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", t
                 rows = [
                     (doc, item, words, p1 - p0, p0, p1, parts[0][0], parts[-1][1])
                     for doc, body in zip(batch["doc_id"], batch["text"])
-                    for item, words, p0, p1, parts in held.leaks(normal_words(body))
+                    for item, words, p0, p1, parts in held.leaks(normal_words(body), every)
                 ]
                 yield pd.DataFrame(rows, columns=["doc_id", "item_id", "words", "stretch", "first_word", "end_word", "from_word", "to_word"])
 
@@ -379,12 +407,27 @@ def remove_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id",
     """doc_id, text, removed: every document without the parts that repeat a test item, and how many characters those were.
 
     Only the repeating parts go; sentences that interrupt a stretch stay. Documents without a leak, NULL and empty texts
-    come out as they are, repeated documents as often as they came. Blocks of items are taken off one after another.
+    come out as they are, repeated documents as often as they came. Every copy goes, and what only a cut brings together;
+    with several blocks of items, which are taken off one after another, the rounds end when one removes nothing.
     """
-    id_type = documents.schema[doc_id].dataType.simpleString()
     clean = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.lit(0).alias("removed"))
+    indexes, before = [], -1
     for block in item_blocks(items, item_id, passage):
-        index = documents.sparkSession.sparkContext.broadcast(pickle.dumps(ItemIndex(block)))
+        indexes.append(documents.sparkSession.sparkContext.broadcast(pickle.dumps(ItemIndex(block))))
+    if len(indexes) < 2:
+        return strip_blocks(clean, indexes)
+    while True:
+        clean = strip_blocks(clean, indexes).checkpoint()
+        removed = clean.agg(F.sum(F.col("removed").cast("long"))).head()[0] or 0
+        if removed in (0, before):
+            return clean
+        before = removed
+
+
+def strip_blocks(clean: DataFrame, indexes: list) -> DataFrame:
+    """doc_id, text, removed without the parts that repeat an item of the indexes, which are broadcasts of pickled ones."""
+    id_type = clean.schema["doc_id"].dataType.simpleString()
+    for index in indexes:
 
         def strip(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
             held: ItemIndex = pickle.loads(index.value)
@@ -410,14 +453,17 @@ def located_words(text: str) -> tuple[list[str], list[tuple[int, int]]]:
 
 
 def cut_out(text: str, index: ItemIndex) -> tuple[str, int]:
-    """The text without the parts that repeat an item, and how many characters they had."""
-    words, places = located_words(text)
-    cuts = sorted((places[a][0], places[b - 1][1]) for _, _, _, _, parts in index.leaks(words) for a, b in parts if b > a)
-    kept, at, removed = [], 0, 0
-    for start, end in cuts:
-        if end > at:
-            kept.append(text[at : max(at, start)])
-            removed += end - max(at, start)
-            at = end
-    kept.append(text[at:])
-    return "".join(kept), removed
+    """The text without the parts that repeat an item, and how many characters they had; cuts go on until nothing repeats."""
+    removed = 0
+    while True:
+        words, places = located_words(text)
+        cuts = sorted((places[a][0], places[b - 1][1]) for _, _, _, _, parts in index.leaks(words) for a, b in parts if b > a)
+        kept, at, gone = [], 0, 0
+        for start, end in cuts:
+            if end > at:
+                kept.append(text[at : max(at, start)])
+                gone += end - max(at, start)
+                at = end
+        if not gone:
+            return text, removed
+        text, removed = "".join([*kept, text[at:]]), removed + gone

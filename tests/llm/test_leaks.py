@@ -167,3 +167,27 @@ def test_removal(spark):
         assert got[i]["text"] == docs[i] and got[i]["removed"] == 0
     assert all(len(got[i]["text"]) + got[i]["removed"] == len(docs[i]) for i in (1, 2, 6))
     assert find_leaks(remove_leaks(df, items).select("doc_id", "text"), items).count() == 0
+
+
+def test_every_copy_is_removed(spark, monkeypatch):
+    import ledgerloom.llm.leaks as leaks
+
+    words, other = ITEM.split(), passage(60, 31).split()
+    docs = {
+        1: f"Start. {ITEM} {NOISE[0]} {ITEM} End.",
+        2: f"Start. {' '.join(words[35:])} {NOISE[1]} {' '.join(words[:35])} End.",
+        3: f"Start. {' '.join(words[:30])} {' '.join(NOISE[:8])} {' '.join(words[30:])} End.",
+        4: f"Start. {ITEM} {ITEM} End.",
+        5: f"Start. {' '.join(words[:9])} {' '.join(other)} {' '.join(words[9:18])} {' '.join(other)} {' '.join(words[18:27])} End.",
+    }
+    left = {1: NOISE[0], 2: NOISE[1], 3: " ".join(NOISE[:8]), 4: "", 5: ""}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    items = spark.createDataFrame([(1, ITEM), (2, " ".join(other))], "item_id long, passage string")
+    places = find_leaks(df, items, every=True).groupBy("doc_id", "item_id").count().collect()
+    assert {(r[0], r[1]): r[2] for r in places if r[1] == 1 and r[0] in (1, 2, 3, 4)} == {(1, 1): 2, (2, 1): 2, (3, 1): 2, (4, 1): 2}
+    assert find_leaks(df.where("doc_id < 5"), items).count() == 4
+    for size in (leaks.BLOCK_WORDS, 10):
+        monkeypatch.setattr(leaks, "BLOCK_WORDS", size)
+        got = {r["doc_id"]: r for r in remove_leaks(df, items).collect()}
+        assert {i: " ".join(r["text"].split()) for i, r in got.items()} == {i: " ".join(f"Start. {t} End.".split()) for i, t in left.items()}
+        assert all(len(got[i]["text"]) + got[i]["removed"] == len(docs[i]) for i in docs)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import library, profiles
 from ledgerloom.operators.ledger import VersionStore, catalog_changes, change_summary, guard, merge_ledger, merge_meta, scan_due
-from ledgerloom.operators.reporting import render_report
+from ledgerloom.operators.reporting import render_report, write_rows
 from ledgerloom.session import build_session
 from ledgerloom.sources.files import library_files, load_yaml, starter_profiles
 
@@ -92,6 +92,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     p.add_argument("--keys", required=True)
     p.add_argument("--shown", required=True)
     p.add_argument("--report", help="write a Markdown report here")
+    p.add_argument("--changes", help="write every changed row here, a table per ledger")
     p = commands.add_parser("plan", help="the files a profile takes from a document table")
     p.add_argument("documents")
     p.add_argument("profile")
@@ -100,6 +101,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     p = commands.add_parser("check", help="a library folder against its lock")
     p.add_argument("library")
     p.add_argument("lock")
+    p.add_argument("--out", help="write every verdict here")
     args = parser.parse_args(argv)
 
     if args.command == "due":
@@ -118,6 +120,10 @@ def main(argv: Sequence[str] | None = None) -> int:
         return 0
     if args.command == "compare":
         summary = compare(VersionStore(spark, args.root), args.a, args.b, json.loads(args.keys), json.loads(args.shown))
+        if args.changes:
+            store, shown = VersionStore(spark, args.root), json.loads(args.shown)
+            for name, key in json.loads(args.keys).items():
+                write_rows(catalog_changes(store.read(name, args.a), store.read(name, args.b), key, shown[name], args.a, args.b), f"{args.changes}/{name}")
         rows = [r.asDict() for r in summary.orderBy("ledger", "change").collect()]
         print(json.dumps(rows))
         if args.report:
@@ -132,9 +138,14 @@ def main(argv: Sequence[str] | None = None) -> int:
             plan.orderBy("path", "url").show(100, truncate=False)
         return 0
     verdicts = library.check_files(spark.read.parquet(args.lock), library_files(spark, args.library))
-    bad = verdicts.where("verdict <> 'ok'").orderBy("path").limit(1000).collect()
-    print("\n".join(f"{r['verdict']}: {r['path']}" for r in bad) or "ok")
-    return 1 if bad else 0
+    if args.out:
+        write_rows(verdicts, args.out)
+        verdicts = spark.read.parquet(args.out)
+    n = {r["verdict"]: r["n"] for r in verdicts.groupBy("verdict").agg(F.count("*").alias("n")).collect()}
+    print("files: " + ", ".join(f"{n.get(v, 0)} {v}" for v in ("ok", "missing", "changed", "new")))
+    for r in verdicts.where("verdict <> 'ok'").orderBy("path").toLocalIterator():
+        print(f"{r['verdict']}: {r['path']}")
+    return 1 if set(n) - {"ok"} else 0
 
 
 if __name__ == "__main__":

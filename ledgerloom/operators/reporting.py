@@ -180,7 +180,10 @@ def latest_report(folder: str | Path) -> str | None:
 
 
 def change_document(summary: DataFrame, checks: DataFrame, catalog: DataFrame, limit: int = 1000) -> dict:
-    """The change document of a scan as nested lists; long lists are cut with the number left out told."""
+    """The readable change document of a scan as nested lists; long lists are cut with the numbers left out told.
+
+    `write_changes` puts every row beside it.
+    """
     flat = catalog.withColumn("changed", F.to_json("changed")) if "changed" in catalog.columns else catalog
     total = catalog.count()
     return {
@@ -188,9 +191,25 @@ def change_document(summary: DataFrame, checks: DataFrame, catalog: DataFrame, l
         "to_check": [r.asDict() for r in checks.orderBy("check").limit(limit).collect()],
         "catalog": [{**r.asDict(), **({"changed": json.loads(r["changed"])} if "changed" in flat.columns and r["changed"] else {})} for r in flat.orderBy(*flat.columns[:3]).limit(limit).collect()],
         "left_out": max(0, total - limit),
+        "left_out_summary": max(0, summary.count() - limit),
+        "left_out_to_check": max(0, checks.count() - limit),
     }
 
 
+def write_rows(df: DataFrame, path: str) -> None:
+    """All rows of a table as parquet, sorted by every column that can be."""
+    df.orderBy(*[c for c, kind in df.dtypes if "map<" not in kind]).write.mode("overwrite").parquet(path)
+
+
+def write_changes(folder: str | Path, summary: DataFrame, checks: DataFrame, catalog: DataFrame, limit: int = 1000) -> dict:
+    """changes.json, the readable document, and beside it the whole tables changes/summary, changes/to_check and changes/catalog."""
+    for name, df in (("summary", summary), ("to_check", checks), ("catalog", catalog)):
+        write_rows(df, f"{folder}/changes/{name}")
+    document = change_document(summary, checks, catalog, limit)
+    (Path(folder) / "changes.json").write_text(json.dumps(document, indent=1, ensure_ascii=False), encoding="utf-8")
+    return document
+
+
 def render_report(document: dict, day: str, numbers: DataFrame | None = None) -> str:
     """The report of a scan in Markdown."""
     out = [f"# Scan of {day}", "", "## What changed", ""]

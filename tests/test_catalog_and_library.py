@@ -180,6 +180,28 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     assert cli.main(["check", str(library_root), lock]) == 1
 
 
+def test_nothing_is_cut_from_changes_and_checks(spark, tmp_path, capsys):
+    root, keys, shown = str(tmp_path / "store"), json.dumps({"listings": ["url"]}), json.dumps({"listings": ["title"]})
+    for day, title in (("2025-01-01", "A"), ("2025-02-01", "B")):
+        spark.range(1200).selectExpr("format_string('u%04d', id) AS url", f"'{title}' AS title", "id AS ord").write.parquet(str(tmp_path / f"{day}/listings.parquet"))
+        assert cli.main(["scan", root, str(tmp_path / day), "--site", "s", "--keys", keys, "--today", day]) == 0
+    assert cli.main(["compare", root, "2025-01-01", "2025-02-01", "--keys", keys, "--shown", shown, "--changes", str(tmp_path / "all")]) == 0
+    changes = spark.read.parquet(str(tmp_path / "all/listings"))
+    assert changes.count() == 1200 and {r["change"] for r in changes.collect()} == {"changed"}
+    counts = spark.createDataFrame([("listings", "changed", 1200)], "ledger string, change string, n long")
+    document = reporting.write_changes(tmp_path, counts, spark.createDataFrame([("c", 1, "x")], "check string, n long, sample string"), changes)
+    assert len(document["catalog"]) == 1000 and document["left_out"] == 200 and document["left_out_summary"] == document["left_out_to_check"] == 0
+    assert json.loads((tmp_path / "changes.json").read_text()) == document
+    assert spark.read.parquet(str(tmp_path / "changes/catalog")).count() == 1200 and spark.read.parquet(str(tmp_path / "changes/to_check")).count() == 1
+    spark.range(1100).selectExpr("format_string('f%04d', id) AS path", "'x' AS sha256").write.parquet(str(tmp_path / "lock"))
+    (tmp_path / "lib").mkdir()
+    capsys.readouterr()
+    assert cli.main(["check", str(tmp_path / "lib"), str(tmp_path / "lock"), "--out", str(tmp_path / "verdicts")]) == 1
+    said = capsys.readouterr().out.split("\n")
+    assert said[0] == "files: 0 ok, 1100 missing, 0 changed, 0 new" and said[1:-1] == [f"missing: f{i:04d}" for i in range(1100)]
+    assert spark.read.parquet(str(tmp_path / "verdicts")).count() == 1100
+
+
 def test_stream_of_deliveries(spark, tmp_path):
     schema = "url string, title string, scan_date string, row_id long"
     source = str(tmp_path / "in")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 LEAST_WORDS, LEAST_SHARE = 25, 0.86
 #: Shortest exact run that anchors a match; items are taken in blocks of at most so many words.
 ANCHOR, BLOCK_WORDS = 3, 2_000_000
-#: Words that other sentences may put into a stretch, once; and what a small gap may hold.
+#: Words back in a document to which runs are looked at one by one (not a limit); and what a small gap may hold.
 INTERRUPTION, SMALL_GAP = 400, 8
 
 # Letters of other scripts that look like Latin ones, after case folding.
@@ -190,16 +190,24 @@ def common_length(a: list[int], b: list[int]) -> int:
 def chains(anchors: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int, int]]]:
     """For every exact run (doc start, item start, length) the best chain in common order that ends with it, best ones first.
 
-    Gaps on either side may hold up to SMALL_GAP words and a quarter of what is matched; once, other sentences of up to
-    INTERRUPTION words may stand in the document.
+    Gaps on either side may hold up to SMALL_GAP words and a quarter of what is matched; once, other sentences of any
+    length may stand in the document. Runs more than INTERRUPTION words back are kept by the place in the item alone, the
+    best of each.
     """
     anchors = sorted(set(anchors))
     best: list[list[tuple[float, int, int]]] = []  # per anchor and number of interruptions: score, previous anchor, its interruptions
-    longest, first = max(n for _, _, n in anchors), 0
+    longest, first, far = max(n for _, _, n in anchors), 0, {}
     for i, (d, p, n) in enumerate(anchors):
         now = [(float(n), -1, 0), (float(n), -1, 1)]
         while anchors[first][0] + longest + INTERRUPTION < d:
+            _, pj, nj = anchors[first]
+            if (pj, nj) not in far or best[first][0][0] > best[far[pj, nj]][0][0]:
+                far[pj, nj] = first
             first += 1
+        for (pj, nj), j in far.items():
+            over = max(pj + nj - p, 0)
+            if over < n and p > pj and p + over - pj - nj <= SMALL_GAP and (score := best[j][0][0] + n - over - 0.3 * (p + over - pj - nj)) > now[1][0]:
+                now[1] = (score, j, 0)
         for j in range(first, i):
             dj, pj, nj = anchors[j]
             over = max(dj + nj - d, pj + nj - p, 0)
@@ -213,7 +221,7 @@ def chains(anchors: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int,
                 for k in (0, 1):
                     if (score := best[j][k][0] + gain - 0.3 * gap_doc) > now[k][0]:
                         now[k] = (score, j, k)
-            elif gap_doc <= INTERRUPTION and (score := best[j][0][0] + gain) > now[1][0]:
+            elif (score := best[j][0][0] + gain) > now[1][0]:
                 now[1] = (score, j, 0)
         best.append(now)
     for _, i, k in sorted(((best[i][k][0], i, k) for i in range(len(anchors)) for k in (0, 1)), reverse=True):

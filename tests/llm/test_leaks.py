@@ -134,6 +134,14 @@ def test_a_chance_run_beyond_the_end_loses_no_leak():
         assert found[1] == 30 and found[3] - found[2] == 30
 
 
+@pytest.mark.parametrize("between", [100, 399, 401, 450, 5000])
+def test_an_interruption_of_any_length(between):
+    words = ITEM.split()
+    text = f"{' '.join(words[:15])} {' '.join(['unknown'] * between)} {' '.join(words[15:30])}"
+    (found,) = ItemIndex([(1, ITEM)]).leaks(normal_words(text))
+    assert found[1:4] == (30, 0, 30) and found[4] == [(0, 15), (15 + between, 30 + between)]
+
+
 def test_building_alike_is_no_leak():
     index = ItemIndex([(1, ITEM)])
     rng = random.Random(9)

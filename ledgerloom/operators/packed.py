@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -77,9 +78,11 @@ def split_cell(cell: str | None, delimiters: list[str]) -> list[str]:
 
 
 def signature(piece: str) -> str:
-    """The piece's type: runs of letters as A, of digits as 9, at most twelve words."""
-    shape = re.sub(r"\d+", "9", re.sub(r"[^\W\d_]+", "A", piece))
-    return " ".join(shape.split()[:12])
+    """The piece's type: runs of letters as A, of digits as 9; of more than twelve words, these and a hash of the whole."""
+    words = re.sub(r"\d+", "9", re.sub(r"[^\W\d_]+", "A", piece)).split()
+    if len(words) <= 12:
+        return " ".join(words)
+    return " ".join([*words[:12], hashlib.md5(" ".join(words).encode("utf-8", "surrogatepass"), usedforsecurity=False).hexdigest()])
 
 
 def _evidence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -160,3 +160,11 @@ def test_viterbi_is_cheapest(days):
 def test_written_and_read_again(moment, form):
     found = readings(moment.strftime(form), "UTC", {"slash": "dmy"})
     assert any(r.usual and r.moment == moment.strftime("%Y-%m-%dT%H:%M:%SZ") for r in found)
+
+
+def test_types_of_long_pieces_differ_by_their_tails():
+    from ledgerloom.operators.packed import signature
+
+    head = " ".join(["a"] * 12)
+    assert signature(f"{head} 1") != signature(f"{head} b") and signature(f"{head} 1") == signature(f"{head} 22")
+    assert signature(head) == " ".join(["A"] * 12)

@@ -1,4 +1,4 @@
-"""Command line: scan, due, refresh, compare, plan, check over a versioned catalog."""
+"""Command line: scan, due, compare, plan, check over a versioned catalog."""
 
 from __future__ import annotations
 

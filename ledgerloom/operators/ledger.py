@@ -50,8 +50,9 @@ def as_of(ledger: DataFrame, day: str) -> DataFrame:
 def merge_ledger(old: DataFrame, new: DataFrame, key: list[str], today: str, new_order: list[Column], old_order: list[Column] | None = None) -> DataFrame:
     """A delivery merged into its ledger: the ledger's columns, with first_seen and last_seen.
 
-    Keys delivered take the new values, first_seen from the ledger if filled else today, last_seen today. Keys not
-    delivered keep their row as it was. Repeated keys: the first delivered row wins, the last ledger row wins. Merging the
+    Keys delivered take the new values, first_seen from the ledger if filled else today, last_seen today. A delivery that
+    comes late never sets last_seen back: for keys seen since, it only moves first_seen to its day, and their values stay.
+    Keys not delivered keep their row as it was. Repeated keys: the first delivered row wins, the last ledger row wins. Merging the
     same delivery again on the same day changes nothing. NULL keys are equal to each other.
     """
     values = [c for c in old.columns if c not in (*key, "first_seen", "last_seen")]
@@ -64,10 +65,11 @@ def merge_ledger(old: DataFrame, new: DataFrame, key: list[str], today: str, new
         met = met & s
     joined = a.withColumn("_new", F.lit(True)).alias("a").join(b.withColumn("_old", F.lit(True)).alias("b"), met, "full_outer")
     is_new = F.col("_new").isNotNull()
-    pick = lambda c: F.when(is_new, F.col(f"a.{c}")).otherwise(F.col(f"b.{c}")).alias(c)
-    first = F.when(is_new, F.coalesce(F.nullif(F.col("b.first_seen"), F.lit("")), F.lit(today))).otherwise(F.col("b.first_seen"))
-    last = F.when(is_new, F.lit(today)).otherwise(F.col("b.last_seen"))
-    return joined.select(*[pick(c) for c in (*key, *values)], first.alias("first_seen"), last.alias("last_seen"))
+    newer = is_new & F.coalesce(F.col("b.last_seen") <= today, F.lit(True))
+    take = lambda c, when: F.when(when, F.col(f"a.{c}")).otherwise(F.col(f"b.{c}")).alias(c)
+    first = F.when(is_new, F.least(F.nullif(F.col("b.first_seen"), F.lit("")), F.lit(today))).otherwise(F.col("b.first_seen"))
+    last = F.when(is_new, F.greatest(F.lit(today), F.col("b.last_seen"))).otherwise(F.col("b.last_seen"))
+    return joined.select(*[take(c, is_new) for c in key], *[take(c, newer) for c in values], first.alias("first_seen"), last.alias("last_seen"))
 
 
 def stopped_total(merged: DataFrame, today: str) -> int:

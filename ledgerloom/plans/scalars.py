@@ -118,20 +118,40 @@ def q_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", hashing.text_sha256(c).alias("text_sha256"), hashing.page_hash(c).alias("page_hash"), hashing.cache_key(F.col("source")).alias("cache_key"))
 
 
-_VERSIONS = r"(?i)\b(?:v|version\s+|release\s+)?(\d{1,2}\.\d{1,2}(?:\.\d{1,4}){0,2})\b"
+def _mentions(text: str) -> str:
+    """SQL of the first versions a text names: what stands after v, version or release, or has three or more parts."""
+    found = [f"regexp_extract_all({text}, '{cards.VERSION}', {i})" for i in (1, 2)]
+    joined = f"list_transform(list_zip({found[0]}, {found[1]}), lambda p: coalesce(p[1], '') || coalesce(p[2], ''))"
+    return f"array_to_string(list_filter({joined}, lambda x, i: list_position({joined}, x) = i)[1:8], ' ')"
+
+
+def _word_count(text: str) -> str:
+    blank = "[\\s\\p{Z}\\x{85}]+"
+    return f"(CASE WHEN regexp_replace({text}, '{blank}', '', 'g') = '' THEN 0 ELSE len(regexp_split_to_array(regexp_replace({text}, '^{blank}|{blank}$', '', 'g'), '{blank}')) END)::INTEGER"
+
+
+_FIELDS = ", ".join(f"nullif(regexp_extract(h, '{pattern}', 1), '') AS {name}" for name, pattern in (("part_number", cards.PART_NUMBER), ("revision", cards.REVISION), ("published", cards.PUBLISHED)))
+_PAGE = "Page [0-9]+ of [0-9]+"
 
 
 @query(
-    f"""WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-v AS (SELECT doc_id, t, list_zip(regexp_extract_all(t, '{_VERSIONS}', 0), regexp_extract_all(t, '{_VERSIONS}', 1)) AS pairs FROM t),
-w AS (SELECT doc_id, t, list_transform(list_filter(pairs, lambda p: lower(left(p[1], 1)) IN ('v', 'r') OR len(string_split(p[2], '.')) >= 3), lambda p: p[2]) AS named FROM v),
-d AS (SELECT doc_id, t, list_filter(named, lambda x, i: list_position(named, x) = i) AS named FROM w)
-SELECT doc_id, (CASE WHEN regexp_replace(t, '[\\s\\p{{Z}}\\x{{85}}]+', '', 'g') = '' THEN 0 ELSE len(regexp_split_to_array(regexp_replace(t, '^[\\s\\p{{Z}}\\x{{85}}]+|[\\s\\p{{Z}}\\x{{85}}]+$', '', 'g'), '[\\s\\p{{Z}}\\x{{85}}]+')) END)::INTEGER AS words,
-  nullif(regexp_extract(t, '\\bRev(?:ision)?\\.?\\s*:?\\s*([A-Z]{{2}})\\b', 1), '') AS revision, array_to_string(named[1:8], ' ') AS versions FROM d"""
+    f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS h FROM documents)
+SELECT doc_id, {_word_count('h')} AS words, {_FIELDS}, {_mentions('h')} AS versions, CASE WHEN h <> '' THEN sha256(h) END AS text_sha256 FROM d"""
 )
 def q_text_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     card = table(spark, sf_dir, "documents").select("doc_id", cards.text_card(F.col("text")).alias("c"))
-    return card.select("doc_id", "c.words", "c.revision", F.array_join("c.versions", " ").alias("versions"))
+    return card.select("doc_id", "c.words", "c.part_number", "c.revision", "c.published", F.array_join("c.versions", " ").alias("versions"), "c.text_sha256")
+
+
+@query(
+    f"""WITH p AS (SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_split_to_array(text, '{_PAGE}') END AS p FROM documents),
+d AS (SELECT doc_id, len(p)::INTEGER AS pages, coalesce(array_to_string(p, chr(10)), '') AS w, coalesce(array_to_string(p[1:4], chr(10)), '') AS h FROM p)
+SELECT doc_id, pages, {_word_count('w')} AS words, {_FIELDS}, {_mentions('h')} AS versions FROM d"""
+)
+def q_page_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards of texts that come page by page: pages end at their running foot."""
+    card = table(spark, sf_dir, "documents").select("doc_id", cards.page_card(F.split("text", _PAGE)).alias("c"))
+    return card.select("doc_id", "c.pages", "c.words", "c.part_number", "c.revision", "c.published", F.array_join("c.versions", " ").alias("versions"))
 
 
 @query(

@@ -12,19 +12,19 @@ from ledgerloom.operators.ledger import VersionStore, merge_ledger
 def merge_stream(deliveries: DataFrame, store: VersionStore, name: str, key: list[str], checkpoint: str, day: str = "scan_date", order: str = "row_id") -> StreamingQuery:
     """Merges every delivery of a stream into the ledger `name`, day by day, and publishes a version per day.
 
-    A batch that is run again after a failure merges the same rows on the same days, which changes nothing. Runs until
-    all that is there has been read.
+    A day older than the newest version comes late: it is merged into that version, where it only adds keys and moves
+    first_seen back, so nothing read later lacks it and no last_seen falls. A batch that is run again after a failure
+    merges the same rows on the same days, which changes nothing. Runs until all that is there has been read.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()
-        for (today,) in batch.select(day).distinct().orderBy(day).collect():
+        for (today,) in batch.where(F.col(day).isNotNull()).select(day).distinct().orderBy(day).collect():
             values = [c for c in batch.columns if c not in (day, order, "first_seen", "last_seen")]
             schema = ", ".join(f"`{c}` {batch.schema[c].dataType.simpleString()}" for c in values) + ", first_seen string, last_seen string"
-            old = store.read(name) if store.versions() else spark.createDataFrame([], schema)
+            versions = store.versions()
+            old = store.read(name) if versions else spark.createDataFrame([], schema)
             merged = merge_ledger(old.select(*values, "first_seen", "last_seen"), batch.where(F.col(day) == today), key, today, [F.col(order)])
-            store.publish(today, {name: merged})
-        batch.unpersist()
+            store.publish(max([today, *versions[-1:]]), {name: merged})
 
     return deliveries.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

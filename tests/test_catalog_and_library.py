@@ -212,3 +212,16 @@ def test_stream_of_deliveries(spark, tmp_path):
     spark.createDataFrame([("a", "A2", "d2", 3)], schema).write.mode("append").parquet(source)
     run()
     assert rows(store.read("l")) == [("a", "A2", "d1", "d2"), ("b", "B", "d1", "d1")] and store.versions() == ["d1", "d2"]
+
+
+def test_a_late_day_is_not_lost(spark, tmp_path):
+    schema = "url string, title string, scan_date string, row_id long"
+    source = str(tmp_path / "in")
+    store = VersionStore(spark, str(tmp_path / "store"))
+    for day, delivered in (("2025-02-01", [("a", "A"), ("b", "B")]), ("2025-01-01", [("a", "old"), ("c", "C")]), ("2025-02-01", [("a", "A"), ("b", "B")]), ("2025-03-01", [("c", "C3")])):
+        spark.createDataFrame([(u, t, day, i) for i, (u, t) in enumerate(delivered)], schema).write.mode("append").parquet(source)
+        merge_stream(spark.readStream.schema(schema).parquet(source), store, "l", ["url"], str(tmp_path / "cp")).awaitTermination()
+        if day < "2025-03":
+            late = [("c", "C", "2025-01-01", "2025-01-01")] if store.read("l").where("url = 'c'").count() else []
+            assert rows(store.read("l")) == [("a", "A", "2025-01-01" if late else "2025-02-01", "2025-02-01"), ("b", "B", "2025-02-01", "2025-02-01"), *late]
+    assert rows(store.read("l"))[-1] == ("c", "C3", "2025-01-01", "2025-03-01") and store.versions() == ["2025-02-01", "2025-03-01"]

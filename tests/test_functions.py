@@ -42,6 +42,9 @@ def one(spark, column, **values):
         (links.portal_revision, "https://h/ug_revacdev/", "AC"),
         (links.portal_revision, "https://h/ug/", ""),
         (links.refresh_target, '<META http-equiv="Refresh" content="0;url=x_revXXdev/index.html">', "x_revXXdev/index.html"),
+        (links.refresh_target, "<meta content='5; URL=\"../b c/\"' http-equiv=refresh>", "../b c/"),
+        (links.refresh_target, "refresh <meta name=refresh content='0;url=x'>", ""),
+        (links.refresh_target, None, ""),
         (hashing.sniff, b"%PDF-1.7", ".pdf"),
         (hashing.sniff, b"PK\x03\x04..", ".zip"),
         (hashing.sniff, b"\x1f\x8b..", ".gz"),
@@ -131,6 +134,9 @@ def test_text_cards(spark):
     body = "Rev. AB  Published: March 2021 Part 9012345-01. See v9.4, 2.1, release 3.2, 9.4.1.0 and V9.4."
     card = one(spark, cards.text_card(F.lit(body)))
     assert (card["part_number"], card["revision"], card["published"], card["versions"]) == ("9012345-01", "AB", "March 2021", ["9.4", "3.2", "9.4.1.0"])
+    paged = one(spark, cards.page_card(F.array(F.lit("one v1.2"), F.lit(None), F.lit("x"), F.lit("Rev AB"), F.lit("Published May 2020 v9.9.9"))))
+    assert (paged["pages"], paged["words"], paged["revision"], paged["published"], paged["versions"]) == (5, 9, "AB", None, ["1.2"])
+    assert one(spark, cards.page_card(F.lit(None).cast("array<string>")))["pages"] == 0
     empty = one(spark, cards.text_card(F.lit(None).cast("string")))
     assert empty["words"] == 0 and empty["versions"] == [] and empty["text_sha256"] is None
     assert one(spark, cards.extension_counts(F.array(*[F.lit(x) for x in ("a.PDF", "b/c.pdf", "d", ".hidden")]))) == {"(none)": 2, ".pdf": 2}

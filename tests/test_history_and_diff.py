@@ -70,7 +70,7 @@ def test_changes(spark):
         listing(4, 1, url="https://h/gone"), listing(5, 2, url="https://h/gone", seen=DATES[1]),
         listing(6, 2, url="https://h/new"), listing(7, 3, url="https://h/new"), listing(8, 3, url="https://h/new"),
         listing(9, 2, url="https://h/dup", title="old", loaded="2025-01-01 00:00:00"), listing(10, 2, url="https://h/dup", title="new", loaded="2025-01-03 00:00:00"),
-        listing(11, 3, url="https://h/dup", title="new"), listing(12, None, url="https://h/null"),
+        listing(11, 3, url="https://h/dup", title="new"), listing(16, 2, url="https://h/tie", title="Z"), listing(17, 2, url="https://h/tie", title="A"), listing(18, 3, url="https://h/tie", title="A"), listing(12, None, url="https://h/null"),
         listing(13, 1, url=None, page=None, title=None), listing(14, 2, url="", page="", title=""), listing(15, 3, url=None, page="", title="x"),
     ]
     pages = [
@@ -86,6 +86,7 @@ def test_changes(spark):
             ("listings", 2, "https://h/gone", "p", "removed"),
             ("listings", 2, "https://h/new", "p", "added"),
             ("listings", 2, "https://h/dup", "p", "added"),
+            ("listings", 2, "https://h/tie", "p", "added"),
             ("listings", 3, "", "", "changed"),
             ("snapshots", 3, "n", "s", "changed"),
             ("snapshots", 2, "", "", "removed"),

@@ -73,13 +73,13 @@ def test_cards(spark, tmp_path):
         out = io.BytesIO()
         with zipfile.ZipFile(out, "w") as z:
             for n in names:
-                z.writestr(n, '<sheet id="1" name="First"/><sheet name="Two &amp; more"/>')
+                z.writestr(n, '<?xml version="1.0"?><workbook xmlns="urn:x"><sheets><sheet id="1" name="First"/><sheet name="Two &amp; more"/></sheets></workbook>')
         return out.getvalue()
 
     rows = [("a.zip", zipped(["x.txt", "d/y.TXT", "__MACOSX/z", "bare"])), ("b.xlsx", zipped(["xl/workbook.xml"])), ("c.zip", b"broken"), ("d.bin", b""), ("e.txt", b"v9.4 text"), ("f.xlsx", None)]
     got = {r["path"]: r for r in files.file_cards(spark.createDataFrame(rows, "path string, content binary")).collect()}
     assert got["a.zip"]["card"]["entries"] == 3 and got["a.zip"]["card"]["by_extension"] == {"(none)": 1, ".txt": 2}
-    assert got["b.xlsx"]["card"]["sheets"] == ["First", "Two &amp; more"] and "BadZipFile" in got["c.zip"]["card"]["error"] and got["d.bin"]["card"]["type"] == "bin"
+    assert got["b.xlsx"]["card"]["sheets"] == ["First", "Two & more"] and "BadZipFile" in got["c.zip"]["card"]["error"] and got["d.bin"]["card"]["type"] == "bin"
     assert got["e.txt"]["features"]["versions"] == ["9.4"] and got["d.bin"]["features"]["text_sha256"] is None and got["f.xlsx"]["card"]["error"]
 
 

@@ -6,20 +6,28 @@ import html
 import pickle
 import re
 import unicodedata
+from array import array
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
+from itertools import accumulate, chain
+from operator import add
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Words of a passage that make a leak, and the share of the stretch that must be repeated.
+#: Words of a passage that a stretch must cover to make a leak, and the share of them that must be repeated.
 LEAST_WORDS, LEAST_SHARE = 25, 0.86
-#: Shortest exact run that anchors a match; items are taken in blocks of at most so many words.
-ANCHOR, BLOCK_WORDS = 3, 2_000_000
-#: Words back in a document to which runs are looked at one by one (not a limit); and what a small gap may hold.
-INTERRUPTION, SMALL_GAP = 400, 8
+#: Shortest exact run that anchors a match, and what the longest run of a stretch within the limits has at least: of 25 words
+#: 22 are repeated, and changed, missing and added words (one in ten, so some five) leave them in seven runs at most.
+ANCHOR, LEAST_RUN = 3, 4
+#: Items are indexed in blocks of at most so many words, and so many words of blocks are held in one pass over the corpus.
+BLOCK_WORDS, PASS_WORDS = 400_000, 1_600_000
+#: Words back in a document to which runs are looked at one by one; beyond, the best of each place in the item is kept.
+NEAR_WORDS = 400
 
 # Letters of other scripts that look like Latin ones, after case folding.
 LOOKALIKES = str.maketrans("асеорхуіјѕһԁԛԝвкмнтзгοανρτυχικε", "aceopxyijshdqwbkmhtзroavptuxike")
@@ -56,84 +64,87 @@ def normal_words(text: str | None) -> list[str]:
 
 
 class SuffixAutomaton:
-    """A generalised suffix automaton over sequences of word numbers, with the places where long strings end."""
+    """A generalised suffix automaton over sequences of word numbers, with the places where long strings end.
+
+    It is built state by state and then kept in flat arrays: the transitions of a state stand together, sorted by word,
+    and so do the places of a state and of all states whose links lead to it. So it holds some 30 bytes a transition.
+    """
 
     def __init__(self, sequences: list[list[int]]) -> None:
-        self.next: list[dict[int, int]] = [{}]
-        self.link, self.length = [-1], [0]
-        ends: list[list[tuple[int, int]]] = [[]]
+        self.sequences = [array("i", s) for s in sequences]
+        following: list[dict[int, int]] = [{}]
+        link, length = [-1], [0]
+        ends: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for number, sequence in enumerate(sequences):
             last = 0
             for at, word in enumerate(sequence):
-                last = self._extend(last, word)
-                while len(ends) < len(self.length):
-                    ends.append([])
+                last = _extend(following, link, length, last, word)
                 ends[last].append((number, at))
-        self.sequences, self.offset = sequences, [0] * len(self.length)  # where a state's places stand among its link's
-        order = sorted(range(1, len(self.length)), key=self.length.__getitem__, reverse=True)
-        for state in order:
-            if self.length[up := self.link[state]] >= ANCHOR:
-                self.offset[state] = len(ends[up])
-                ends[up] += ends[state]
-        self.ends = [tuple(e) if n >= ANCHOR else () for e, n in zip(ends, self.length)]
-        self.top = list(range(len(self.length)))  # the last state of at least ANCHOR words on the way of the links
-        for state in reversed(order):
-            if self.length[up := self.link[state]] >= ANCHOR:
-                self.top[state] = self.top[up]
-
-    def _clone(self, of: int, length: int) -> int:
-        self.next.append(dict(self.next[of]))
-        self.link.append(self.link[of])
-        self.length.append(length)
-        return len(self.length) - 1
-
-    def _extend(self, last: int, word: int) -> int:
-        """The state for the text so far with one more word; states that exist already are used again."""
-        if (there := self.next[last].get(word)) is not None:
-            if self.length[there] == self.length[last] + 1:
-                return there
-            twin = self._clone(there, self.length[last] + 1)
-            self.link[there] = twin
-            self._redirect(last, word, there, twin)
-            return twin
-        state = len(self.length)
-        self.next.append({})
-        self.link.append(0)
-        self.length.append(self.length[last] + 1)
-        p = last
-        while p != -1 and word not in self.next[p]:
-            self.next[p][word] = state
-            p = self.link[p]
-        if p != -1:
-            there = self.next[p][word]
-            if self.length[there] == self.length[p] + 1:
-                self.link[state] = there
+        self.link, self.length = array("i", link), array("i", length)
+        self.row = array("i", accumulate(map(len, following), initial=0))
+        self.word, self.target = array("i"), array("i")
+        for state, held in enumerate(following):
+            for word in sorted(held):
+                self.word.append(word)
+                self.target.append(held[word])
+            following[state] = None
+        self._place(ends)
+
+    def _place(self, ends: dict[int, list[tuple[int, int]]]) -> None:
+        """Places in the order of the tree of links, so that each state's are one slice: number, at, low, high."""
+        states, link, length = len(self.link), self.link, self.length
+        by_length = sorted(range(1, states), key=length.__getitem__)
+        size = array("i", [0]) * states
+        for state in by_length:
+            size[state] = len(ends.get(state, ()))
+        for state in reversed(by_length):
+            if link[state] > 0:
+                size[link[state]] += size[state]
+        self.low, free, total = array("i", [0]) * states, array("i", [0]) * states, 0
+        self.top = array("i", range(states))  # the last state of at least ANCHOR words on the way of the links
+        self.number, self.at = array("i"), array("i")
+        for state in by_length:
+            up = link[state]
+            if up > 0:
+                self.low[state] = free[up]
+                free[up] += size[state]
+                if length[up] >= ANCHOR:
+                    self.top[state] = self.top[up]
             else:
-                twin = self._clone(there, self.length[p] + 1)
-                self.link[there] = self.link[state] = twin
-                self._redirect(p, word, there, twin)
-        return state
-
-    def _redirect(self, p: int, word: int, there: int, twin: int) -> None:
-        while p != -1 and self.next[p].get(word) == there:
-            self.next[p][word] = twin
-            p = self.link[p]
+                self.low[state], total = total, total + size[state]
+            free[state] = self.low[state] + len(ends.get(state, ()))
+        self.number, self.at = array("i", [0]) * total, array("i", [0]) * total
+        for state, own in ends.items():
+            for i, (number, at) in enumerate(own, self.low[state]):
+                self.number[i], self.at[i] = number, at
+        self.high = array("i", map(add, self.low, size))
+
+    def places(self, state: int) -> list[tuple[int, int]]:
+        """The sequences and positions where the strings of a state end."""
+        here = slice(self.low[state], self.high[state])
+        return list(zip(self.number[here], self.at[here]))
+
+    def step(self, state: int, word: int) -> int:
+        """The state after one more word; -1 if no sequence goes on so."""
+        stop = self.row[state + 1]
+        i = bisect_left(self.word, word, self.row[state], stop)
+        return self.target[i] if i < stop and self.word[i] == word else -1
 
     def matches(self, words: list[int], start: int, stop: int) -> Iterator[tuple[int, int, int]]:
         """Maximal matches of at least ANCHOR words within words[start:stop]: end (exclusive), length, state."""
-        step, link, size = self.next, self.link, self.length
+        step, link, size = self.step, self.link, self.length
         state = length = 0
         for at in range(start, stop):
             word = words[at]
-            after = step[state].get(word)
-            if after is None:
+            after = step(state, word)
+            if after < 0:
                 if length >= ANCHOR:
                     yield at, length, state
-                while after is None and state:
+                while after < 0 and state:
                     state = link[state]
                     length = size[state]
-                    after = step[state].get(word)
-                if after is None:
+                    after = step(state, word)
+                if after < 0:
                     state = length = 0
                     continue
             state, length = after, length + 1
@@ -145,34 +156,64 @@ class SuffixAutomaton:
 
         A run of one sequence ends where that sequence goes on differently, however far others go on.
         """
-        step, link, size, ends, offset, top = self.next, self.link, self.length, self.ends, self.offset, self.top
+        step, link, size, low, high, top = self.step, self.link, self.length, self.low, self.high, self.top
+        number, place, sequences = self.number, self.at, self.sequences
         state = length = 0
         for at in range(start, stop):
             word = words[at]
-            while (after := step[state].get(word)) is None and state:
+            while (after := step(state, word)) < 0 and state:
                 state = link[state]
                 length = size[state]
-            if after is None:
+            if after < 0:
                 continue
             state, length = after, length + 1
             if length < ANCHOR:
                 continue
             follow = words[at + 1] if at + 1 < stop else 0
-            if (on := step[top[state]].get(follow)) is not None and len(ends[on]) == len(ends[top[state]]):
+            if (on := step(top[state], follow)) >= 0 and high[on] - low[on] == high[top[state]] - low[top[state]]:
                 continue  # every place goes on
             here, n, below = state, length, None
             while size[here] >= ANCHOR:
-                places = ends[here]
-                if below is not None:
-                    places = places[: offset[below]] + places[offset[below] + len(ends[below]) :]
-                for number, end in places:
-                    sequence = self.sequences[number]
+                inner = (high[here], high[here]) if below is None else (low[below], high[below])
+                for i in chain(range(low[here], inner[0]), range(inner[1], high[here])):
+                    sequence, end = sequences[number[i]], place[i]
                     if end + 1 == len(sequence) or sequence[end + 1] != follow:
-                        yield number, at + 1 - n, end + 1 - n, n
+                        yield number[i], at + 1 - n, end + 1 - n, n
                 here, below = link[here], here
                 n = size[here]
 
 
+def _extend(following: list[dict[int, int]], link: list[int], length: list[int], last: int, word: int) -> int:
+    """The state for the text so far with one more word; states that exist already are used again."""
+
+    def twin_of(there: int, of: int, p: int) -> int:
+        """A copy of `there` for the shorter strings that reach it from `of`; what led there from `p` on leads to the copy."""
+        twin = len(length)
+        following.append(dict(following[there]))
+        link.append(link[there])
+        length.append(length[of] + 1)
+        link[there] = twin
+        while p != -1 and following[p].get(word) == there:
+            following[p][word] = twin
+            p = link[p]
+        return twin
+
+    if (there := following[last].get(word)) is not None:
+        return there if length[there] == length[last] + 1 else twin_of(there, last, last)
+    state = len(length)
+    following.append({})
+    link.append(0)
+    length.append(length[last] + 1)
+    p = last
+    while p != -1 and word not in following[p]:
+        following[p][word] = state
+        p = link[p]
+    if p != -1:
+        there = following[p][word]
+        link[state] = there if length[there] == length[p] + 1 else twin_of(there, p, p)
+    return state
+
+
 def common_length(a: list[int], b: list[int]) -> int:
     """Length of the longest common subsequence of two short lists."""
     if not a or not b:
@@ -187,11 +228,11 @@ def common_length(a: list[int], b: list[int]) -> int:
     return row[-1]
 
 
-def chains(anchors: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int, int]]]:
+def chains(anchors: list[tuple[int, int, int]], slack: int) -> Iterator[list[tuple[int, int, int]]]:
     """For every exact run (doc start, item start, length) the best chain in common order that ends with it, best ones first.
 
-    Gaps on either side may hold up to SMALL_GAP words and a quarter of what is matched; once, other sentences of any
-    length may stand in the document. Runs more than INTERRUPTION words back are kept by the place in the item alone, the
+    Gaps on either side may hold up to `slack` words, as many as the whole item may miss; once, other sentences of any
+    length may stand in the document. Runs more than NEAR_WORDS words back are kept by the place in the item alone, the
     best of each.
     """
     anchors = sorted(set(anchors))
@@ -199,14 +240,14 @@ def chains(anchors: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int,
     longest, first, far = max(n for _, _, n in anchors), 0, {}
     for i, (d, p, n) in enumerate(anchors):
         now = [(float(n), -1, 0), (float(n), -1, 1)]
-        while anchors[first][0] + longest + INTERRUPTION < d:
+        while anchors[first][0] + longest + NEAR_WORDS < d:
             _, pj, nj = anchors[first]
             if (pj, nj) not in far or best[first][0][0] > best[far[pj, nj]][0][0]:
                 far[pj, nj] = first
             first += 1
         for (pj, nj), j in far.items():
             over = max(pj + nj - p, 0)
-            if over < n and p > pj and p + over - pj - nj <= SMALL_GAP and (score := best[j][0][0] + n - over - 0.3 * (p + over - pj - nj)) > now[1][0]:
+            if over < n and p > pj and p + over - pj - nj <= slack and (score := best[j][0][0] + n - over - 0.3 * (p + over - pj - nj)) > now[1][0]:
                 now[1] = (score, j, 0)
         for j in range(first, i):
             dj, pj, nj = anchors[j]
@@ -214,10 +255,10 @@ def chains(anchors: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int,
             if over >= n or d <= dj or p <= pj:
                 continue
             gap_doc, gap_item = d + over - dj - nj, p + over - pj - nj
-            if gap_item > SMALL_GAP:
+            if gap_item > slack:
                 continue
             gain = n - over - 0.3 * gap_item
-            if gap_doc <= SMALL_GAP:
+            if gap_doc <= slack:
                 for k in (0, 1):
                     if (score := best[j][k][0] + gain - 0.3 * gap_doc) > now[k][0]:
                         now[k] = (score, j, k)
@@ -225,63 +266,72 @@ def chains(anchors: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int,
                 now[1] = (score, j, 0)
         best.append(now)
     for _, i, k in sorted(((best[i][k][0], i, k) for i in range(len(anchors)) for k in (0, 1)), reverse=True):
-        chain = []
+        back = []
         while i >= 0:
-            chain.append(anchors[i])
+            back.append(anchors[i])
             _, i, k = best[i][k]
-        yield chain[::-1]
+        yield back[::-1]
 
 
-def may_pass(chain: list[tuple[int, int, int]], doc: list[int], item: list[int]) -> bool:
+def may_pass(run: Sequence[tuple[int, int, int]], doc: list[int], item: Sequence[int], slack: int) -> bool:
     """Whether a chain can come up to the limits at all, with every gap and end as full as it can be."""
-    reach, words = SMALL_GAP + 2, chain[0][2]
-    (d0, p0, _), (d1, p1, n1) = chain[0], chain[-1]
-    for (dj, pj, nj), (d, p, n) in zip(chain, chain[1:]):
+    reach, words = slack + 2, run[0][2]
+    (d0, p0, _), (d1, p1, n1) = run[0], run[-1]
+    for (_, pj, nj), (_, p, n) in zip(run, run[1:]):
         words += n + max(p - pj - nj, 0)
     words, d1, p1 = min(words, p1 + n1 - p0), d1 + n1, p1 + n1
     before, after = set(doc[max(0, d0 - reach - 1) : d0]), set(doc[d1 : d1 + reach + 1])
     ends = sum(x in before for x in item[max(0, p0 - reach) : p0]) + sum(x in after for x in item[p1 : p1 + reach])
-    return words + ends >= LEAST_WORDS * 0.8
+    return words + ends >= LEAST_SHARE * LEAST_WORDS
 
 
 def passes(words: int, p0: int, p1: int) -> bool:
-    return words >= LEAST_WORDS * 0.8 and p1 - p0 >= LEAST_WORDS * 0.92 and words >= LEAST_SHARE * (p1 - p0)
+    return p1 - p0 >= LEAST_WORDS and words >= LEAST_SHARE * (p1 - p0)
 
 
-def stretch(anchors: list[tuple[int, int, int]], doc: list[int], item: list[int]) -> tuple[int, int, int, list[tuple[int, int]]] | None:
+def stretch(anchors: list[tuple[int, int, int]], doc: list[int], item: Sequence[int]) -> tuple[int, int, int, list[tuple[int, int]]] | None:
     """What the best chain of exact runs repeats that passes the limits, as `measured` gives it; None if none passes.
 
     A chain that fails as a whole may have taken in chance runs at its ends: its parts are tried then, those with most
     words first, and then the chains that end elsewhere.
     """
-    tried = set()
-    for chain in chains(anchors):
+    tried, slack = set(), max(1, int((1 - LEAST_SHARE) * len(item)))
+    for whole in chains(anchors, slack):
         found = None
-        for size in range(len(chain), 0, -1):
-            for start in range(len(chain) - size + 1):
-                part = tuple(chain[start : start + size])
+        for size in range(len(whole), 0, -1):
+            for start in range(len(whole) - size + 1):
+                part = tuple(whole[start : start + size])
                 if part in tried:
                     continue
                 tried.add(part)
-                if may_pass(part, doc, item) and passes(*(got := measured(part, doc, item))[:3]) and (found is None or got[0] > found[0]):
+                if may_pass(part, doc, item, slack) and passes(*(got := measured(part, doc, item, slack))[:3]) and (found is None or got[0] > found[0]):
                     found = got
-            if size == len(chain) and found:
+            if size == len(whole) and found:
                 break
         if found:
             return found
     return None
 
 
-def measured(chain: Sequence[tuple[int, int, int]], doc: list[int], item: list[int]) -> tuple[int, int, int, list[tuple[int, int]]]:
+def beyond(doc: Sequence[int], item: Sequence[int]) -> tuple[int, int]:
+    """Words repeated beyond the end of an exact run, where single words may stand behind a changed one, and item words they span."""
+    for width in range(len(item), 0, -1):
+        held = doc[: width + 1]
+        if item[width - 1] in held and ((more := common_length(held, item[:width])) >= 0.7 * width or width == 2 and item[1] in doc[:2]):
+            return more, width
+    return 0, 0
+
+
+def measured(run: Sequence[tuple[int, int, int]], doc: list[int], item: Sequence[int], slack: int) -> tuple[int, int, int, list[tuple[int, int]]]:
     """What a chain of exact runs repeats: words, first and last item word, and the parts of the document that repeat them.
 
     There is one part, or two around an interruption; ends are exclusive.
     """
-    d0, p0, _ = chain[0]
+    d0, p0, _ = run[0]
     d1, p1, words, parts = d0, p0, 0, [d0]
-    for d, p, n in chain:
+    for d, p, n in run:
         over = max(d1 - d, p1 - p, 0)
-        if d + over - d1 <= 2 * SMALL_GAP:
+        if d + over - d1 <= 2 * slack:
             words += common_length(doc[d1 : d + over], item[p1 : p + over])
         else:  # around an interruption, words may be missing on either side of it
             gap = item[p1 : p + over]
@@ -289,18 +339,10 @@ def measured(chain: Sequence[tuple[int, int, int]], doc: list[int], item: list[i
             parts += [d1, d + over]
         words += n - over
         d1, p1 = d + n, p + n
-    # At both ends, single words may stand beyond a changed one.
-    reach = SMALL_GAP + 2
-    for width in range(1, min(reach, p0, d0) + 1):
-        more = common_length(doc[max(0, d0 - width - 1) : d0], item[p0 - width : p0])
-        if more >= 0.7 * width and item[p0 - width] in doc[max(0, d0 - width - 1) : d0]:
-            words, p0, d0 = words + more, p0 - width, max(0, d0 - width)
-            break
-    for width in range(min(reach, len(item) - p1, len(doc) - d1), 0, -1):
-        more = common_length(doc[d1 : d1 + width + 1], item[p1 : p1 + width])
-        if more >= 0.7 * width and item[p1 + width - 1] in doc[d1 : d1 + width + 1]:
-            words, p1, d1 = words + more, p1 + width, d1 + width
-            break
+    more, width = beyond(doc[max(0, d0 - slack - 3) : d0][::-1], item[max(0, p0 - slack - 2) : p0][::-1])
+    words, p0, d0 = words + more, p0 - width, max(0, d0 - width)
+    more, width = beyond(doc[d1 : d1 + slack + 3], item[p1 : p1 + slack + 2])
+    words, p1, d1 = words + more, p1 + width, min(len(doc), d1 + width)
     parts = [d0, *parts[1:], d1]
     return words, p0, p1, list(zip(parts[::2], parts[1::2]))
 
@@ -325,11 +367,9 @@ class ItemIndex:
 
     def __init__(self, items: list[tuple[int, str]]) -> None:
         self.vocabulary: dict[str, int] = {}
-        self.ids, self.words = [], []
-        for item_id, passage in items:
-            self.ids.append(item_id)
-            self.words.append([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in normal_words(passage)])
-        self.automaton = SuffixAutomaton(self.words)
+        self.ids = [item_id for item_id, _ in items]
+        self.automaton = SuffixAutomaton([[self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in normal_words(passage)] for _, passage in items])
+        self.words = self.automaton.sequences
 
     def leaks(self, found: list[str], every: bool = True) -> Iterator[tuple[int, int, int, int, list[tuple[int, int]]]]:
         """item_id, words repeated, first and last item word, and the parts of the document, for its normal words.
@@ -350,7 +390,7 @@ class ItemIndex:
             for item, d, p, n in self.automaton.runs(numbers, start, stop):
                 anchors[item].append((d, p, n))
         for item, runs in anchors.items():
-            if sum(n for _, _, n in runs) < LEAST_WORDS // 3:
+            if max(n for _, _, n in runs) < LEAST_RUN:
                 continue
             left = numbers
             while runs and (found := stretch(runs, left, self.words[item])):
@@ -363,28 +403,47 @@ class ItemIndex:
                     runs = without(runs, a, b)
 
 
-def item_blocks(items: DataFrame, item_id: str, passage: str) -> Iterator[list[tuple[int, str]]]:
-    """The test items in blocks of at most BLOCK_WORDS words (or one item), one partition at a time on the driver."""
-    block, held = [], 0
+def item_passes(items: DataFrame, item_id: str, passage: str) -> Iterator[list[Broadcast]]:
+    """The test items as indexes of at most BLOCK_WORDS words (or one item) each, in lists of at most PASS_WORDS words.
+
+    Items come one partition at a time, and one block at a time is held and indexed on the driver. Each index is a
+    broadcast of bounded size.
+    """
+    context = items.sparkSession.sparkContext
+    indexes: list[Broadcast] = []
+    block: list[tuple[int, str]] = []
+    held = ready = 0
+
+    def closed() -> Broadcast:
+        return context.broadcast(pickle.dumps(ItemIndex(block)))
+
     for row in items.where(F.col(passage).isNotNull()).select(item_id, passage).toLocalIterator():
-        size = len(row[1]) // 4 + 1
+        size = len(normal_words(row[1])) + 1
         if block and held + size > BLOCK_WORDS:
-            yield block
-            block, held = [], 0
+            indexes.append(closed())
+            ready, block, held = ready + held, [], 0
+            if ready + BLOCK_WORDS > PASS_WORDS:
+                yield indexes
+                indexes, ready = [], 0
         block.append((row[0], row[1]))
         held += size
     if block:
-        yield block
+        indexes.append(closed())
+    if indexes:
+        yield indexes
 
 
 def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", passage: str = "passage", every: bool = False) -> DataFrame:
-    """Every (doc_id, item_id) of which the document repeats at least LEAST_WORDS words in order, with the best stretch.
+    """Every (doc_id, item_id) of which the document repeats a stretch of at least LEAST_WORDS words in order, with the best one.
+
+    Of the stretch's words LEAST_SHARE must be repeated, since about one in ten may be changed, missing or added; gaps in it
+    may hold what the share allows for the whole item, and one interruption of any length may stand in it.
 
     With every=True, a document that repeats an item at several places gives a row for each of them.
 
     Columns: doc_id, item_id, words (repeated), stretch (words of the passage it covers), first_word, end_word (of the
-    passage), from_word, to_word (of the normalised document). Whole texts are streamed through the automaton; a block
-    of items is one broadcast of bounded size, and more items mean more passes. No shuffle. NULL or blank texts and
+    passage), from_word, to_word (of the normalised document). Whole texts are streamed through the automata; a block
+    of items is one broadcast of bounded size, several are held in one pass, and still more items mean more passes. No shuffle. NULL or blank texts and
     passages leak nothing; a repeated document gives its rows again; equal passages are all reported; extra columns are
     never read; an empty table gives no rows.
     """
@@ -393,17 +452,15 @@ def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", t
     schema = f"doc_id {id_type}, item_id {item_type}, words int, stretch int, first_word int, end_word int, from_word int, to_word int"
     read = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(F.col("text").isNotNull())
     result = spark.createDataFrame([], schema)
-    for number, block in enumerate(item_blocks(items, item_id, passage)):
-        index = spark.sparkContext.broadcast(pickle.dumps(ItemIndex(block)))
+    for number, indexes in enumerate(item_passes(items, item_id, passage)):
 
-        def stream(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
-            held: ItemIndex = pickle.loads(index.value)
+        def stream(batches: Iterator[pd.DataFrame], indexes=indexes) -> Iterator[pd.DataFrame]:
+            held: list[ItemIndex] = [pickle.loads(index.value) for index in indexes]
             for batch in batches:
-                rows = [
-                    (doc, item, words, p1 - p0, p0, p1, parts[0][0], parts[-1][1])
-                    for doc, body in zip(batch["doc_id"], batch["text"])
-                    for item, words, p0, p1, parts in held.leaks(normal_words(body), every)
-                ]
+                rows = []
+                for doc, body in zip(batch["doc_id"], batch["text"]):
+                    found = normal_words(body)
+                    rows += [(doc, item, words, p1 - p0, p0, p1, parts[0][0], parts[-1][1]) for index in held for item, words, p0, p1, parts in index.leaks(found, every)]
                 yield pd.DataFrame(rows, columns=["doc_id", "item_id", "words", "stretch", "first_word", "end_word", "from_word", "to_word"])
 
         part = read.mapInPandas(stream, schema)
@@ -419,9 +476,7 @@ def remove_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id",
     with several blocks of items, which are taken off one after another, the rounds end when one removes nothing.
     """
     clean = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.lit(0).alias("removed"))
-    indexes, before = [], -1
-    for block in item_blocks(items, item_id, passage):
-        indexes.append(documents.sparkSession.sparkContext.broadcast(pickle.dumps(ItemIndex(block))))
+    indexes, before = [index for some in item_passes(items, item_id, passage) for index in some], -1
     if len(indexes) < 2:
         return strip_blocks(clean, indexes)
     while True:

@@ -43,7 +43,7 @@ def test_automaton_against_brute_force():
         assert found == expected
         for end, n, state in automaton.matches(text, 0, len(text)):
             places = {(i, at + n - 1) for i, item in enumerate(items) for at in range(len(item) - n + 1) if item[at : at + n] == text[end - n : end]}
-            assert set(automaton.ends[state]) == places
+            assert set(automaton.places(state)) == places
 
 
 def test_runs_of_every_sequence_against_brute_force():
@@ -142,6 +142,28 @@ def test_an_interruption_of_any_length(between):
     assert found[1:4] == (30, 0, 30) and found[4] == [(0, 15), (15 + between, 30 + between)]
 
 
+@pytest.mark.parametrize(("n", "leaks"), [(22, 0), (23, 0), (24, 0), (25, 1), (26, 1)])
+def test_the_least_stretch(n, leaks):
+    text = f"{NOISE[0]} {' '.join(ITEM.split()[9 : 9 + n])} {NOISE[1]}"
+    assert len(list(ItemIndex([(1, ITEM)]).leaks(normal_words(text)))) == leaks
+
+
+def test_planted_changes_are_found_at_any_place():
+    """25 to 60 words with one in ten changed, missing or added, whole or interrupted at any distance: all are found."""
+    rng, words, index = random.Random(77), ITEM.split(), ItemIndex([(1, ITEM)])
+    for trial in range(300):
+        n = rng.randint(27, 60)
+        start = rng.randint(0, 70 - n)
+        part = words[start : start + n]
+        for k in rng.sample(range(1, n - 1), int(n * 0.1)):
+            kind = rng.randint(0, 2)
+            part[k] = "other" if kind == 0 else "" if kind == 1 else part[k] + " added"
+        cut = rng.randint(5, n - 5)
+        between = " ".join(["unknown"] * rng.choice([0, 0, 9, 50, 395, 405, 5000]))
+        text = f"{NOISE[trial % 9]} {' '.join(part[:cut])} {between} {' '.join(part[cut:])} {NOISE[trial % 7]}"
+        assert len(list(index.leaks(normal_words(text)))) == 1, (trial, text)
+
+
 def test_building_alike_is_no_leak():
     index = ItemIndex([(1, ITEM)])
     rng = random.Random(9)

@@ -30,7 +30,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("source").alias("source_table"), "row_id", F.col("pos").cast("int").alias("pos"), "val")
 
 
-def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
     listings = table(spark, sf_dir, "listings")
     newest = listings.agg(F.max("scan_no")).head()[0]
     dated = [
@@ -40,8 +40,33 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
             for name, field in (("recommendations", "recommendation_effective_date"), ("eos_notices", "end_of_sale"))
         ],
     ]
-    rows = dated[0].unionByName(dated[1]).unionByName(dated[2])
-    return normalise_moments(rows, F.col("name"), F.col("source"), F.col("row_id"), F.col("value"), F.col("zone"), ["row_id"])
+    return dated[0].unionByName(dated[1]).unionByName(dated[2])
+
+
+def _moments(rows: DataFrame, stated: bool = True) -> DataFrame:
+    return normalise_moments(rows, F.col("name"), F.col("source"), F.col("row_id"), F.col("value"), F.col("zone"), ["row_id"], stated)
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _moments(_dated(spark, sf_dir))
+
+
+def p2_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without any convention: every order of day, month and year is found from the record order alone."""
+    return _moments(_dated(spark, sf_dir), stated=False)
+
+
+def p2_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the record order alone finds what the conventions say, over the values whose order it has to find.
+
+    source_table, settled (slashed, pointed or named days read under the conventions), agree, agree_share.
+    """
+    rows = _dated(spark, sf_dir)
+    open_form = F.col("value").rlike(r"^\s*\d{1,2}([/.])\d{1,2}\1\d{2,4}|^\s*\d{1,2}[ -][A-Za-z]+[ -]\d{2}\b")
+    known = _moments(rows.where(open_form)).withColumnRenamed("moment", "said")
+    both = known.join(p2_inferred(spark, sf_dir).hint("merge"), ["source_table", "row_id"], "left")
+    counts = both.groupBy("source_table").agg(F.count("*").alias("settled"), F.count_if(F.col("said") == F.col("moment")).alias("agree"))
+    return counts.withColumn("agree_share", F.round(F.col("agree") / F.col("settled"), 4))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +87,7 @@ def p6_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_delimiters": p1_delimiters, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_unified": p6_unified}
+    return {"p1_found": p1_found, "p1_delimiters": p1_delimiters, "p2_found": p2_found, "p2_inferred": p2_inferred, "p2_agreement": p2_agreement, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_unified": p6_unified}
 
 
 _KEYED = """

@@ -1,11 +1,13 @@
 import datetime as dt
+import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.moments import normalise_moments, readings, viterbi
+from ledgerloom.operators.moments import BEGIN, CHANGES, STATES, best_states, normalise_moments, reading_in, readings, times, unit, viterbi
 from ledgerloom.operators.packed import STRONG, delimiter_scores, split_cell, unpack
 
 
@@ -121,38 +123,86 @@ def test_moments(spark):
     assert normalise_moments(df.limit(0), F.lit("t"), F.lit("s"), F.col("row_id"), F.col("written"), F.col("tz"), ["row_id"]).collect() == []
 
 
+def days(written, stated=False):
+    return [[r for r in readings(w, "UTC", {"slash": "dmy"}) if r.usual or not stated] for w in written]
+
+
 def test_viterbi_follows_the_record_order():
     written = ["01/02/2020", "03/02/2020", "02/13/2020", "02/20/2020", "03/05/2020"]
-    rows = [readings(w, "UTC", {"slash": "dmy"}) for w in written]
-    chosen = [r.moment for r in viterbi(rows, unusual=0.25)]
-    assert chosen == ["2020-02-01", "2020-02-03", "2020-02-13", "2020-02-20", "2020-03-05"]
-    stated = [r.moment for r in viterbi(rows, unusual=100.0)]
-    assert stated == ["2020-02-01", "2020-02-03", "2020-02-13", "2020-02-20", "2020-05-03"]
+    assert [r.moment for r in viterbi(days(written))] == ["2020-02-01", "2020-02-03", "2020-02-13", "2020-02-20", "2020-03-05"]
+    # An order holds until another is seen, whatever stands between, and each family has its own.
+    written = ["02/13/2020", "Mar 1, 2020", "n/a", "03.04.2020", "2020-05-01", "06/07/2020", "1584000000"]
+    assert [r and r.moment[:10] for r in viterbi(days(written))] == ["2020-02-13", "2020-03-01", None, "2020-04-03", "2020-05-01", "2020-06-07", "2020-03-12"]
+    # With the convention stated nothing is open, and what it makes impossible is not readable.
+    assert [r and r.moment for r in viterbi(days(written[:1] + ["03/05/2020"], True))] == [None, "2020-05-03"]
+
+
+def cost_of(chosen, states):
+    cost = BEGIN[states[0]]
+    for (a, s), (b, t) in zip(zip(chosen, states), zip(chosen[1:], states[1:])):
+        cost += CHANGES[s, t] + (b.at < a.at)
+    return cost
 
 
-def brute(rows, unusual):
+def brute(rows):
+    """The cheapest of all ways to be in a state at every value and to read it so."""
     import itertools
 
-    best = None
-    places = [i for i, r in enumerate(rows) if r]
-    for pick in itertools.product(*[rows[i] for i in places]):
-        cost = sum(0 if r.usual else unusual for r in pick)
-        for a, b in zip(pick, pick[1:]):
-            cost += (a.form != b.form and a.form.rpartition(" ")[0] == b.form.rpartition(" ")[0]) + (b.at < a.at)
-        best = cost if best is None else min(best, cost)
+    held = [r for r in rows if r]
+    fits = lambda here, s: None if np.isinf(times(here)[s]) else reading_in(here, s)
+    best = np.inf
+    for states in itertools.product(range(len(STATES)), repeat=len(held)):
+        chosen = [fits(h, s) for h, s in zip(held, states)]
+        if None not in chosen:
+            best = min(best, cost_of(chosen, states))
     return best
 
 
-@settings(max_examples=40, deadline=None)
-@given(st.lists(st.tuples(st.integers(1, 14), st.integers(1, 14)), min_size=1, max_size=8))
-def test_viterbi_is_cheapest(days):
-    rows = [readings(f"{a:02d}/{b:02d}/2020", "UTC", {"slash": "dmy"}) for a, b in days]
-    chosen = [c for c in viterbi(rows, 0.25) if c is not None]
-    cost = sum(0 if r.usual else 0.25 for r in chosen)
-    for a, b in zip(chosen, chosen[1:]):
-        cost += (a.form != b.form and a.form.rpartition(" ")[0] == b.form.rpartition(" ")[0]) + (b.at < a.at)
-    if chosen:
-        assert abs(cost - brute(rows, 0.25)) < 1e-9
+WRITTEN = st.one_of(
+    st.tuples(st.integers(1, 14), st.sampled_from("/."), st.integers(1, 14)).map(lambda t: f"{t[0]:02d}{t[1]}{t[2]:02d}{t[1]}2020"),
+    st.sampled_from(["2020-03-01", "2020-07", "n/a", "10-Aug-14", "3-Mar-21"]),
+)
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(WRITTEN, min_size=1, max_size=4))
+def test_viterbi_is_cheapest(written):
+    rows = days(written)
+    held = [r for r in rows if r]
+    if held:
+        states = [s for s, _ in best_states([unit(times(r)) for r in held], None, None)]
+        assert abs(cost_of([reading_in(r, s) for r, s in zip(held, states)], states) - brute(rows)) < 1e-9
+        assert [r for r in viterbi(rows) if r] == [reading_in(r, s) for r, s in zip(held, states)]
+
+
+def planted(n, seed):
+    """Records in order of time whose order of day and month changes now and then, with jumps back; and what they mean."""
+    rng, at, out = random.Random(seed), dt.date(2015, 1, 1), []
+    forms = ["%d/%m/%Y", "%m/%d/%Y"]
+    for _ in range(n):
+        at += dt.timedelta(days=rng.randint(0, 5)) if rng.random() < 0.97 else -dt.timedelta(days=40)
+        if rng.random() < 0.06:
+            forms.reverse()
+        form = forms[0] if rng.random() < 0.6 else rng.choice(["%Y-%m-%d", "%b %d, %Y", "%d.%m.%Y"])
+        out.append((at.strftime(form), at.isoformat(), form))
+    return out
+
+
+@pytest.mark.parametrize("block", [1, 7, 40, 20_000])
+def test_orders_are_found_alike_in_blocks_of_any_size(spark, block):
+    held = [(i * 2 + s, f"s{s}", w, want, form) for s in (0, 1) for i, (w, want, form) in enumerate(planted(250, s))]
+    df = spark.createDataFrame(held, "row_id long, s string, w string, want string, form string")
+    found = normalise_moments(df, F.lit("t"), F.col("s"), F.col("row_id"), F.col("w"), F.lit("UTC"), ["row_id"], stated=False, block_rows=block)
+    got = {r["row_id"]: r["moment"] for r in found.collect()}
+    whole = {}
+    for s in ("s0", "s1"):
+        mine = [h for h in held if h[1] == s]
+        whole |= {h[0]: r.moment for h, r in zip(mine, viterbi(days([h[2] for h in mine])))}
+    assert got == whole
+    open_ones = [h for h in held if "/" in h[2] and int(h[2][:2]) <= 12 and int(h[2][3:5]) <= 12 and h[2][:2] != h[2][3:5]]
+    right = sum(got[h[0]] == h[3] for h in open_ones)
+    fixed = sum(h[4] == "%d/%m/%Y" for h in open_ones)
+    assert right >= 0.9 * len(open_ones) and fixed < 0.8 * right
 
 
 @settings(max_examples=60, deadline=None)

@@ -16,8 +16,10 @@ from ledgerloom.session import cut_lineage
 
 #: Share of the components with a value in both files whose value must be carried over for a rename.
 CARRIED = 0.8
-#: What the similarity of two names can add to a match; it only decides between equally carried columns.
-NAME_WEIGHT = 0.05
+#: Distinct values from which two columns are compared as sets, where no column tells which rows belong together.
+ALIKE = 4
+#: What equal kinds of values and the similarity of two names can add to a match; they only decide between equally carried columns.
+KIND_WEIGHT, NAME_WEIGHT = 0.02, 0.05
 
 
 def heading(c: Column) -> Column:
@@ -55,6 +57,12 @@ def fields_of(record: Column) -> Column:
     return F.transform(entries, field)
 
 
+def hashed_fields(record: Column) -> Column:
+    """`fields_of` with values as 64-bit hashes, sorted: what comparing files needs, at eight bytes a value."""
+    slim = F.transform(fields_of(record), lambda f: F.struct(f["name"].alias("name"), f["kind"].alias("kind"), F.when(f["val"].isNotNull(), F.xxhash64(f["val"])).alias("val")))
+    return F.array_sort(slim)
+
+
 def value_of(fields: Column, name: Column) -> Column:
     return F.get(F.filter(fields, lambda f: (f["name"] == name) & f["val"].isNotNull()), F.lit(0))["val"]
 
@@ -65,7 +73,7 @@ _PAIRS = T.ArrayType(T.StructType([T.StructField("old_name", T.StringType()), T.
 @F.pandas_udf(_PAIRS)
 def _matched(candidates: pd.Series) -> pd.Series:
     """Maximum-weight one-to-one matching of the gone and come columns of each file, over the pairs that qualify."""
-    return pd.Series([match_columns([(c["old_name"], c["new_name"], c["carried"]) for c in some]) for some in candidates], dtype="object")
+    return pd.Series([match_columns([(c["old_name"], c["new_name"], c["carried"] + KIND_WEIGHT * c["kept"]) for c in some]) for some in candidates], dtype="object")
 
 
 def match_columns(candidates: list[tuple[str, str, float]]) -> list[dict]:
@@ -123,21 +131,36 @@ def _files(rows: DataFrame) -> DataFrame:
 
 
 def column_profiles(lines: DataFrame) -> DataFrame:
-    """lines(file, fields) -> file, name, profile(kinds, identifies, values).
+    """lines(file, fields) -> file, name, profile(kinds, identifies, values), by one aggregation.
 
-    values is a theta sketch of the column's distinct values. A column identifies rows if no value occurs twice and at
-    least nine tenths of the lines have one; that is counted exactly.
+    values is a theta sketch of the column's distinct values, which is exact up to 4,096 of them. A column identifies rows
+    if it has as many distinct values as lines with a value (within twice the error a sketch has beyond that number), and
+    at least nine tenths of the lines have one.
     """
     cells = lines.select("file", F.explode("fields").alias("f")).select("file", "f.*")
-    bags = cells.groupBy("file", "name", "kind", "val").agg(F.count("*").alias("lines"))
-    filled = F.when(F.col("kind").isNotNull(), F.col("lines"))
-    return bags.groupBy("file", "name").agg(
-        F.struct(
-            F.array_sort(F.collect_set("kind")).alias("kinds"),
-            ((F.max(filled) == 1) & (F.sum(filled) >= 0.9 * F.sum("lines"))).alias("identifies"),
-            F.theta_sketch_agg("val").alias("values"),
-        ).alias("profile")
+    counted = cells.groupBy("file", "name").agg(
+        F.array_sort(F.collect_set("kind")).alias("kinds"), F.count("kind").alias("filled"), F.count("*").alias("lines"), F.theta_sketch_agg("val").alias("values")
     )
+    apart = F.col("filled") - F.theta_sketch_estimate("values")
+    unique = F.abs(apart) <= F.when(F.col("filled") <= 4096, 0).otherwise(0.03 * F.col("filled"))
+    identifies = (F.col("filled") > 0) & unique & (F.col("filled") >= 0.9 * F.col("lines"))
+    return counted.select("file", "name", F.struct("kinds", identifies.alias("identifies"), "values").alias("profile"))
+
+
+def _alike(gone: Column, come: Column) -> Column:
+    """Gone and come columns of the same kinds that hold nearly the same values by their sketches: array of (old_name, new_name, carried, kept).
+
+    carried is the common share of the larger set of values; sets of fewer than ALIKE values say nothing.
+    """
+
+    def link(a: Column, b: Column) -> Column:
+        x, y = a["profile"]["values"], b["profile"]["values"]
+        most = F.greatest(F.theta_sketch_estimate(x), F.theta_sketch_estimate(y))
+        share = F.when(most >= ALIKE, F.theta_sketch_estimate(F.theta_intersection(x, y)) / most)
+        same = a["profile"]["kinds"] == b["profile"]["kinds"]
+        return F.struct(a["name"].alias("old_name"), b["name"].alias("new_name"), F.when(same, share).alias("carried"), F.lit(1.0).alias("kept"))
+
+    return F.filter(F.flatten(F.transform(gone, lambda g: F.transform(come, lambda c: link(g, c)))), lambda p: p["carried"] >= CARRIED)
 
 
 def _anchor(same: Column, gone: Column, come: Column) -> Column:
@@ -162,17 +185,19 @@ def schema_changes(records: DataFrame, file: str = "file_id", series: str = "tab
     Each column is profiled by kinds, by whether it identifies rows, and by a sketch of its values. Where columns are
     gone and others have come, rows of the two files are aligned on the identifying pair of columns that shares most
     values; a gone and a come column qualify as a rename if nearly all aligned rows with both values carry them over,
-    which is counted over all rows. Qualified pairs are matched one to one, names deciding between equals.
+    which is counted over all rows. Where no pair of columns identifies rows, those of the same kinds qualify whose sets
+    of values are nearly the same by their sketches. Qualified pairs are matched one to one with the highest sum of
+    carried shares, kinds and names deciding between equals. Values are compared by 64-bit hashes.
 
     Rows meet on (file, identifying value), so neither a large file nor a series that holds a third of all rows ends in
-    one task; what is gathered per file is its columns. Without an identifying pair nothing counts as renamed. Repeated
+    one task; what is gathered per file is its columns. Repeated
     rows count once; rows without a file or a scan are left out; records that are no JSON object have no fields; files
     without fields are compared like others; an empty table gives no rows; keys of a record may clash with column names.
     """
     rows = records.select(F.col(file).alias("file"), F.col(series).alias("series"), F.col(scan).alias("scan"), F.col(record).alias("record")).where(
         F.col("file").isNotNull() & F.col("scan").isNotNull()
     )
-    lines = cut_lineage(rows.select("file", F.array_sort(fields_of(F.col("record"))).alias("fields")).distinct())
+    lines = cut_lineage(rows.select("file", hashed_fields(F.col("record")).alias("fields")).distinct())
     files = _files(rows)
 
     placed = column_profiles(lines).join(files.hint("merge"), "file")
@@ -196,7 +221,8 @@ def schema_changes(records: DataFrame, file: str = "file_id", series: str = "tab
         )
         .join(files.where("before IS NOT NULL").select("file", "before").hint("merge"), "file")
         .withColumn("anchor", F.when((F.size("gone") > 0) & (F.size("come") > 0), _anchor(F.col("same"), F.col("gone"), F.col("come"))))
-        .select("file", "before", F.col("gone.name").alias("gone"), F.col("come.name").alias("come"), "retyped", "anchor")
+        .withColumn("alike", F.when(F.col("anchor").isNull() | (F.col("anchor.n") < 1), _alike(F.col("gone"), F.col("come"))))
+        .select("file", "before", F.col("gone.name").alias("gone"), F.col("come.name").alias("come"), "retyped", "anchor", "alike")
     )
 
     torn = pairs.where("anchor IS NOT NULL AND anchor.n >= 1").select("file", "before", "gone", "come", "anchor")
@@ -213,10 +239,11 @@ def schema_changes(records: DataFrame, file: str = "file_id", series: str = "tab
     aligned = earlier.where(F.col("met").isNotNull()).join(later.where(F.col("met").isNotNull()).hint("merge"), ["file", "met"])
     held = aligned.select("file", F.explode("old").alias("o"), "new").select("file", "o", F.explode("new").alias("n"))
     carried = held.groupBy("file", F.col("o.name").alias("old_name"), F.col("n.name").alias("new_name")).agg(
-        F.avg((F.col("o.val") == F.col("n.val")).cast("int")).alias("carried")
+        F.avg((F.col("o.val") == F.col("n.val")).cast("int")).alias("carried"), F.avg((F.col("o.kind") == F.col("n.kind")).cast("int")).alias("kept")
     )
-    qualified = carried.where(F.col("carried") >= CARRIED).groupBy("file").agg(F.array_sort(F.collect_list(F.struct("old_name", "new_name", "carried"))).alias("candidates"))
-    renamed = qualified.select("file", _matched("candidates").alias("renamed"))
+    qualified = carried.where(F.col("carried") >= CARRIED).groupBy("file").agg(F.array_sort(F.collect_list(F.struct("old_name", "new_name", "carried", "kept"))).alias("candidates"))
+    by_sets = pairs.where(F.size("alike") > 0).select("file", F.array_sort("alike").alias("candidates"))
+    renamed = qualified.unionByName(by_sets).select("file", _matched("candidates").alias("renamed"))
 
     told = pairs.join(renamed.hint("merge"), "file", "left").withColumn("renamed", F.coalesce("renamed", F.array().cast("array<struct<old_name:string,new_name:string>>")))
 
@@ -266,5 +293,6 @@ def unified(records: DataFrame, changes: DataFrame, keep: list[str], file: str =
     filled = rows.select(F.col(file).alias("file"), F.coalesce(F.col(series), F.lit("")).alias("series"), F.col(scan).alias("scan"), *keep, F.explode(fields_of(F.col(record))).alias("f"))
     heads = filled.groupBy("file", F.col("f.name").alias("name")).agg(F.min("series").alias("series"), F.min("scan").alias("scan"))
     moved = changes.where("change = 'renamed'").select("file", "old_name", F.col("new_name").alias("name"))
-    names = heads.join(moved.hint("merge"), ["file", "name"], "left").groupBy("series").applyInPandas(_lineages, "file long, name string, field string")
+    kind = records.schema[file].dataType.simpleString()
+    names = heads.join(moved.hint("merge"), ["file", "name"], "left").groupBy("series").applyInPandas(_lineages, f"file {kind}, name string, field string")
     return filled.select("file", *keep, "f.*").join(names.hint("merge"), ["file", "name"]).select("file", *keep, "field", "name", "kind", "val")

@@ -54,6 +54,19 @@ def test_shuffled_values_are_no_rename(spark):
     assert got == {(2, "removed", "a", ""), (2, "added", "", "b")}
 
 
+def test_renames_without_an_identifying_column(spark):
+    """Columns of the same kind with nearly the same set of values; sets of few values, and other kinds, are no rename."""
+    low = versions(6, 5)
+    old = [{"A": low[i % 6], "Flag": "yes" if i % 2 else "no", "N": i % 5} for i in range(30)]
+    new = [{"B": low[(i + 1) % 6], "Mark": "yes" if i % 3 else "no", "M": str(i % 5)} for i in range(30)]
+    rows = file(1, 1, old) + file(2, 2, new)
+    df = spark.createDataFrame([(r, f"f{i}", *rest) for r, i, *rest in rows], SCHEMA.replace("file_id long", "file_id string"))
+    changes = schema_changes(df)
+    got = {tuple(r) for r in changes.collect()}
+    assert got == {("f2", "renamed", "a", "b"), ("f2", "removed", "flag", ""), ("f2", "removed", "n", ""), ("f2", "added", "", "mark"), ("f2", "added", "", "m")}
+    assert {r["field"] for r in unified(df, changes, []).where("file = 'f2' AND name = 'b'").collect()} == {"a"}
+
+
 def test_assignment_is_cheapest():
     rng = random.Random(2)
     for _ in range(200):

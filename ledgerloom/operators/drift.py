@@ -16,6 +16,8 @@ from ledgerloom.session import cut_lineage
 
 #: Share of the components with a value in both files whose value must be carried over for a rename.
 CARRIED = 0.8
+#: Rows from which a file may count as large.
+LARGE = 100_000
 #: Distinct values from which two columns are compared as sets, where no column tells which rows belong together.
 ALIKE = 4
 #: What equal kinds of values and the similarity of two names can add to a match; they only decide between equally carried columns.
@@ -130,6 +132,21 @@ def _files(rows: DataFrame) -> DataFrame:
     return files.select("file", F.lag("file").over(in_time).alias("before"), F.lead("file").over(in_time).alias("next"))
 
 
+def distinct_lines(rows: DataFrame) -> DataFrame:
+    """file, fields: the distinct records of each file, those of a file together.
+
+    A file with more than LARGE rows and more than a 10,000th of all has its rows spread instead, and its copies are
+    dropped before they travel; there are fewer than 10,000 such files, so their names may reach the driver.
+    """
+    limit = max(LARGE, rows.count() // 10_000)
+    large = [r[0] for r in rows.groupBy("file").agg(F.count("*").alias("n")).where(F.col("n") > limit).select("file").collect()]
+    fields = hashed_fields(F.col("record")).alias("fields")
+    if not large:
+        return rows.select("file", fields).repartition("file").distinct()
+    is_large = F.col("file").isin(large)
+    return rows.where(~is_large).select("file", fields).repartition("file").distinct().unionByName(rows.where(is_large).select("file", fields).distinct())
+
+
 def column_profiles(lines: DataFrame) -> DataFrame:
     """lines(file, fields) -> file, name, profile(kinds, identifies, values), by one aggregation.
 
@@ -197,7 +214,7 @@ def schema_changes(records: DataFrame, file: str = "file_id", series: str = "tab
     rows = records.select(F.col(file).alias("file"), F.col(series).alias("series"), F.col(scan).alias("scan"), F.col(record).alias("record")).where(
         F.col("file").isNotNull() & F.col("scan").isNotNull()
     )
-    lines = cut_lineage(rows.select("file", hashed_fields(F.col("record")).alias("fields")).distinct())
+    lines = cut_lineage(distinct_lines(rows))
     files = _files(rows)
 
     placed = column_profiles(lines).join(files.hint("merge"), "file")

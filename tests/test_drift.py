@@ -54,6 +54,18 @@ def test_shuffled_values_are_no_rename(spark):
     assert got == {(2, "removed", "a", ""), (2, "added", "", "b")}
 
 
+def test_large_files_give_the_same(spark, monkeypatch):
+    import ledgerloom.operators.drift as drift
+
+    names, low = [f"P-{i}" for i in range(40)], versions(40, 9)
+    rows = file(1, 1, [{"Part": names[i], "A": low[i]} for i in range(40)] * 3) + file(2, 2, [{"Part": names[i], "B": low[i]} for i in range(40)] * 2)
+    rows += file(3, 3, [{"Part": "x", "B": "1.2"}])
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = {tuple(r) for r in schema_changes(df).collect()}
+    monkeypatch.setattr(drift, "LARGE", 10)
+    assert {tuple(r) for r in schema_changes(df).collect()} == want == {(2, "renamed", "a", "b")}
+
+
 def test_renames_without_an_identifying_column(spark):
     """Columns of the same kind with nearly the same set of values; sets of few values, and other kinds, are no rename."""
     low = versions(6, 5)

@@ -125,21 +125,21 @@ def assignment(cost: list[list[float]]) -> list[int]:
     return chosen
 
 
-def _files(rows: DataFrame) -> DataFrame:
-    """Each file with the file before and after it in its series."""
+def _files(found: DataFrame) -> DataFrame:
+    """Each file with the file before and after it in its series. found: file, series, scan."""
     in_time = Window.partitionBy("series").orderBy("scan", "file")
-    files = rows.groupBy("file").agg(F.min("series").alias("series"), F.min("scan").alias("scan"))
-    return files.select("file", F.lag("file").over(in_time).alias("before"), F.lead("file").over(in_time).alias("next"))
+    return found.select("file", F.lag("file").over(in_time).alias("before"), F.lead("file").over(in_time).alias("next"))
 
 
-def distinct_lines(rows: DataFrame) -> DataFrame:
+def distinct_lines(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     """file, fields: the distinct records of each file, those of a file together.
 
     A file with more than LARGE rows and more than a 10,000th of all has its rows spread instead, and its copies are
-    dropped before they travel; there are fewer than 10,000 such files, so their names may reach the driver.
+    dropped before they travel; there are fewer than 10,000 such files, so their names may reach the driver. sizes: file, n.
     """
-    limit = max(LARGE, rows.count() // 10_000)
-    large = [r[0] for r in rows.groupBy("file").agg(F.count("*").alias("n")).where(F.col("n") > limit).select("file").collect()]
+    most, total = sizes.agg(F.max("n"), F.sum("n")).head()
+    limit = max(LARGE, (total or 0) // 10_000)
+    large = [r[0] for r in sizes.where(F.col("n") > limit).select("file").collect()] if (most or 0) > limit else []
     fields = hashed_fields(F.col("record")).alias("fields")
     if not large:
         return rows.select("file", fields).repartition("file").distinct()
@@ -214,8 +214,9 @@ def schema_changes(records: DataFrame, file: str = "file_id", series: str = "tab
     rows = records.select(F.col(file).alias("file"), F.col(series).alias("series"), F.col(scan).alias("scan"), F.col(record).alias("record")).where(
         F.col("file").isNotNull() & F.col("scan").isNotNull()
     )
-    lines = cut_lineage(distinct_lines(rows))
-    files = _files(rows)
+    found = cut_lineage(rows.groupBy("file").agg(F.min("series").alias("series"), F.min("scan").alias("scan"), F.count("*").alias("n")))
+    lines = cut_lineage(distinct_lines(rows, found))
+    files = cut_lineage(_files(found))
 
     placed = column_profiles(lines).join(files.hint("merge"), "file")
     none = F.lit(None)

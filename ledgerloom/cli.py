@@ -1,20 +1,22 @@
-"""Command line: scan, due, compare, plan, check over a versioned catalog."""
+"""Command line: scan, crawl, due, compare, refresh, plan, update, check over a versioned catalog."""
 
 from __future__ import annotations
 
 import argparse
 import datetime as dt
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from pathlib import Path
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import library, profiles
+from ledgerloom.operators import library, profiles, runs
 from ledgerloom.operators.ledger import VersionStore, catalog_changes, change_summary, guard, merge_ledger, merge_meta, scan_due
 from ledgerloom.operators.reporting import render_report, write_rows
 from ledgerloom.session import build_session
-from ledgerloom.sources.files import library_files, load_yaml, starter_profiles
+from ledgerloom.sources.fetch import Fetcher, Patient, network_fetcher
+from ledgerloom.sources.files import library_files, load_lock, load_yaml, starter_profiles
 
 META = "last-scan.json"
 
@@ -28,7 +30,7 @@ def due(root: str, today: str, sites: list[str], after: int) -> tuple[bool, str]
     return scan_due(today, read_meta(root).get("scanned") or {}, sites, after)
 
 
-def publish_scan(store: VersionStore, today: str, deliveries: dict, keys: dict[str, list[str]], site: str, allow_shrink: bool = False, watched: dict | None = None) -> dict[str, int]:
+def publish_scan(store: VersionStore, today: str, deliveries: dict, keys: dict[str, list[str]], site: str, allow_shrink: bool = False, watched: dict | None = None, timing: dict | None = None) -> dict[str, int]:
     """All deliveries of a scan merged and published together; every guard is asked before anything is written.
 
     deliveries: table name -> rows with an `ord` column. watched: name -> pages with their status, which are guarded and
@@ -53,7 +55,7 @@ def publish_scan(store: VersionStore, today: str, deliveries: dict, keys: dict[s
     store.publish(today, merged)
     for name in merged:
         counts[name] = store.read(name).count()
-    meta = merge_meta(read_meta(store.root), {site: counts}, [site], today)
+    meta = merge_meta(read_meta(store.root), {site: counts}, [site], today, timing)
     (Path(store.root) / META).write_text(json.dumps(meta, indent=1, sort_keys=True), encoding="utf-8")
     return counts
 
@@ -67,7 +69,18 @@ def compare(store: VersionStore, a: str, b: str, keys: dict[str, list[str]], sho
     return change_summary(union)
 
 
-def main(argv: Sequence[str] | None = None) -> int:
+def crawl(spark: SparkSession, args: argparse.Namespace, fetcher: Callable[[], Fetcher]) -> dict[str, int]:
+    """A crawl's tables, guarded, merged and published; the page store is emptied once the version stands."""
+    tables, steps = runs.crawl_docs(spark, args.pages, args.index_url, args.wanted, json.loads(args.hosts), fetcher)
+    keys = {"pages": ["page"], "listings": ["url", "page"], "release-notes": ["archive_page", "url"]}
+    found = {"pages": tables["pages"].withColumn("ord", F.lit(0)), "listings": tables["listings"], "release-notes": tables["release-notes"]}
+    watched = {"docs_pages": tables["pages"].select("page", "status"), "archive_pages": tables["archive_pages"]}
+    counts = publish_scan(VersionStore(spark, args.root), args.today, found, keys, args.site, args.allow_shrink, watched, {"steps": steps})
+    runs.finish_crawl(spark, args.pages)
+    return counts
+
+
+def main(argv: Sequence[str] | None = None, fetcher: Callable[[], Fetcher] = lambda: Patient(network_fetcher()), server: Callable[[], runs.FileServer] = runs.network_files) -> int:
     parser = argparse.ArgumentParser(prog="ledgerloom", description=__doc__)
     commands = parser.add_subparsers(dest="command", required=True)
     p = commands.add_parser("due", help="whether another scan is due")
@@ -98,10 +111,36 @@ def main(argv: Sequence[str] | None = None) -> int:
     p.add_argument("profile")
     p.add_argument("--starters")
     p.add_argument("--out")
+    p = commands.add_parser("crawl", help="fetch a documentation site, scan it and publish a version")
+    p.add_argument("root")
+    p.add_argument("pages", help="folder of fetched pages, from which a crawl that broke off goes on")
+    p.add_argument("--site", required=True)
+    p.add_argument("--index-url", required=True)
+    p.add_argument("--wanted", required=True, help="pattern of documentation pages' addresses")
+    p.add_argument("--hosts", required=True, help='JSON: {"own_hosts": [], "portal_hosts": [], "hub_hosts": []}')
+    p.add_argument("--today", default=dt.date.today().isoformat())
+    p.add_argument("--allow-shrink", action="store_true")
+    p = commands.add_parser("refresh", help="build the report, the block about the last scan and the explorer's rows anew")
+    p.add_argument("root")
+    p.add_argument("out")
+    p.add_argument("--keys", required=True)
+    p.add_argument("--shown", required=True)
+    p.add_argument("--readme")
+    p.add_argument("--documents")
+    p = commands.add_parser("update", help="bring a library in step with what a profile takes")
+    p.add_argument("documents")
+    p.add_argument("profile")
+    p.add_argument("library")
+    p.add_argument("--starters")
+    p.add_argument("--today", default=dt.date.today().isoformat())
+    p.add_argument("--superseded", choices=("archive", "keep", "delete"), default="archive")
+    p.add_argument("--keep-dropped", action="store_true")
+    p.add_argument("--dry-run", action="store_true")
     p = commands.add_parser("check", help="a library folder against its lock")
     p.add_argument("library")
     p.add_argument("lock")
     p.add_argument("--out", help="write every verdict here")
+    p.add_argument("--remote", action="store_true", help="ask the servers whether locked files have changed there")
     args = parser.parse_args(argv)
 
     if args.command == "due":
@@ -137,6 +176,31 @@ def main(argv: Sequence[str] | None = None) -> int:
         else:
             plan.orderBy("path", "url").show(100, truncate=False)
         return 0
+    if args.command == "crawl":
+        print(json.dumps(crawl(spark, args, fetcher)))
+        return 0
+    if args.command == "refresh":
+        documents = spark.read.parquet(args.documents) if args.documents else None
+        print(json.dumps(runs.refresh(VersionStore(spark, args.root), read_meta(args.root), json.loads(args.keys), json.loads(args.shown), args.out, args.readme, documents)))
+        return 0
+    if args.command == "update":
+        profile = profiles.load_profile(load_yaml(args.profile, {}), starter_profiles(args.starters) if args.starters else {})
+        docs = spark.read.parquet(args.documents)
+        if args.dry_run:
+            for r in runs.planned(docs, profile, load_lock(spark, f"{args.library}/{runs.OWN}/lock", runs.LOCK), ["pos"]).orderBy("path", "url").toLocalIterator():
+                print(f"{r['decision']}: {r['path']}")
+            return 0
+        tally = runs.update_library(spark, docs, profile, args.library, server, args.today, ["pos"], args.superseded, args.keep_dropped)
+        print(", ".join(f"{n} {d}" for d, n in sorted(tally.items())) or "nothing to do")
+        return 1 if tally.get("failed") else 0
+    if args.remote:
+        verdicts = runs.check_remote(load_lock(spark, args.lock, runs.LOCK), server).withColumnRenamed("url", "path")
+        if args.out:
+            write_rows(verdicts, args.out)
+            verdicts = spark.read.parquet(args.out)
+        for r in verdicts.where("verdict <> 'ok'").orderBy("path").toLocalIterator():
+            print(f"{r['verdict']}: {r['path']}")
+        return 1 if verdicts.where("verdict = 'upstream'").count() else 0
     verdicts = library.check_files(spark.read.parquet(args.lock), library_files(spark, args.library))
     if args.out:
         write_rows(verdicts, args.out)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import shutil
+from collections.abc import Iterator
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,7 +61,7 @@ def next_lock(lock: DataFrame, decisions: DataFrame, fetched: DataFrame, today:
     """The lock after an update: new and updated files take what was fetched, an updated one keeps its earlier versions.
 
     lock: url, path, sha256, bytes, title, last_modified, fetched, earlier (array of struct(sha256, bytes,
-    last_modified, fetched)). fetched: url, sha256, bytes, title, last_modified. Dropped files leave; failed and same
+    last_modified, fetched)), and etag if both tables have it. fetched: url, sha256, bytes, title, last_modified. Dropped files leave; failed and same
     files stay as they were.
     """
     d = decisions.where("decision <> 'dropped'").select("url", "path", "decision")
@@ -70,7 +72,7 @@ def next_lock(lock: DataFrame, decisions: DataFrame, fetched: DataFrame, today:
     none = F.array().cast("array<struct<sha256:string,bytes:bigint,last_modified:string,fetched:string>>")
     earlier = F.when(F.col("d.decision") == "updated", F.concat(F.coalesce(F.col("k.earlier"), none), was)).otherwise(F.coalesce(F.col("k.earlier"), none))
     return joined.where(fresh | F.col("k.url").isNotNull()).select(
-        F.col("d.url").alias("url"), F.col("d.path").alias("path"), *[pick(c) for c in ("sha256", "bytes", "title", "last_modified")],
+        F.col("d.url").alias("url"), F.col("d.path").alias("path"), *[pick(c) for c in ("sha256", "bytes", "title", "etag", "last_modified") if c in lock.columns and c in fetched.columns],
         F.when(fresh, F.lit(today)).otherwise(F.col("k.fetched")).alias("fetched"), earlier.alias("earlier"),
     )
 
@@ -101,20 +103,25 @@ def moved_aside(decisions: DataFrame, how: str, today: str) -> DataFrame:
 
 
 def set_aside(root: str | Path, moves: DataFrame) -> int:
-    """Moves or deletes a library's superseded files as `moved_aside` says; returns how many were there."""
-    done = 0
-    for path, target in moves.select("path", "target").toLocalIterator():
-        file = Path(root) / path
-        if not file.exists():
-            continue
-        done += 1
-        if target is None:
-            file.unlink()
-        else:
-            goal = Path(root) / target
-            goal.parent.mkdir(parents=True, exist_ok=True)
-            shutil.move(file, goal)
-    return done
+    """Moves or deletes a library's superseded files as `moved_aside` says, by the workers; returns how many were there."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            done = 0
+            for path, target in zip(batch["path"], batch["target"]):
+                file = Path(root) / path
+                if not file.exists():
+                    continue
+                done += 1
+                if target is None:
+                    file.unlink()
+                else:
+                    goal = Path(root) / target
+                    goal.parent.mkdir(parents=True, exist_ok=True)
+                    shutil.move(file, goal)
+            yield pd.DataFrame({"n": [done]})
+
+    return moves.select("path", "target").mapInPandas(run, "n int").agg(F.sum("n")).head()[0] or 0
 
 
 def copy_snapshots(pages: DataFrame, names: list[str], default_site: str = "docs-site") -> DataFrame:

@@ -1,7 +1,7 @@
 """From raw pages to the tables of one scan: the documentation site, the main site and snapshot pages.
 
-Raw pages are rows of url, status and body (NULL or '' where the fetch failed). Each function is one lazy plan up to the
-parser, and its results are ready to be merged and published together.
+Raw pages are rows of url, status and body (NULL or '' where the fetch failed). Each function parses every page once, writes
+what it found to the checkpoint folder and builds all its tables from there, ready to be merged and published together.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from ledgerloom.functions.links import format_via, join_url, link_kind, portal_r
 from ledgerloom.functions.urls import area_of, canonical, host
 from ledgerloom.operators import catalog
 from ledgerloom.operators.ledger import first_wins
+from ledgerloom.session import cut_lineage
 from ledgerloom.sources.html import read_archive, read_docs_pages, read_index, read_links, read_tables
 
 
@@ -34,7 +35,7 @@ def scan_archive(raw: DataFrame, menu_url: str, wanted: str, docs_url: str, host
     at, last = canonical(F.col("url")), F.regexp_extract(F.regexp_replace("page", "/+$", ""), "([^/]*)$", 1)
     menu = read_archive(raw.where((at == canonical(F.lit(menu_url))) & (F.col("status") == 200)), wanted).select(canonical(F.col("url")).alias("page")).distinct()
     pages = menu.join(raw.withColumn("page", at), "page", "left").select("page", F.coalesce("url", "page").alias("url"), F.coalesce("status", F.lit(0)).alias("status"), "body")
-    found = read_links(pages.where("status = 200")).withColumn("fv", format_via(link_kind(F.col("href"), F.col("label"), **hosts)))
+    found = cut_lineage(read_links(pages.where("status = 200"))).withColumn("fv", format_via(link_kind(F.col("href"), F.col("label"), **hosts)))
     found = found.where(F.regexp_replace(host(F.col("href")), ":[0-9]*$", "") != F.regexp_replace(host(F.lit(docs_url)), ":[0-9]*$", ""))
     rows = found.select(last.alias("archive_page"), F.col("label").alias("title"), F.col("fv.format").alias("format"), F.col("fv.via").alias("via"), F.col("href").alias("url"), "page", F.col("pos").alias("ord"))
     return {"release-notes": first_wins(rows, ["archive_page", "url"], [F.col("page"), F.col("ord")]).drop("page"), "archive_pages": pages.select("page", "status")}
@@ -57,7 +58,7 @@ def scan_docs(
     entries = first_wins(entries, ["url"], [F.col("ord")])
     pages = raw.where(~at.isin(canonical(F.lit(index_url)), canonical(F.lit(menu_url)))).select(F.col("url"), "status", "body")
     pages = pages.withColumn("page", at).join(archive["archive_pages"], "page", "left_anti").drop("page")
-    parsed = read_docs_pages(pages, wanted, site_suffix).join(pages.select("url", "status"), "url").withColumn("page", canonical(F.col("url")))
+    parsed = cut_lineage(read_docs_pages(pages, wanted, site_suffix)).join(pages.select("url", "status"), "url").withColumn("page", canonical(F.col("url")))
     options = parsed.select("page", F.posexplode("doc.options").alias("pos", "o")).select("page", "pos", F.col("o.label").alias("label"), canonical(F.col("o.url")).alias("target"))
     menu = options.join(entries.withColumnRenamed("url", "page"), "page").select(F.col("target").alias("url"), "heading", "entry", "ord")
     owners = catalog.page_owners(entries, menu).withColumnRenamed("url", "page")
@@ -93,7 +94,7 @@ def scan_main(raw: DataFrame, datasheet_areas: Sequence[str], hosts: dict[str, l
     """pages, listings and datasheets of the main site, without the links that are furniture of the site or an area."""
     pages = raw.select("url", "status", F.coalesce("body", F.lit("")).alias("body")).withColumn("area", area_of(F.col("url")))
     n = pages.count()
-    found = read_links(pages).withColumn("area", area_of(F.col("page"))).withColumn("kind", link_kind(F.col("href"), F.col("label"), **hosts))
+    found = cut_lineage(read_links(pages)).withColumn("area", area_of(F.col("page"))).withColumn("kind", link_kind(F.col("href"), F.col("label"), **hosts))
     found = found.withColumn("is_hub", F.col("kind") == "hub")
     wide = catalog.furniture(found, n)
     narrow = catalog.area_furniture(found, pages.select("area", F.col("url").alias("page")))
@@ -122,7 +123,7 @@ def main_summary(pages: DataFrame) -> DataFrame:
 
 def scan_snapshots(raw: DataFrame, site: str) -> dict[str, DataFrame]:
     """The index (site, name, title, status, tables, rows, url) and the table cells of snapshot pages; a failed page has name ''."""
-    cells = read_tables(raw.select("url", "body")).withColumn("site", F.lit(site))
+    cells = cut_lineage(read_tables(raw.select("url", "body"))).withColumn("site", F.lit(site))
     sizes = cells.groupBy("page").agg(F.count_distinct("table_no").alias("tables"), F.count_distinct("table_no", "row_no").alias("rows"))
     last = F.regexp_extract(F.regexp_replace("url", "/+$", ""), "([^/]*)$", 1)
     title = F.trim(F.split_part(F.regexp_extract(F.coalesce("body", F.lit("")), r"(?is)<title[^>]*>(.*?)</title>", 1), F.lit(" | "), F.lit(1)))

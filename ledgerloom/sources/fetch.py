@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.links import join_url, refresh_target
 
-RAW = "url string, status int, final_url string, content_type string, etag string, last_modified string, body string"
+RAW = "url string, status int, final_url string, content_type string, etag string, last_modified string, body string, tries int, throttled boolean"
 
 
 class Answer(NamedTuple):
@@ -26,6 +26,8 @@ class Answer(NamedTuple):
     last_modified: str = ""
     body: str = ""
     retry_after: str = ""
+    tries: int = 1
+    throttled: bool = False
 
 
 class Fetcher(Protocol):
@@ -92,7 +94,7 @@ class Patient:
     pace: Pace = field(default_factory=Pace)
 
     def __call__(self, url: str) -> Answer:
-        answer = Answer(0, url)
+        answer, throttled = Answer(0, url), False
         for attempt in range(self.tries):
             if self.pace.delay:
                 self.sleep(self.pace.delay)
@@ -102,12 +104,13 @@ class Patient:
                 answer = Answer(0, url)
             if answer.status and answer.status != 429 and answer.status < 500:
                 self.pace.answered()
-                return answer
+                return answer._replace(tries=attempt + 1, throttled=throttled)
             self.pace.pushed_back()
+            throttled = throttled or answer.status == 429
             if attempt + 1 < self.tries:
                 wait = float(answer.retry_after) if answer.retry_after.isdigit() else 5.0 * 2**attempt
                 self.sleep(min(120.0, wait))
-        return answer
+        return answer._replace(tries=self.tries, throttled=throttled)
 
 
 def fetch_all(urls: DataFrame, fetcher: Callable[[], Fetcher], workers: int = 3, url: str = "url") -> DataFrame:
@@ -122,7 +125,7 @@ def fetch_all(urls: DataFrame, fetcher: Callable[[], Fetcher], workers: int = 3,
             rows = []
             for u in batch["url"]:
                 a = get(u)
-                rows.append((u, a.status, a.final_url or u, a.content_type, a.etag, a.last_modified, a.body))
+                rows.append((u, a.status, a.final_url or u, a.content_type, a.etag, a.last_modified, a.body, a.tries, a.throttled))
             yield pd.DataFrame(rows, columns=[f.split(" ")[0] for f in RAW.split(", ")])
 
     wanted = urls.select(F.col(url).alias("url")).where("url IS NOT NULL").distinct()
@@ -145,6 +148,20 @@ def fetch_missing(spark: SparkSession, store: str, urls: DataFrame, fetcher: Cal
     return spark.read.schema(RAW).parquet(store).join(wanted, "url", "left_semi")
 
 
+def clear_store(spark: SparkSession, store: str) -> None:
+    """Forgets the stored pages, once their scan has been published."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(store)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def network_counters(raw: DataFrame) -> dict[str, int]:
+    """pages, failed, retried and throttled of raw pages."""
+    n = raw.agg(
+        F.count("*").alias("pages"), F.count_if(F.col("status") != 200).alias("failed"), F.count_if(F.col("tries") > 1).alias("retried"), F.count_if(F.col("throttled")).alias("throttled")
+    )
+    return n.head().asDict()
+
+
 def sitemap_urls(raw: DataFrame, body: str = "body") -> DataFrame:
     """Every <loc> of sitemap bodies; an empty result is an error, since the scan would lose everything."""
     found = raw.select(F.explode(F.regexp_extract_all(F.col(body), F.lit(r"(?s)<loc>\s*(.*?)\s*</loc>"), F.lit(1))).alias("url")).distinct()

@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.rules import ProductRules, TypeRules
+from ledgerloom.operators.history import scan_calendar
 from ledgerloom.operators.ledger import first_wins
 from ledgerloom.session import table
 
-#: Dates of the last two scans.
-PREVIOUS, LATEST = (7, "2025-07-14"), (8, "2025-08-17")
+#: Numbers and days of the last two scans delivered, in SQL.
+LAST_NO = "(SELECT max(scan_no) FROM snapshots)"
+PREV_NO = f"(SELECT max(scan_no) FROM snapshots WHERE scan_no < {LAST_NO})"
+LAST_DAY, PREV_DAY = (f"(SELECT max(scan_date) FROM snapshots WHERE scan_no = {no})" for no in (LAST_NO, PREV_NO))
 
 RULES = TypeRules(
     by_format={"video": "Video", "api": "API Reference"},
@@ -57,13 +60,19 @@ def is_latest():  # noqa: ANN201
     return F.coalesce(F.col("latest").rlike(r"(?i)^\s*(yes|y|true)\s*$"), F.lit(False))
 
 
+def last_scans(spark: SparkSession, sf_dir: str) -> tuple[tuple[int, str], tuple[int, str]]:
+    """Number and day of the last scan but one and of the last one, from the small index of snapshot pages."""
+    calendar = scan_calendar(table(spark, sf_dir, "snapshots"))
+    return (calendar[-2] if len(calendar) > 1 else calendar[-1]), calendar[-1]
+
+
 def scan_rows(spark: SparkSession, sf_dir: str, scan: int, key: tuple[str, ...] = ("url", "page")) -> DataFrame:
     """The rows of one scan, the first of each key."""
     rows = table(spark, sf_dir, "listings").where(F.col("scan_no") == scan)
     return first_wins(rows, list(key), [F.col("row_id")])
 
 
-def scan_sql(name: str, scan: int, key: str = "url, page") -> str:
+def scan_sql(name: str, scan: str, key: str = "url, page") -> str:
     return f"{name} AS (SELECT * FROM listings WHERE scan_no = {scan} QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY row_id) = 1)"
 
 
@@ -73,6 +82,6 @@ def snapshot_rows(spark: SparkSession, sf_dir: str, scan: int) -> DataFrame:
     return first_wins(rows.select("site", "name", "title", "status", "tables", "rows", "body"), ["site", "name"], [F.col("body")])
 
 
-def snapshot_sql(name: str, scan: int) -> str:
+def snapshot_sql(name: str, scan: str) -> str:
     body = "concat_ws('|', coalesce(title, ''), coalesce(status::varchar, ''), coalesce(tables::varchar, ''), coalesce(\"rows\"::varchar, ''))"
     return f"{name} AS (SELECT *, {body} AS body FROM snapshots WHERE scan_no = {scan} QUALIFY row_number() OVER (PARTITION BY site, name ORDER BY {body}) = 1)"

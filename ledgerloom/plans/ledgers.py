@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.versions import listed, version_key
 from ledgerloom.operators import ledger
 from ledgerloom.operators.catalog import documents, scan_summary
-from ledgerloom.plans.common import IS_LATEST_SQL, KEY_SQL, LABEL_SQL, LATEST, PREVIOUS, is_latest, label, scan_rows, scan_sql, snapshot_rows, snapshot_sql
+from ledgerloom.plans.common import IS_LATEST_SQL, KEY_SQL, LABEL_SQL, LAST_DAY, LAST_NO, PREV_DAY, PREV_NO, is_latest, label, last_scans, scan_rows, scan_sql, snapshot_rows, snapshot_sql
 from ledgerloom.session import table
 
 SHOWN = ["format", "latest", "month", "release", "title"]
@@ -41,30 +41,32 @@ def q_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH new_ AS (SELECT * FROM listings WHERE scan_no = {LATEST[0]} AND last_seen = scan_date QUALIFY row_number() OVER (PARTITION BY url, page ORDER BY row_id) = 1),
-old_ AS (SELECT * FROM listings WHERE scan_no = {PREVIOUS[0]} QUALIFY row_number() OVER (PARTITION BY url, page ORDER BY row_id DESC) = 1)
+    f"""WITH new_ AS (SELECT * FROM listings WHERE scan_no = {LAST_NO} AND last_seen = scan_date QUALIFY row_number() OVER (PARTITION BY url, page ORDER BY row_id) = 1),
+old_ AS (SELECT * FROM listings WHERE scan_no = {PREV_NO} QUALIFY row_number() OVER (PARTITION BY url, page ORDER BY row_id DESC) = 1)
 SELECT coalesce(n.url, o.url) AS url, coalesce(n.page, o.page) AS page, CASE WHEN n.url IS NOT NULL THEN n.title ELSE o.title END AS title,
   CASE WHEN n.url IS NOT NULL THEN n.release ELSE o.release END AS release,
-  CASE WHEN n.url IS NOT NULL THEN coalesce(nullif(o.first_seen, ''), '{LATEST[1]}') ELSE o.first_seen END AS first_seen,
-  CASE WHEN n.url IS NOT NULL THEN '{LATEST[1]}' ELSE o.last_seen END AS last_seen
+  CASE WHEN n.url IS NOT NULL THEN coalesce(nullif(o.first_seen, ''), {LAST_DAY}) ELSE o.first_seen END AS first_seen,
+  CASE WHEN n.url IS NOT NULL THEN {LAST_DAY} ELSE o.last_seen END AS last_seen
 FROM new_ n FULL JOIN old_ o ON n.url = o.url AND n.page = o.page"""
 )
 def q_ledger_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    previous, latest = last_scans(spark, sf_dir)
     rows = table(spark, sf_dir, "listings")
     cols = ["url", "page", "title", "release", "first_seen", "last_seen"]
-    old = ledger.last_wins(rows.where(F.col("scan_no") == PREVIOUS[0]).select(*cols, "row_id"), ["url", "page"], [F.col("row_id")]).select(*cols)
-    new = rows.where((F.col("scan_no") == LATEST[0]) & (F.col("last_seen") == F.col("scan_date")))
-    return ledger.merge_ledger(old, new, ["url", "page"], LATEST[1], [F.col("row_id")])
+    old = ledger.last_wins(rows.where(F.col("scan_no") == previous[0]).select(*cols, "row_id"), ["url", "page"], [F.col("row_id")]).select(*cols)
+    new = rows.where((F.col("scan_no") == latest[0]) & (F.col("last_seen") == F.col("scan_date")))
+    return ledger.merge_ledger(old, new, ["url", "page"], latest[1], [F.col("row_id")])
 
 
 def _diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before, after = (scan_rows(spark, sf_dir, n).select("url", "page", "last_seen", *SHOWN) for n in (PREVIOUS[0], LATEST[0]))
-    return ledger.catalog_changes(before, after, ["url", "page"], SHOWN, PREVIOUS[1], LATEST[1])
+    previous, latest = last_scans(spark, sf_dir)
+    before, after = (scan_rows(spark, sf_dir, n).select("url", "page", "last_seen", *SHOWN) for n in (previous[0], latest[0]))
+    return ledger.catalog_changes(before, after, ["url", "page"], SHOWN, previous[1], latest[1])
 
 
-_DIFF_SQL = f"""{scan_sql('a', PREVIOUS[0])}, {scan_sql('b', LATEST[0])},
+_DIFF_SQL = f"""{scan_sql('a', PREV_NO)}, {scan_sql('b', LAST_NO)},
 d AS (SELECT coalesce(b.url, a.url) AS url, coalesce(b.page, a.page) AS page,
-  CASE WHEN a.url IS NULL THEN 'new' WHEN a.last_seen = '{PREVIOUS[1]}' AND (b.url IS NULL OR b.last_seen <> '{LATEST[1]}') THEN 'no_longer_listed'
+  CASE WHEN a.url IS NULL THEN 'new' WHEN a.last_seen = {PREV_DAY} AND (b.url IS NULL OR b.last_seen <> {LAST_DAY}) THEN 'no_longer_listed'
        WHEN a.url IS NOT NULL AND b.url IS NOT NULL AND ({' OR '.join(f"coalesce(a.{c}, '') <> coalesce(b.{c}, '')" for c in SHOWN)}) THEN 'changed' END AS change,
   CASE WHEN a.url IS NOT NULL AND b.url IS NOT NULL THEN concat_ws(',', {', '.join(f"CASE WHEN coalesce(a.{c}, '') <> coalesce(b.{c}, '') THEN '{c}' END" for c in SHOWN)}) ELSE '' END AS fields
   FROM a FULL JOIN b ON a.url = b.url AND a.page = b.page)"""
@@ -76,34 +78,37 @@ def q_catalog_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_DIFF_SQL}, {snapshot_sql('sa', PREVIOUS[0])}, {snapshot_sql('sb', LATEST[0])}
+    f"""WITH {_DIFF_SQL}, {snapshot_sql('sa', PREV_NO)}, {snapshot_sql('sb', LAST_NO)}
 SELECT 'listings' AS ledger, change, count(*) AS n FROM d WHERE change IS NOT NULL GROUP BY change
 UNION ALL SELECT 'snapshots', CASE WHEN sa.name IS NULL THEN 'new' WHEN sb.name IS NULL THEN 'gone' ELSE 'changed' END AS change, count(*)
 FROM sa FULL JOIN sb ON sa.site = sb.site AND sa.name = sb.name WHERE sa.name IS NULL OR sb.name IS NULL OR sa.body <> sb.body GROUP BY 2"""
 )
 def q_change_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = ledger.key_changes(snapshot_rows(spark, sf_dir, PREVIOUS[0]), snapshot_rows(spark, sf_dir, LATEST[0]), ["site", "name"], "body")
+    previous, latest = last_scans(spark, sf_dir)
+    pages = ledger.key_changes(snapshot_rows(spark, sf_dir, previous[0]), snapshot_rows(spark, sf_dir, latest[0]), ["site", "name"], "body")
     both = _diff(spark, sf_dir).select(F.lit("listings").alias("ledger"), "change").unionByName(pages.select(F.lit("snapshots").alias("ledger"), "change"))
     return ledger.change_summary(both)
 
 
 @query(
-    f"""WITH {snapshot_sql('a', PREVIOUS[0])}, {snapshot_sql('b', LATEST[0])}
+    f"""WITH {snapshot_sql('a', PREV_NO)}, {snapshot_sql('b', LAST_NO)}
 SELECT coalesce(a.site, b.site) AS site, coalesce(a.name, b.name) AS name, CASE WHEN a.name IS NULL THEN 'new' WHEN b.name IS NULL THEN 'gone' ELSE 'changed' END AS change
 FROM a FULL JOIN b ON a.site = b.site AND a.name = b.name WHERE a.name IS NULL OR b.name IS NULL OR a.body <> b.body"""
 )
 def q_snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger.key_changes(snapshot_rows(spark, sf_dir, PREVIOUS[0]), snapshot_rows(spark, sf_dir, LATEST[0]), ["site", "name"], "body")
+    previous, latest = last_scans(spark, sf_dir)
+    return ledger.key_changes(snapshot_rows(spark, sf_dir, previous[0]), snapshot_rows(spark, sf_dir, latest[0]), ["site", "name"], "body")
 
 
 @query(
-    f"""WITH a AS (SELECT site, status, count(*) AS n FROM snapshots WHERE scan_no = {PREVIOUS[0]} GROUP BY ALL), b AS (SELECT site, status, count(*) AS n FROM snapshots WHERE scan_no = {LATEST[0]} GROUP BY ALL)
+    f"""WITH a AS (SELECT site, status, count(*) AS n FROM snapshots WHERE scan_no = {PREV_NO} GROUP BY ALL), b AS (SELECT site, status, count(*) AS n FROM snapshots WHERE scan_no = {LAST_NO} GROUP BY ALL)
 SELECT coalesce(a.site, b.site) AS site, coalesce(a.status, b.status) AS status, coalesce(a.n, 0) AS before, coalesce(b.n, 0) AS after
 FROM a FULL JOIN b ON a.site = b.site AND a.status = b.status WHERE coalesce(a.n, 0) <> coalesce(b.n, 0)"""
 )
 def q_health_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    previous, latest = last_scans(spark, sf_dir)
     counts = table(spark, sf_dir, "snapshots").groupBy("scan_no", "site", "status").agg(F.count("*").alias("n"))
-    before, after = (counts.where(F.col("scan_no") == n).drop("scan_no") for n in (PREVIOUS[0], LATEST[0]))
+    before, after = (counts.where(F.col("scan_no") == n).drop("scan_no") for n in (previous[0], latest[0]))
     return ledger.count_delta(before, after, ["site", "status"])
 
 
@@ -131,29 +136,31 @@ def q_fold_best(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH v AS (SELECT url, title, format, via, host, 0 AS v, row_id AS ord FROM listings WHERE scan_no = {LATEST[0]}
+    f"""WITH v AS (SELECT url, title, format, via, host, 0 AS v, row_id AS ord FROM listings WHERE scan_no = {LAST_NO}
   UNION ALL SELECT url, label, 'file', 'content_hub', regexp_extract(lower(url), '^[a-z]+://([^/?#]*)', 1), 1, row_id FROM datasheets),
 once AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY url ORDER BY v, ord) = 1),
-n AS (SELECT url, min(release) AS r FROM listings WHERE scan_no = {LATEST[0]} GROUP BY url), o AS (SELECT url, min(release) AS r, min(month) AS m FROM listings WHERE scan_no = {PREVIOUS[0]} GROUP BY url),
-nm AS (SELECT url, min(month) AS m FROM listings WHERE scan_no = {LATEST[0]} GROUP BY url)
+n AS (SELECT url, min(release) AS r FROM listings WHERE scan_no = {LAST_NO} GROUP BY url), o AS (SELECT url, min(release) AS r, min(month) AS m FROM listings WHERE scan_no = {PREV_NO} GROUP BY url),
+nm AS (SELECT url, min(month) AS m FROM listings WHERE scan_no = {LAST_NO} GROUP BY url)
 SELECT once.url, title, format, via, host, CASE WHEN coalesce(n.r, '') <> '' THEN n.r ELSE coalesce(o.r, '') END AS redirect,
   CASE WHEN coalesce(n.r, '') <> '' THEN coalesce(nm.m, '') ELSE coalesce(o.m, '') END AS revision
 FROM once LEFT JOIN n ON n.url = once.url LEFT JOIN o ON o.url = once.url LEFT JOIN nm ON nm.url = once.url"""
 )
 def q_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    previous, latest = last_scans(spark, sf_dir)
     rows, sheets = table(spark, sf_dir, "listings"), table(spark, sf_dir, "datasheets")
-    now = rows.where(F.col("scan_no") == LATEST[0])
+    now = rows.where(F.col("scan_no") == latest[0])
     sheets = sheets.select("url", F.col("label").alias("title"), F.lit("file").alias("format"), F.lit("content_hub").alias("via"), F.regexp_extract(F.lower("url"), "^[a-z]+://([^/?#]*)", 1).alias("host"), F.col("row_id").alias("ord"))
     known = lambda df: df.groupBy("url").agg(F.min("release").alias("redirect"), F.min("month").alias("revision"))
-    return documents([now.withColumn("ord", F.col("row_id")), sheets], known(rows.where(F.col("scan_no") == PREVIOUS[0])), known(now))
+    return documents([now.withColumn("ord", F.col("row_id")), sheets], known(rows.where(F.col("scan_no") == previous[0])), known(now))
 
 
 @query(
-    f"""SELECT unnest(['pages', 'failed']) AS metric, unnest([count(*), count_if(status <> 200)::BIGINT]) AS n FROM snapshots WHERE scan_no = {LATEST[0]}
-UNION ALL SELECT unnest(['listings', 'documents', 'latest_documents']), unnest([count(*), count(DISTINCT url), count(DISTINCT CASE WHEN latest = 'yes' THEN url END)]) FROM listings WHERE scan_no = {LATEST[0]}"""
+    f"""SELECT unnest(['pages', 'failed']) AS metric, unnest([count(*), count_if(status <> 200)::BIGINT]) AS n FROM snapshots WHERE scan_no = {LAST_NO}
+UNION ALL SELECT unnest(['listings', 'documents', 'latest_documents']), unnest([count(*), count(DISTINCT url), count(DISTINCT CASE WHEN latest = 'yes' THEN url END)]) FROM listings WHERE scan_no = {LAST_NO}"""
 )
 def q_scan_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = lambda name: table(spark, sf_dir, name).where(F.col("scan_no") == LATEST[0])
+    _, latest = last_scans(spark, sf_dir)
+    at = lambda name: table(spark, sf_dir, name).where(F.col("scan_no") == latest[0])
     return scan_summary(at("snapshots"), at("listings"))
 
 

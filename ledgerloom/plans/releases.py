@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.versions import line, major
 from ledgerloom.operators import catalog, profiles, releases
 from ledgerloom.operators.ledger import first_wins
-from ledgerloom.plans.common import IS_LATEST_SQL, KEY_SQL, LABEL_SQL, LATEST, RULES, TYPE_SQL, is_latest, label
+from ledgerloom.plans.common import IS_LATEST_SQL, KEY_SQL, LABEL_SQL, LAST_NO, RULES, TYPE_SQL, is_latest, label, last_scans
 from ledgerloom.session import table
 
 QUERIES, SQL = {}, {}
@@ -104,7 +104,8 @@ def q_latest_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of the last scan, each once, with type and release, for profiles."""
-    rows = table(spark, sf_dir, "listings").where(F.col("scan_no") == LATEST[0])
+    _, latest = last_scans(spark, sf_dir)
+    rows = table(spark, sf_dir, "listings").where(F.col("scan_no") == latest[0])
     once = first_wins(rows.select("url", "entry", "title", "release", "latest", "format", "row_id"), ["url"], [F.col("row_id")])
     return once.select(
         "url", "entry", "title", "format", label().alias("release"), is_latest().alias("is_latest"), RULES.document_type(F.col("title"), F.col("format")).alias("type"),
@@ -113,7 +114,7 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _DOCS = f"""docs AS (SELECT url, entry, title, format, {LABEL_SQL} AS release, {IS_LATEST_SQL} AS is_latest, {TYPE_SQL} AS type, regexp_matches(lower(coalesce(title, '')), 'errata|deutsch|français') AS tr, row_id
-  FROM (SELECT * FROM listings WHERE scan_no = {LATEST[0]} QUALIFY row_number() OVER (PARTITION BY url ORDER BY row_id) = 1)),
+  FROM (SELECT * FROM listings WHERE scan_no = {LAST_NO} QUALIFY row_number() OVER (PARTITION BY url ORDER BY row_id) = 1)),
 dl AS (SELECT entry, release, min(row_id) AS pos, {KEY_SQL.format('release')} AS k FROM docs GROUP BY entry, release),
 lpm AS (SELECT entry, release FROM dl WHERE k IS NOT NULL QUALIFY row_number() OVER (PARTITION BY entry, k[1] ORDER BY list_resize(k, 8, 0) DESC, pos) = 1),
 rng AS (SELECT entry, release FROM dl WHERE k IS NOT NULL AND list_resize(k[1:1], 8, 0) >= [5, 0, 0, 0, 0, 0, 0, 0]),
@@ -158,14 +159,15 @@ def q_path_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "listings").where(F.col("scan_no") == LATEST[0]).withColumn("latest", F.when(is_latest(), "yes").otherwise("")).withColumn("release", label()).withColumn("ord", F.col("row_id"))
+    _, latest = last_scans(spark, sf_dir)
+    rows = table(spark, sf_dir, "listings").where(F.col("scan_no") == latest[0]).withColumn("latest", F.when(is_latest(), "yes").otherwise("")).withColumn("release", label()).withColumn("ord", F.col("row_id"))
     sheets = table(spark, sf_dir, "datasheets").where("product IS NOT NULL").select("product", "url", F.col("row_id").alias("ord"))
     entries = table(spark, sf_dir, "entries").select("entry")
     return catalog.entry_documents(rows, RULES).unionByName(catalog.datasheet_documents(sheets, entries, {"Thermal probe bundle": ["LP651W", "nowhere"], "Spare fan tray": ["Norvane 2830"]}))
 
 
 @query(
-    f"""WITH l AS (SELECT entry, url, list({{'o': row_id, 'l': {IS_LATEST_SQL}, 'k': coalesce({KEY_SQL.format(LABEL_SQL)}, [-1::BIGINT]), 't': title, 'r': {LABEL_SQL}, 'y': {TYPE_SQL}}} ORDER BY row_id) AS v FROM listings WHERE scan_no = {LATEST[0]} GROUP BY entry, url),
+    f"""WITH l AS (SELECT entry, url, list({{'o': row_id, 'l': {IS_LATEST_SQL}, 'k': coalesce({KEY_SQL.format(LABEL_SQL)}, [-1::BIGINT]), 't': title, 'r': {LABEL_SQL}, 'y': {TYPE_SQL}}} ORDER BY row_id) AS v FROM listings WHERE scan_no = {LAST_NO} GROUP BY entry, url),
 b AS (SELECT entry, url, list_reduce(v, lambda a, b: CASE WHEN (b.l AND NOT a.l) OR b.k > a.k THEN b ELSE a END) AS x FROM l),
 s AS (SELECT product, url, row_id FROM datasheets WHERE product IS NOT NULL QUALIFY row_number() OVER (PARTITION BY split_part(url, '?', 1) ORDER BY row_id, product, url) = 1)
 SELECT 'docs' AS site, entry, x.t AS title, x.r AS release, x.l AS is_latest, x.y AS type, url, '' AS ents FROM b

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.dates import due_on
 from ledgerloom.operators import catalog, compat, releases, reporting
 from ledgerloom.operators.scan import snapshot_totals
-from ledgerloom.plans.common import IS_LATEST_SQL, LABEL_SQL, LATEST, PREVIOUS, PRODUCTS, RULES, TYPE_SQL, TYPES, is_latest, label, snapshot_rows, snapshot_sql
+from ledgerloom.plans.common import IS_LATEST_SQL, LABEL_SQL, LAST_NO, PREV_NO, PRODUCTS, RULES, TYPES, TYPE_SQL, is_latest, label, last_scans, snapshot_rows, snapshot_sql
 from ledgerloom.plans.releases import docs
 from ledgerloom.session import table
 
@@ -65,14 +65,14 @@ def q_top_menus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"SELECT entry, {', '.join(f'''count(CASE WHEN type = '{t}' THEN 1 END) AS "{t}"''' for t in TYPES)} FROM (SELECT entry, {TYPE_SQL} AS type FROM listings WHERE scan_no = {LATEST[0]} QUALIFY row_number() OVER (PARTITION BY url ORDER BY row_id) = 1) GROUP BY entry"
+    f"SELECT entry, {', '.join(f'''count(CASE WHEN type = '{t}' THEN 1 END) AS "{t}"''' for t in TYPES)} FROM (SELECT entry, {TYPE_SQL} AS type FROM listings WHERE scan_no = {LAST_NO} QUALIFY row_number() OVER (PARTITION BY url ORDER BY row_id) = 1) GROUP BY entry"
 )
 def q_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reporting.matrix(docs(spark, sf_dir), TYPES)
 
 
 @query(
-    f"SELECT entry, title, url, type FROM (SELECT entry, title, url, {TYPE_SQL} AS type, {LABEL_SQL} AS release FROM listings WHERE scan_no = {LATEST[0]} QUALIFY row_number() OVER (PARTITION BY url ORDER BY row_id) = 1) WHERE contains(lower(coalesce(title, '')), 'series') AND contains(lower(coalesce(title, '')), 'guide') AND type IN ('User Guide', 'Security Guide')"
+    f"SELECT entry, title, url, type FROM (SELECT entry, title, url, {TYPE_SQL} AS type, {LABEL_SQL} AS release FROM listings WHERE scan_no = {LAST_NO} QUALIFY row_number() OVER (PARTITION BY url ORDER BY row_id) = 1) WHERE contains(lower(coalesce(title, '')), 'series') AND contains(lower(coalesce(title, '')), 'guide') AND type IN ('User Guide', 'Security Guide')"
 )
 def q_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reporting.search(docs(spark, sf_dir), "Series guide", type=["User Guide", "Security Guide"]).select("entry", "title", "url", "type")
@@ -84,7 +84,7 @@ _FAMILY = """CASE WHEN regexp_full_match(entry, 'LP[0-9]+[A-Za-z]*') THEN 'Acces
 
 
 @query(
-    f"""WITH d AS (SELECT entry, {_FAMILY} AS family FROM (SELECT * FROM listings WHERE scan_no = {LATEST[0]} QUALIFY row_number() OVER (PARTITION BY url ORDER BY row_id) = 1))
+    f"""WITH d AS (SELECT entry, {_FAMILY} AS family FROM (SELECT * FROM listings WHERE scan_no = {LAST_NO} QUALIFY row_number() OVER (PARTITION BY url ORDER BY row_id) = 1))
 SELECT CASE WHEN family IN ('Access points', 'Second generation', 'Switches') THEN 'Hardware' WHEN family IS NOT NULL THEN 'Software' END AS kind, family, count(*) AS documents, count(DISTINCT entry) AS entries FROM d GROUP BY ALL"""
 )
 def q_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +97,7 @@ def q_unplaced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH d AS (SELECT entry, url, {LABEL_SQL} AS release, {TYPE_SQL} AS type FROM listings WHERE scan_no = {LATEST[0]} QUALIFY row_number() OVER (PARTITION BY url ORDER BY row_id) = 1),
+    f"""WITH d AS (SELECT entry, url, {LABEL_SQL} AS release, {TYPE_SQL} AS type FROM listings WHERE scan_no = {LAST_NO} QUALIFY row_number() OVER (PARTITION BY url ORDER BY row_id) = 1),
 k AS (SELECT DISTINCT entry, release, CASE WHEN regexp_extract(release, '^v?([0-9]+(?:[.][0-9]+)*)', 1) <> '' THEN list_transform(string_split(regexp_extract(release, '^v?([0-9]+(?:[.][0-9]+)*)', 1), '.'), lambda x: x::BIGINT) ELSE [-1::BIGINT] END AS k FROM d),
 o AS (SELECT entry, release, row_number() OVER (PARTITION BY entry ORDER BY release = '', k DESC, release DESC) AS place FROM k)
 SELECT d.entry, d.url, (o.place - 1)::INTEGER AS rel_no, list_position({TYPES!r}, d.type)::BIGINT - 1 AS type_no FROM d JOIN o USING (entry, release)"""
@@ -163,7 +163,7 @@ def _recommended(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
         cell(0, "Platform", "platform"), cell(1, "Maintenance Release", "maintenance_release"), cell(2, "Latest Feature Release", "latest_feature_release"),
         cell(3, "Release Effective Date", "recommendation_effective_date"),
     )).alias("c")).select("table_name", "row_no", "c.*")
-    platforms = {r[0]: r[0] for r in table(spark, sf_dir, "entries").select("entry").orderBy("entry").collect()}  # the fixed product list
+    platforms = {r[0]: r[0] for r in table(spark, sf_dir, "entries").select("entry").orderBy("entry").collect()}  # at most what the fixed product list holds, 466
     return compat.recommended_relations(cells, compat.RecommendedSource("recommendations", platforms, {"Fabric NOS": "Fabric NOS", "NQ-OS": "NQ-OS"}))
 
 
@@ -201,28 +201,33 @@ def q_due(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last.select("site", "scanned", due_on(F.col("scanned"), 30).cast("string").alias("due"))
 
 
-_STEPS = "SELECT heading AS step, count(*) AS pages, count(DISTINCT host) + count(DISTINCT entry) AS seconds FROM listings WHERE scan_no = {0} GROUP BY heading"
+_STEPS = """SELECT entry AS step, count(*) AS pages, (epoch_us(max(loaded_at)) - epoch_us(min(loaded_at))) / 1e6 AS seconds FROM listings
+WHERE scan_no = {0} AND strftime(loaded_at, '%Y-%m-%d') = scan_date GROUP BY entry"""
 
 
 @query(
-    f"""WITH n AS ({_STEPS.format(LATEST[0])}), p AS ({_STEPS.format(PREVIOUS[0])})
-SELECT n.step, n.pages / n.seconds AS rate, p.pages / p.seconds AS before FROM n JOIN p ON p.step = n.step WHERE n.pages / n.seconds < 1.05 * (p.pages / p.seconds)"""
+    f"""WITH n AS ({_STEPS.format(LAST_NO)}), p AS ({_STEPS.format(PREV_NO)})
+SELECT n.step, n.pages / n.seconds AS rate, p.pages / p.seconds AS before FROM n JOIN p ON p.step = n.step WHERE n.seconds > 0 AND p.seconds > 0 AND n.pages / n.seconds < 0.5 * (p.pages / p.seconds)"""
 )
 def q_slow_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "listings")
-    steps = lambda n: rows.where(F.col("scan_no") == n).groupBy(F.col("heading").alias("step")).agg(F.count("*").alias("pages"), (F.count_distinct("host") + F.count_distinct("entry")).alias("seconds"))
-    return reporting.slow_steps(steps(LATEST[0]), steps(PREVIOUS[0]), 1.05)
+    """Entries loaded at less than half the last scan's rate, by the times recorded on the scan's own day."""
+    previous, latest = last_scans(spark, sf_dir)
+    at = F.unix_micros(F.col("loaded_at").cast("timestamp")) / 1e6
+    on_time = table(spark, sf_dir, "listings").where(F.date_format("loaded_at", "yyyy-MM-dd") == F.col("scan_date"))
+    steps = lambda n: on_time.where(F.col("scan_no") == n).groupBy(F.col("entry").alias("step")).agg(F.count("*").alias("pages"), (F.max(at) - F.min(at)).alias("seconds"))
+    return reporting.slow_steps(steps(latest[0]), steps(previous[0]))
 
 
 @query(
-    f"""WITH a AS (SELECT 'failed pages' AS "check", name FROM snapshots WHERE scan_no = {LATEST[0]} AND status <> 200), b AS (SELECT 'entries without listings' AS "check", entry AS name FROM entries WHERE entry NOT IN (SELECT entry FROM listings WHERE entry IS NOT NULL)),
+    f"""WITH a AS (SELECT 'failed pages' AS "check", name FROM snapshots WHERE scan_no = {LAST_NO} AND status <> 200), b AS (SELECT 'entries without listings' AS "check", entry AS name FROM entries WHERE entry NOT IN (SELECT entry FROM listings WHERE entry IS NOT NULL)),
 c AS (SELECT 'unread labels' AS "check", entry || ': ' || {LABEL_SQL} AS name FROM (SELECT DISTINCT entry, release FROM listings) WHERE {LABEL_SQL} <> '' AND NOT regexp_matches({LABEL_SQL}, '^v?[0-9]') AND NOT regexp_matches({LABEL_SQL}, '(?i)latest')),
 u AS (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c)
 SELECT "check", count(*) AS n, array_to_string((list(DISTINCT name ORDER BY name))[1:6], ', ') AS sample FROM u GROUP BY "check" """
 )
 def q_to_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, latest = last_scans(spark, sf_dir)
     listings, entries = table(spark, sf_dir, "listings"), table(spark, sf_dir, "entries")
-    failed = table(spark, sf_dir, "snapshots").where((F.col("scan_no") == LATEST[0]) & (F.col("status") != 200))
+    failed = table(spark, sf_dir, "snapshots").where((F.col("scan_no") == latest[0]) & (F.col("status") != 200))
     pages = listings.select("entry", "release").distinct().select("entry", label().alias("label"), F.lit("release").alias("role"))
     unread = catalog.unread_labels(pages, "latest").select(F.concat_ws(": ", "entry", "label").alias("name"))
     return reporting.to_check({
@@ -233,23 +238,25 @@ def q_to_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH b AS (SELECT DISTINCT url FROM listings WHERE scan_no = {PREVIOUS[0]}), n AS (SELECT entry, title, url FROM listings WHERE scan_no = {LATEST[0]} AND {IS_LATEST_SQL} AND url NOT IN (SELECT url FROM b))
+    f"""WITH b AS (SELECT DISTINCT url FROM listings WHERE scan_no = {PREV_NO}), n AS (SELECT entry, title, url FROM listings WHERE scan_no = {LAST_NO} AND {IS_LATEST_SQL} AND url NOT IN (SELECT url FROM b))
 SELECT DISTINCT entry, title FROM n ORDER BY entry, title LIMIT 25"""
 )
 def q_new_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    previous, latest = last_scans(spark, sf_dir)
     rows = table(spark, sf_dir, "listings")
-    new = rows.where((F.col("scan_no") == LATEST[0]) & is_latest()).join(rows.where(F.col("scan_no") == PREVIOUS[0]).select("url"), "url", "left_anti")
+    new = rows.where((F.col("scan_no") == latest[0]) & is_latest()).join(rows.where(F.col("scan_no") == previous[0]).select("url"), "url", "left_anti")
     return new.select("entry", "title").distinct().orderBy("entry", "title").limit(25)
 
 
 @query(
-    f"""WITH had AS (SELECT DISTINCT page FROM listings WHERE scan_no = {PREVIOUS[0]} AND format = 'pdf'), has AS (SELECT DISTINCT page FROM listings WHERE scan_no = {LATEST[0]} AND format = 'pdf' AND last_seen = scan_date), f AS (SELECT DISTINCT page FROM listings WHERE scan_no = {LATEST[0]})
+    f"""WITH had AS (SELECT DISTINCT page FROM listings WHERE scan_no = {PREV_NO} AND format = 'pdf'), has AS (SELECT DISTINCT page FROM listings WHERE scan_no = {LAST_NO} AND format = 'pdf' AND last_seen = scan_date), f AS (SELECT DISTINCT page FROM listings WHERE scan_no = {LAST_NO})
 SELECT page FROM had WHERE page NOT IN (SELECT page FROM has) AND page IN (SELECT page FROM f)"""
 )
 def q_lost_datasheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    previous, latest = last_scans(spark, sf_dir)
     rows = table(spark, sf_dir, "listings")
-    now = rows.where(F.col("scan_no") == LATEST[0])
-    had = rows.where((F.col("scan_no") == PREVIOUS[0]) & (F.col("format") == "pdf"))
+    now = rows.where(F.col("scan_no") == latest[0])
+    had = rows.where((F.col("scan_no") == previous[0]) & (F.col("format") == "pdf"))
     return catalog.lost_datasheets(had, now.where((F.col("format") == "pdf") & (F.col("last_seen") == F.col("scan_date"))), now)
 
 
@@ -272,15 +279,17 @@ def q_document_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"), F.max("n_chars").alias("longest"))
 
 
-@query(f"WITH {snapshot_sql('s', LATEST[0])} SELECT site, count(*) AS pages, sum(tables)::BIGINT AS tables, sum(\"rows\")::BIGINT AS \"rows\" FROM s GROUP BY site")
+@query(f"WITH {snapshot_sql('s', LAST_NO)} SELECT site, count(*) AS pages, sum(tables)::BIGINT AS tables, sum(\"rows\")::BIGINT AS \"rows\" FROM s GROUP BY site")
 def q_snapshot_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snapshot_totals(snapshot_rows(spark, sf_dir, LATEST[0]))
+    _, latest = last_scans(spark, sf_dir)
+    return snapshot_totals(snapshot_rows(spark, sf_dir, latest[0]))
 
 
-@query(f"SELECT DISTINCT url FROM listings WHERE scan_no = {LATEST[0]} AND url NOT IN (SELECT url FROM listings WHERE scan_no = {PREVIOUS[0]})")
+@query(f"SELECT DISTINCT url FROM listings WHERE scan_no = {LAST_NO} AND url NOT IN (SELECT url FROM listings WHERE scan_no = {PREV_NO})")
 def q_unread_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    previous, latest = last_scans(spark, sf_dir)
     at = lambda n: table(spark, sf_dir, "listings").where(F.col("scan_no") == n).select("url")
-    return catalog.unread_options(at(LATEST[0]), at(PREVIOUS[0]))
+    return catalog.unread_options(at(latest[0]), at(previous[0]))
 
 
 def queries() -> dict:

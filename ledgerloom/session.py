@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +48,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` once to the shared checkpoint folder and go on from the files, so that lost executors cost nothing."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write `df` once as a table in the shared checkpoint folder and go on from there, so that lost executors cost nothing.
+
+    A written table is compressed, read by columns, and has a size that later joins can be planned by.
+    """
+    spark = df.sparkSession
+    place = f"{checkpoint_dir(spark)}/ledgerloom/{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    return spark.read.schema(df.schema).parquet(place)

@@ -19,6 +19,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.session import cut_lineage
+
 #: Words of a passage that a stretch must cover to make a leak, and the share of them that must be repeated.
 LEAST_WORDS, LEAST_SHARE = 25, 0.86
 #: Shortest exact run that anchors a match, and what the longest run of a stretch within the limits has at least: of 25 words
@@ -480,7 +482,7 @@ def remove_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id",
     if len(indexes) < 2:
         return strip_blocks(clean, indexes)
     while True:
-        clean = strip_blocks(clean, indexes).checkpoint()
+        clean = cut_lineage(strip_blocks(clean, indexes))
         removed = clean.agg(F.sum(F.col("removed").cast("long"))).head()[0] or 0
         if removed in (0, before):
             return clean

@@ -136,6 +136,52 @@ def to_check(parts: dict[str, tuple[DataFrame, str, int]]) -> DataFrame:
     return union
 
 
+#: What a person should look at after a scan, in the order it is shown: the check and how many names are shown of it.
+CHECKS = {
+    "scanner version changed": 1, "recommendation pages changed": 12, "other snapshots changed": 6, "new latest documents": 12, "rows no longer listed": 4, "guides redirect elsewhere": 4,
+    "datasheets changed": 4, "health changed": 6, "new entries": 12, "profiles name unknown entries": 6, "unread labels": 4, "slow steps": 6, "unmapped names": 6, "unplaced products": 6,
+}
+
+
+def scan_checks(
+    changes: dict[str, DataFrame], snapshots: DataFrame, health: DataFrame, pages: DataFrame, named: DataFrame, unread: DataFrame, slow: DataFrame, unmapped: DataFrame, unplaced_: DataFrame,
+    scanner: tuple[str, str] = ("", ""), recommending: str = "recommend",
+) -> DataFrame:
+    """check, n, sample of CHECKS that found something.
+
+    changes: ledger -> change, name, latest (flag). snapshots: name. health: name of what changed. pages: entry, first_seen,
+    last_seen of the entries' own pages. named: entry that a profile names. The others have a name each. An entry is new if
+    it was first seen on the newest day, unless every entry was. scanner: its version before and now.
+    """
+    one = lambda df, c="name": df.select(F.col(c).cast("string").alias("name"))
+    listings, guides, sheets = (changes.get(k) for k in ("listings", "documents", "datasheets"))
+    about = F.coalesce(F.col("name").rlike(recommending), F.lit(False))
+    days = pages.agg(F.max("last_seen").alias("_today"), F.min("first_seen").alias("_begun"))
+    fresh = pages.join(F.broadcast(days), (F.col("first_seen") == F.col("_today")) & (F.col("_today") != F.col("_begun"))).select(F.col("entry").alias("name")).distinct()
+    spark = pages.sparkSession
+    parts: dict[str, DataFrame | None] = {
+        "scanner version changed": spark.range(1).select(F.lit(f"{scanner[0]} to {scanner[1]}").alias("name")) if scanner[0] and scanner[0] != scanner[1] else None,
+        "recommendation pages changed": one(snapshots.where(about)),
+        "other snapshots changed": one(snapshots.where(~about)),
+        "new latest documents": one(listings.where("change = 'new' AND latest")) if listings is not None else None,
+        "rows no longer listed": _union([one(df.where("change = 'no_longer_listed'")) for df in changes.values()]),
+        "guides redirect elsewhere": one(guides.where("change = 'changed'")) if guides is not None else None,
+        "datasheets changed": one(sheets.where("change IN ('new', 'no_longer_listed')")) if sheets is not None else None,
+        "health changed": one(health),
+        "new entries": fresh,
+        "profiles name unknown entries": one(named.select("entry").distinct().join(pages.select("entry"), "entry", "left_anti"), "entry"),
+        "unread labels": one(unread), "slow steps": one(slow), "unmapped names": one(unmapped), "unplaced products": one(unplaced_),
+    }
+    return to_check({check: (parts[check], "name", shown) for check, shown in CHECKS.items() if parts[check] is not None})
+
+
+def _union(parts: Sequence[DataFrame]) -> DataFrame | None:
+    found = None
+    for part in parts:
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 def table_markdown(df: DataFrame, limit: int = 300) -> str:
     """A small result as a Markdown table, with how many rows are not shown."""
     total, head = df.count(), df.columns

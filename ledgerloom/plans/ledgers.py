@@ -58,13 +58,13 @@ def q_ledger_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.merge_ledger(old, new, ["url", "page"], latest[1], [F.col("row_id")])
 
 
-def _diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+def listing_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     previous, latest = last_scans(spark, sf_dir)
     before, after = (scan_rows(spark, sf_dir, n).select("url", "page", "last_seen", *SHOWN) for n in (previous[0], latest[0]))
     return ledger.catalog_changes(before, after, ["url", "page"], SHOWN, previous[1], latest[1])
 
 
-_DIFF_SQL = f"""{scan_sql('a', PREV_NO)}, {scan_sql('b', LAST_NO)},
+DIFF_SQL = f"""{scan_sql('a', PREV_NO)}, {scan_sql('b', LAST_NO)},
 d AS (SELECT coalesce(b.url, a.url) AS url, coalesce(b.page, a.page) AS page,
   CASE WHEN a.url IS NULL THEN 'new' WHEN a.last_seen = {PREV_DAY} AND (b.url IS NULL OR b.last_seen <> {LAST_DAY}) THEN 'no_longer_listed'
        WHEN a.url IS NOT NULL AND b.url IS NOT NULL AND ({' OR '.join(f"coalesce(a.{c}, '') <> coalesce(b.{c}, '')" for c in SHOWN)}) THEN 'changed' END AS change,
@@ -72,13 +72,13 @@ d AS (SELECT coalesce(b.url, a.url) AS url, coalesce(b.page, a.page) AS page,
   FROM a FULL JOIN b ON a.url = b.url AND a.page = b.page)"""
 
 
-@query(f"WITH {_DIFF_SQL} SELECT change, url, page, fields FROM d WHERE change IS NOT NULL")
+@query(f"WITH {DIFF_SQL} SELECT change, url, page, fields FROM d WHERE change IS NOT NULL")
 def q_catalog_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _diff(spark, sf_dir).select("change", "url", "page", F.array_join(F.array_sort(F.map_keys("changed")), ",").alias("fields"))
+    return listing_changes(spark, sf_dir).select("change", "url", "page", F.array_join(F.array_sort(F.map_keys("changed")), ",").alias("fields"))
 
 
 @query(
-    f"""WITH {_DIFF_SQL}, {snapshot_sql('sa', PREV_NO)}, {snapshot_sql('sb', LAST_NO)}
+    f"""WITH {DIFF_SQL}, {snapshot_sql('sa', PREV_NO)}, {snapshot_sql('sb', LAST_NO)}
 SELECT 'listings' AS ledger, change, count(*) AS n FROM d WHERE change IS NOT NULL GROUP BY change
 UNION ALL SELECT 'snapshots', CASE WHEN sa.name IS NULL THEN 'new' WHEN sb.name IS NULL THEN 'gone' ELSE 'changed' END AS change, count(*)
 FROM sa FULL JOIN sb ON sa.site = sb.site AND sa.name = sb.name WHERE sa.name IS NULL OR sb.name IS NULL OR sa.body <> sb.body GROUP BY 2"""
@@ -86,7 +86,7 @@ FROM sa FULL JOIN sb ON sa.site = sb.site AND sa.name = sb.name WHERE sa.name IS
 def q_change_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     previous, latest = last_scans(spark, sf_dir)
     pages = ledger.key_changes(snapshot_rows(spark, sf_dir, previous[0]), snapshot_rows(spark, sf_dir, latest[0]), ["site", "name"], "body")
-    both = _diff(spark, sf_dir).select(F.lit("listings").alias("ledger"), "change").unionByName(pages.select(F.lit("snapshots").alias("ledger"), "change"))
+    both = listing_changes(spark, sf_dir).select(F.lit("listings").alias("ledger"), "change").unionByName(pages.select(F.lit("snapshots").alias("ledger"), "change"))
     return ledger.change_summary(both)
 
 

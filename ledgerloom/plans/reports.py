@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.dates import due_on
 from ledgerloom.operators import catalog, compat, releases, reporting
 from ledgerloom.operators.scan import snapshot_totals
-from ledgerloom.plans.common import IS_LATEST_SQL, LABEL_SQL, LAST_NO, PREV_NO, PRODUCTS, RULES, TYPES, TYPE_SQL, is_latest, label, last_scans, snapshot_rows, snapshot_sql
+from ledgerloom.plans.common import IS_LATEST_SQL, LABEL_SQL, LAST_NO, PREV_NO, PRODUCTS, RULES, TYPE_SQL, TYPES, is_latest, label, last_scans, scan_rows, snapshot_rows, snapshot_sql
+from ledgerloom.plans import ledgers
 from ledgerloom.plans.releases import docs
 from ledgerloom.session import table
 
@@ -218,23 +219,52 @@ def q_slow_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reporting.slow_steps(steps(latest[0]), steps(previous[0]))
 
 
-@query(
-    f"""WITH a AS (SELECT 'failed pages' AS "check", name FROM snapshots WHERE scan_no = {LAST_NO} AND status <> 200), b AS (SELECT 'entries without listings' AS "check", entry AS name FROM entries WHERE entry NOT IN (SELECT entry FROM listings WHERE entry IS NOT NULL)),
-c AS (SELECT 'unread labels' AS "check", entry || ': ' || {LABEL_SQL} AS name FROM (SELECT DISTINCT entry, release FROM listings) WHERE {LABEL_SQL} <> '' AND NOT regexp_matches({LABEL_SQL}, '^v?[0-9]') AND NOT regexp_matches({LABEL_SQL}, '(?i)latest')),
-u AS (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c)
-SELECT "check", count(*) AS n, array_to_string((list(DISTINCT name ORDER BY name))[1:6], ', ') AS sample FROM u GROUP BY "check" """
-)
+def _check_sql() -> str:
+    """Every check's names from the SQL of the query that finds them."""
+    label = f"entry || ': ' || {LABEL_SQL}"
+    parts = {
+        "recommendation pages changed": f"SELECT name FROM ({ledgers.SQL['q_snapshot_changes']}) WHERE contains(name, 'recommend')",
+        "other snapshots changed": f"SELECT name FROM ({ledgers.SQL['q_snapshot_changes']}) WHERE NOT coalesce(contains(name, 'recommend'), false)",
+        "new latest documents": f"SELECT d.entry AS name FROM (WITH {ledgers.DIFF_SQL} SELECT d.change, b.entry, coalesce(regexp_matches(lower(b.latest), '^\\s*(yes|y|true)\\s*$'), false) AS l FROM d JOIN b ON b.url = d.url AND b.page = d.page) d WHERE change = 'new' AND l",
+        "rows no longer listed": f"SELECT url AS name FROM ({ledgers.SQL['q_catalog_diff']}) WHERE change = 'no_longer_listed'",
+        "datasheets changed": f"SELECT page AS name FROM ({SQL['q_lost_datasheets']})",
+        "health changed": f"SELECT site || ' ' || status AS name FROM ({ledgers.SQL['q_health_delta']})",
+        "new entries": "SELECT DISTINCT name FROM (SELECT entry AS name, min(first_seen) AS f, max(max(last_seen)) OVER () AS today, min(min(first_seen)) OVER () AS begun FROM listings WHERE entry <> '' AND first_seen <> '' GROUP BY entry) WHERE f = today AND today <> begun",
+        "profiles name unknown entries": "SELECT DISTINCT entry AS name FROM entries WHERE entry NOT IN (SELECT entry FROM listings WHERE entry <> '' AND first_seen <> '')",
+        "unread labels": f"SELECT {label} AS name FROM (SELECT DISTINCT entry, release FROM listings) WHERE {LABEL_SQL} <> '' AND NOT regexp_matches({LABEL_SQL}, '^v?[0-9]') AND NOT regexp_matches({LABEL_SQL}, '(?i)latest')",
+        "slow steps": f"SELECT step AS name FROM ({SQL['q_slow_steps']})",
+        "unmapped names": f"SELECT name FROM ({SQL['q_compat_unmapped']})",
+        "unplaced products": f"SELECT entry AS name FROM ({SQL['q_unplaced']})",
+    }
+    each = [
+        f"""SELECT '{check}' AS "check", count(*) AS n, array_to_string((list(DISTINCT name ORDER BY name))[1:{reporting.CHECKS[check]}], ', ') AS sample FROM ({sql}) HAVING count(*) > 0"""
+        for check, sql in parts.items()
+    ]
+    return "\nUNION ALL ".join(each)
+
+
 def q_to_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, latest = last_scans(spark, sf_dir)
+    """What to look at after the last scan. Profiles name the whole product list."""
     listings, entries = table(spark, sf_dir, "listings"), table(spark, sf_dir, "entries")
-    failed = table(spark, sf_dir, "snapshots").where((F.col("scan_no") == latest[0]) & (F.col("status") != 200))
-    pages = listings.select("entry", "release").distinct().select("entry", label().alias("label"), F.lit("release").alias("role"))
-    unread = catalog.unread_labels(pages, "latest").select(F.concat_ws(": ", "entry", "label").alias("name"))
-    return reporting.to_check({
-        "failed pages": (failed, "name", 6),
-        "entries without listings": (entries.join(listings.select("entry"), "entry", "left_anti"), "entry", 6),
-        "unread labels": (unread, "name", 6),
-    })
+    _, latest = last_scans(spark, sf_dir)
+    now = scan_rows(spark, sf_dir, latest[0]).select("url", "page", F.col("entry").alias("name"), is_latest().alias("latest"))
+    changed = ledgers.listing_changes(spark, sf_dir)
+    new = changed.where("change = 'new'").select("change", "url", "page").join(now, ["url", "page"]).select("change", "name", "latest")
+    gone = changed.where("change = 'no_longer_listed'").select("change", F.col("url").alias("name"), F.lit(False).alias("latest"))
+    sheets = q_lost_datasheets(spark, sf_dir).select(F.lit("new").alias("change"), F.col("page").alias("name"), F.lit(False).alias("latest"))
+    pages = listings.where("entry <> '' AND first_seen <> ''").groupBy("entry").agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
+    labels = listings.select("entry", "release").distinct().select("entry", label().alias("label"), F.lit("release").alias("role"))
+    return reporting.scan_checks(
+        {"listings": new.unionByName(gone), "datasheets": sheets},
+        ledgers.q_snapshot_changes(spark, sf_dir),
+        ledgers.q_health_delta(spark, sf_dir).select(F.concat_ws(" ", "site", F.col("status").cast("string")).alias("name")),
+        pages,
+        entries,
+        catalog.unread_labels(labels, "latest").select(F.concat_ws(": ", "entry", "label").alias("name")),
+        q_slow_steps(spark, sf_dir).select(F.col("step").alias("name")),
+        q_compat_unmapped(spark, sf_dir),
+        q_unplaced(spark, sf_dir).select(F.col("entry").alias("name")),
+    )
 
 
 @query(
@@ -292,6 +322,9 @@ def q_unread_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.unread_options(at(latest[0]), at(previous[0]))
 
 
+QUERIES["q_to_check"], SQL["q_to_check"] = q_to_check, _check_sql()
+
+
 def queries() -> dict:
     return dict(QUERIES)
 

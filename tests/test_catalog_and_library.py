@@ -225,3 +225,23 @@ def test_a_late_day_is_not_lost(spark, tmp_path):
             late = [("c", "C", "2025-01-01", "2025-01-01")] if store.read("l").where("url = 'c'").count() else []
             assert rows(store.read("l")) == [("a", "A", "2025-01-01" if late else "2025-02-01", "2025-02-01"), ("b", "B", "2025-02-01", "2025-02-01"), *late]
     assert rows(store.read("l"))[-1] == ("c", "C3", "2025-01-01", "2025-03-01") and store.versions() == ["2025-02-01", "2025-03-01"]
+
+
+def test_all_checks_after_a_scan(spark):
+    make = lambda values, schema: spark.createDataFrame(values, schema)
+    change = "change string, name string, latest boolean"
+    changes = {
+        "listings": make([("new", "A", True), ("new", "B", False), ("no_longer_listed", "u", False)], change),
+        "documents": make([("changed", "g", False), ("new", "h", False)], change),
+        "datasheets": make([("new", "s", False), ("changed", "t", False)], change),
+    }
+    pages = make([("A", "d1", "d2"), ("New", "d2", "d2")], "entry string, first_seen string, last_seen string")
+    name = lambda *values: make([(v,) for v in values], "name string")
+    got = reporting.scan_checks(changes, name("recommended", "x", "y"), name("h"), pages, make([("A",), ("Lost",)], "entry string"), name("l"), name("s"), name("m"), name("p"), ("1", "2"))
+    assert {r["check"]: (r["n"], r["sample"]) for r in got.collect()} == {
+        "scanner version changed": (1, "1 to 2"), "recommendation pages changed": (1, "recommended"), "other snapshots changed": (2, "x, y"), "new latest documents": (1, "A"),
+        "rows no longer listed": (1, "u"), "guides redirect elsewhere": (1, "g"), "datasheets changed": (1, "s"), "health changed": (1, "h"), "new entries": (1, "New"),
+        "profiles name unknown entries": (1, "Lost"), "unread labels": (1, "l"), "slow steps": (1, "s"), "unmapped names": (1, "m"), "unplaced products": (1, "p"),
+    }
+    none = reporting.scan_checks({}, name("x").limit(0), name("x").limit(0), pages.where("entry = 'A'"), make([("A",)], "entry string"), *[name("x").limit(0)] * 4)
+    assert none.collect() == []

@@ -24,9 +24,14 @@ ALIKE = 4
 KIND_WEIGHT, NAME_WEIGHT = 0.02, 0.05
 
 
+#: White space of any kind.
+_BLANKS = "\t\n\x0b\x0c\r\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def heading(c: Column) -> Column:
-    """A heading's normal form: trimmed, lower case, white space as one blank."""
-    return F.trim(F.regexp_replace(F.lower(c), r"(?U)\s+", " "))
+    """A heading's normal form: trimmed, lower case, white space as one blank. Patterns are used only where blanks stand together."""
+    even = F.trim(F.translate(F.lower(c), _BLANKS, " " * len(_BLANKS)))
+    return bound(even, lambda e: F.when(e.contains("  "), F.regexp_replace(e, " +", " ")).otherwise(e))
 
 
 def json_kind(schema: Column) -> Column:

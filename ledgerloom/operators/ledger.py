@@ -160,7 +160,7 @@ class VersionStore:
         folder = path(f"{self.root}/_versions")
         return sorted(s.getPath().getName().removesuffix(".json") for s in fs.listStatus(folder) if s.getPath().getName().endswith(".json")) if fs.exists(folder) else []
 
-    def _manifest(self, version: str) -> dict[str, str]:
+    def _manifest(self, version: str) -> dict[str, str | dict[str, str]]:
         return json.loads("".join(r[0] for r in self.spark.read.option("wholetext", True).text(f"{self.root}/_versions/{version}.json").collect()))
 
     def publish(self, version: str, tables: dict[str, DataFrame], partition: dict[str, list[str]] | None = None) -> None:
@@ -170,6 +170,24 @@ class VersionStore:
             place = f"{name}/{version}-{uuid.uuid4().hex[:8]}"
             df.write.partitionBy(*(partition or {}).get(name, [])).parquet(f"{self.root}/{place}")
             places[name] = place
+        self._point(version, places)
+
+    def publish_buckets(self, version: str, name: str, rows: DataFrame, bucket: Column) -> None:
+        """Replaces those buckets of one table that `rows` has rows of; the others stay where they are.
+
+        rows must hold all rows of its buckets. A version published again keeps its other tables and buckets.
+        """
+        places = self._manifest(self.versions()[-1]) if self.versions() else {}
+        place = f"{name}/{version}-{uuid.uuid4().hex[:8]}"
+        rows.withColumn("_bucket", bucket).write.partitionBy("_bucket").parquet(f"{self.root}/{place}")
+        fs, path = self._fs()
+        written = [s.getPath().getName() for s in fs.listStatus(path(f"{self.root}/{place}")) if s.isDirectory()]
+        held = places.get(name)
+        places[name] = {**(held if isinstance(held, dict) else {}), **{b.removeprefix("_bucket="): f"{place}/{b}" for b in written if b.startswith("_bucket=")}}
+        self._point(version, places)
+
+    def _point(self, version: str, places: dict) -> None:
+        """Makes a version visible: one small file, put in its place by renaming."""
         fs, path = self._fs()
         target, draft = path(f"{self.root}/_versions/{version}.json"), path(f"{self.root}/_versions/.{uuid.uuid4().hex}")
         out = fs.create(draft, True)
@@ -179,12 +197,17 @@ class VersionStore:
             fs.delete(target, False)
         fs.rename(draft, target)
 
-    def read(self, name: str, version: str | None = None) -> DataFrame:
-        """A table as of a version (the newest one at or before it), or the newest."""
+    def read(self, name: str, version: str | None = None, buckets: list[int] | None = None) -> DataFrame:
+        """A table as of a version (the newest one at or before it), or the newest; of a table in buckets only some, if named."""
         at = [v for v in self.versions() if version is None or v <= version]
         if not at:
             raise LookupError(f"no version of {name}")
-        return self.spark.read.parquet(f"{self.root}/{self._manifest(at[-1])[name]}")
+        place = self._manifest(at[-1])[name]
+        if isinstance(place, str):
+            return self.spark.read.parquet(f"{self.root}/{place}")
+        paths = [f"{self.root}/{p}" for b, p in sorted(place.items()) if buckets is None or int(b) in buckets]
+        every = [f"{self.root}/{p}" for p in place.values()]
+        return self.spark.read.parquet(*paths) if paths else self.spark.read.parquet(every[0]).limit(0)
 
 
 def replace_partition(df: DataFrame, new: DataFrame, column: str, value: str) -> DataFrame:

@@ -224,6 +224,9 @@ def test_a_late_day_is_not_lost(spark, tmp_path):
         if day < "2025-03":
             late = [("c", "C", "2025-01-01", "2025-01-01")] if store.read("l").where("url = 'c'").count() else []
             assert rows(store.read("l")) == [("a", "A", "2025-01-01" if late else "2025-02-01", "2025-02-01"), ("b", "B", "2025-02-01", "2025-02-01"), *late]
+    places = store._manifest("2025-03-01")["l"]
+    assert len({p.split("/")[1] for p in places.values()}) > 1  # the last delivery left other buckets where they were
+    assert store.read("l", buckets=[]).count() == 0 and store.read("l", "2025-02-15").count() == 3
     assert rows(store.read("l"))[-1] == ("c", "C3", "2025-01-01", "2025-03-01") and store.versions() == ["2025-02-01", "2025-03-01"]
 
 

@@ -249,17 +249,14 @@ def schema_changes(records: DataFrame, file: str = "file_id", series: str = "tab
     )
 
     torn = pairs.where("anchor IS NOT NULL AND anchor.n >= 1").select("file", "before", "gone", "come", "anchor")
-    earlier = lines.withColumnRenamed("file", "before").join(torn.hint("merge"), "before").select(
-        "file",
-        value_of(F.col("fields"), F.col("anchor.old_name")).alias("met"),
-        F.filter("fields", lambda f: f["val"].isNotNull() & F.array_contains("gone", f["name"])).alias("old"),
-    )
-    later = lines.join(torn.hint("merge"), "file").select(
-        "file",
-        value_of(F.col("fields"), F.col("anchor.new_name")).alias("met"),
-        F.filter("fields", lambda f: f["val"].isNotNull() & F.array_contains("come", f["name"])).alias("new"),
-    )
-    aligned = earlier.where(F.col("met").isNotNull()).join(later.where(F.col("met").isNotNull()).hint("merge"), ["file", "met"])
+    # A line has at most two roles: in the comparison of its own file, and in that of the file after it.
+    role = lambda at, name, taken, is_old: torn.select(F.col(at).alias("at"), F.struct("file", F.col(f"anchor.{name}").alias("name"), F.col(taken).alias("taken"), F.lit(is_old).alias("is_old")).alias("role"))
+    roles = role("before", "old_name", "gone", True).unionByName(role("file", "new_name", "come", False)).groupBy("at").agg(F.collect_list("role").alias("roles"))
+    played = lines.withColumnRenamed("file", "at").join(roles.hint("merge"), "at").select("fields", F.explode("roles").alias("r")).select(
+        "r.file", "r.is_old", value_of(F.col("fields"), F.col("r.name")).alias("met"), F.filter("fields", lambda f: f["val"].isNotNull() & F.array_contains("r.taken", f["name"])).alias("held")
+    )
+    sides_of = [F.max(F.when(F.col("is_old") == is_old, F.col("held"))).alias(name) for name, is_old in (("old", True), ("new", False))]
+    aligned = played.where(F.col("met").isNotNull()).groupBy("file", "met").agg(*sides_of).where("old IS NOT NULL AND new IS NOT NULL")
     held = aligned.select("file", F.explode("old").alias("o"), "new").select("file", "o", F.explode("new").alias("n"))
     carried = held.groupBy("file", F.col("o.name").alias("old_name"), F.col("n.name").alias("new_name")).agg(
         F.avg((F.col("o.val") == F.col("n.val")).cast("int")).alias("carried"), F.avg((F.col("o.kind") == F.col("n.kind")).cast("int")).alias("kept")

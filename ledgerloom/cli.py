@@ -21,7 +21,12 @@ from ledgerloom.sources.files import library_files, load_lock, load_yaml, starte
 META = "last-scan.json"
 
 
-def read_meta(root: str) -> dict:
+def read_meta(root: str, store: VersionStore | None = None) -> dict:
+    """What the last scans left. A root on another file system needs a session, which is started if none is given."""
+    if store is None and "://" in root:
+        store = VersionStore(build_session(), root)
+    if store is not None:
+        return store.read_json(META, {})
     file = Path(root) / META
     return json.loads(file.read_text(encoding="utf-8")) if file.exists() else {}
 
@@ -37,7 +42,7 @@ def publish_scan(store: VersionStore, today: str, deliveries: dict, keys: dict[s
     counted but not written. Returns how many rows each ledger and how many pages each watched table has.
     """
     spark, merged, counts = store.spark, {}, {}
-    last = (read_meta(store.root).get("counts") or {}).get(site) or {}
+    last = (read_meta(store.root, store).get("counts") or {}).get(site) or {}
     for name, pages in (watched or {}).items():
         counts[name], failed = pages.agg(F.count("*"), F.count_if(F.col("status") != 200)).head()
         guard(name, counts[name], last.get(name), failed, allow=allow_shrink)
@@ -55,8 +60,7 @@ def publish_scan(store: VersionStore, today: str, deliveries: dict, keys: dict[s
     store.publish(today, merged)
     for name in merged:
         counts[name] = store.read(name).count()
-    meta = merge_meta(read_meta(store.root), {site: counts}, [site], today, timing)
-    (Path(store.root) / META).write_text(json.dumps(meta, indent=1, sort_keys=True), encoding="utf-8")
+    store.write_json(META, merge_meta(read_meta(store.root, store), {site: counts}, [site], today, timing))
     return counts
 
 

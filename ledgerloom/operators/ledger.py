@@ -161,7 +161,7 @@ class VersionStore:
         return sorted(s.getPath().getName().removesuffix(".json") for s in fs.listStatus(folder) if s.getPath().getName().endswith(".json")) if fs.exists(folder) else []
 
     def _manifest(self, version: str) -> dict[str, str | dict[str, str]]:
-        return json.loads("".join(r[0] for r in self.spark.read.option("wholetext", True).text(f"{self.root}/_versions/{version}.json").collect()))
+        return self.read_json(f"_versions/{version}.json", {})
 
     def publish(self, version: str, tables: dict[str, DataFrame], partition: dict[str, list[str]] | None = None) -> None:
         """Writes all tables, then the manifest. A version published again replaces the earlier one of that name."""
@@ -188,15 +188,25 @@ class VersionStore:
 
     def _point(self, version: str, places: dict) -> None:
         """Makes a version visible: one small file, put in its place by renaming."""
+        self.write_json(f"_versions/{version}.json", places)
+
+    def write_json(self, name: str, value: object) -> None:
+        """A small file below the root, on whatever file system that is."""
         fs, path = self._fs()
-        target, draft = path(f"{self.root}/_versions/{version}.json"), path(f"{self.root}/_versions/.{uuid.uuid4().hex}")
+        target, draft = path(f"{self.root}/{name}"), path(f"{self.root}/_versions/.{uuid.uuid4().hex}")
         out = fs.create(draft, True)
-        out.write(bytearray(json.dumps(places), "utf-8"))
+        out.write(bytearray(json.dumps(value, indent=1, sort_keys=True), "utf-8"))
         out.close()
         if fs.exists(target):
             fs.delete(target, False)
         fs.rename(draft, target)
 
+    def read_json(self, name: str, default: object = None) -> object:
+        fs, path = self._fs()
+        if not fs.exists(path(f"{self.root}/{name}")):
+            return default
+        return json.loads("".join(r[0] for r in self.spark.read.option("wholetext", True).text(f"{self.root}/{name}").collect()))
+
     def read(self, name: str, version: str | None = None, buckets: list[int] | None = None) -> DataFrame:
         """A table as of a version (the newest one at or before it), or the newest; of a table in buckets only some, if named."""
         at = [v for v in self.versions() if version is None or v <= version]

@@ -9,9 +9,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from urllib.parse import urljoin
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ledgerloom.functions.dates import month_iso
 from ledgerloom.functions.links import format_via, join_url, link_kind, portal_revision, refresh_target
@@ -22,11 +21,6 @@ from ledgerloom.session import cut_lineage
 from ledgerloom.sources.html import read_archive, read_docs_pages, read_index, read_links, read_tables
 
 
-def numbered(df: DataFrame, order: list[Column]) -> DataFrame:
-    """Order numbers for an index page's entries, which are few; everything else carries its own positions."""
-    return df.withColumn("ord", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
-
-
 def scan_archive(raw: DataFrame, menu_url: str, wanted: str, docs_url: str, hosts: dict[str, list[str]]) -> dict[str, DataFrame]:
     """release-notes: the links of every archive page the menu leads to, without those back to the docs host; archive_pages: their status.
 
@@ -53,8 +47,8 @@ def scan_docs(
     at = canonical(F.col("url"))
     menu_url = urljoin(index_url, archive_url)
     archive = scan_archive(raw, menu_url, archive_wanted, index_url, hosts)
-    index = read_index(raw.where(at == canonical(F.lit(index_url))), wanted).withColumn("pos", F.monotonically_increasing_id())
-    entries = numbered(index.select(canonical(F.col("url")).alias("url"), "heading", F.col("label").alias("entry"), "pos"), [F.col("pos")]).drop("pos")
+    index = cut_lineage(read_index(raw.where(at == canonical(F.lit(index_url))), wanted))
+    entries = index.select(canonical(F.col("url")).alias("url"), "heading", F.col("label").alias("entry"), F.col("pos").alias("ord"))
     entries = first_wins(entries, ["url"], [F.col("ord")])
     pages = raw.where(~at.isin(canonical(F.lit(index_url)), canonical(F.lit(menu_url)))).select(F.col("url"), "status", "body")
     pages = pages.withColumn("page", at).join(archive["archive_pages"], "page", "left_anti").drop("page")

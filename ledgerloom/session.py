@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -41,7 +42,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not named:
         if not context.master.startswith("local[") and context.master != "local":
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-        named = os.path.join(tempfile.gettempdir(), "ledgerloom-checkpoints")
+        named = tempfile.mkdtemp(prefix="ledgerloom-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(named)
     return named

@@ -49,9 +49,9 @@ def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV for people: rows in order of the whole row as text, one file; for exports, which fit one."""
+    """CSV for people: rows in order of the whole row as text, over as many files as the table needs, whose names are in order too."""
     text = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns])
-    text.orderBy(*text.columns).coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").option("lineSep", "\n").csv(path)
+    text.orderBy(*text.columns).write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").option("lineSep", "\n").csv(path)
 
 
 def read_snapshot_tables(spark: SparkSession, path: str) -> DataFrame:
@@ -88,7 +88,7 @@ def load_lock(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def save_lock(lock: DataFrame, path: str) -> None:
     """The lock as JSON lines in order of path."""
-    lock.orderBy("path").coalesce(1).write.mode("overwrite").json(path)
+    lock.orderBy("path").write.mode("overwrite").json(path)
 
 
 def library_files(spark: SparkSession, root: str) -> DataFrame:

@@ -278,8 +278,8 @@ def read_links(pages: DataFrame, url: str = "url", body: str = "body") -> DataFr
 
 
 def read_index(pages: DataFrame, wanted: str, url: str = "url", body: str = "body") -> DataFrame:
-    """page, heading, label, url."""
-    return _udf(pages, "heading string, label string, url string", lambda b, u: index_entries(b, u, wanted), url, body)
+    """page, pos, heading, label, url."""
+    return _udf(pages, "pos int, heading string, label string, url string", lambda b, u: ((i, *e) for i, e in enumerate(index_entries(b, u, wanted), 1)), url, body)
 
 
 def read_archive(pages: DataFrame, wanted: str, url: str = "url", body: str = "body") -> DataFrame:

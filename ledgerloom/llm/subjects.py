@@ -1,7 +1,7 @@
 """Subject areas of documents: weighted terms by a multi-pattern automaton, normalised by rarity and length, thresholds calibrated.
 
-The terms are a curated lexicon of each field. Where hand labels are given, a bounded sample of the labelled documents says
-how far each curated term can be trusted in this corpus, and what further words and pairs of words tell a subject.
+The terms are a curated lexicon of each field. Where hand labels are given, all labelled documents say how far each curated
+term can be trusted in this corpus, and what further words and pairs of words tell a subject.
 """
 
 from __future__ import annotations
@@ -9,9 +9,10 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 from math import log1p
+from typing import NamedTuple
 
 import ahocorasick
 import numpy as np
@@ -26,10 +27,10 @@ from ledgerloom.session import cut_lineage
 SHARE, LATITUDE = 1 / 6, 0.03
 #: Weighted terms that make a sentence be about a subject.
 SENTENCE = 1.0
-#: Bound on the labelled documents that thresholds are calibrated on, taken by the smallest hash of their id.
-CALIBRATION_DOCS = 20_000
-#: Bound on the labelled documents that terms are learned from, taken in the same way.
-LEARN_DOCS = 4_000
+#: Rounds of expectation maximisation; how much curated terms weigh when sentences are shared out before the first and second.
+ROUNDS, _SEEDING = 5, {0: 2.0, 1: 1.0}
+#: Labelled documents that are held as one row of numbers.
+CHUNK_DOCS = 500
 #: Documents a learned term must occur in at least (a curated one thrice as many to be weighed anew); the share of its sentences that must be about its subject
 #: for it to count alone and in company; weights of both kinds.
 LEARN_LEAST, LEARN_ALONE, LEARN_COMPANY = 3, 0.95, 0.7
@@ -132,8 +133,152 @@ def _features(sentence: str) -> set[str]:
     return found
 
 
-def fit_terms(texts: list[str | None], labelled: list[set[int]], terms: tuple[Term, ...], rounds: int = 5) -> list[Term]:
-    """Terms as a sample of labelled documents supports them: curated ones weighed anew, and learned ones.
+class Read(NamedTuple):
+    """The sentences of documents as arrays: for each its document and that one's labels, its features and curated terms."""
+
+    doc: np.ndarray
+    labels: np.ndarray  # one row per sentence: the number of labels, and 1 for each subject labelled
+    sent: np.ndarray  # sentence and number of each feature it holds, in the order of numbers
+    feat: np.ndarray
+    hit_sent: np.ndarray  # the same for curated terms
+    hit: np.ndarray
+
+
+class Counted(NamedTuple):
+    """Features of all labelled documents: in how many documents and sentences, and in how many documents of each label."""
+
+    names: list[str]
+    docs: np.ndarray
+    uses: np.ndarray
+    tagged: np.ndarray  # column 0, that of no subject, is not used; so in labelled
+    documents: int
+    sentences: int
+    labelled: np.ndarray
+
+
+def _marked(text: str | None, lexicon: Lexicon) -> tuple[list[str], list[list[int]]]:
+    """The sentences of a text without marks, and for each the numbers of the terms in it."""
+    plain, ends = plain_text(text or "")
+    flat, start, words, hits = _MARKS.sub(" ", plain), 0, [], []
+    for end in ends:
+        words.append(flat[start:end] + " ")
+        hits.append(sorted({t for _, numbers in lexicon.automaton.iter(words[-1]) for t in numbers}) if lexicon.terms else [])
+        start = end
+    return words, hits
+
+
+def chunk_of(texts: Iterable[str | None], labelled: Iterable[Iterable[int]], lexicon: Lexicon) -> dict:
+    """Documents as flat lists: `features` they hold, and by place in it those of each sentence; curated terms; labels."""
+    number: dict[str, int] = {}
+    chunk: dict[str, list] = {c: [] for c in ("feats", "sizes", "hits", "hit_sizes", "sentences", "labels", "label_sizes")}
+    for text, subjects in zip(texts, labelled):
+        words, hits = _marked(text, lexicon)
+        for sentence, terms in zip(words, hits):
+            held = [number.setdefault(f, len(number)) for f in _features(sentence)]
+            chunk["feats"] += held
+            chunk["sizes"].append(len(held))
+            chunk["hits"] += terms
+            chunk["hit_sizes"].append(len(terms))
+        chunk["sentences"].append(len(words))
+        subjects = list(map(int, subjects))
+        chunk["labels"] += subjects
+        chunk["label_sizes"].append(len(subjects))
+    return {"features": list(number), **chunk}
+
+
+def _ints(values: Sequence[int]) -> np.ndarray:
+    return np.asarray(values, dtype=np.int64)
+
+
+def _spread(sizes: Sequence[int]) -> np.ndarray:
+    """The number of its group for each of the members, given the sizes of groups."""
+    return np.repeat(np.arange(len(sizes)), _ints(sizes))
+
+
+def _tags(chunk: dict, column: dict[int, int]) -> np.ndarray:
+    """For each document the number of its labels, and 1 for each subject it is labelled with."""
+    tags = np.zeros((len(chunk["sentences"]), len(column) + 1))
+    for doc, subject in zip(_spread(chunk["label_sizes"]), chunk["labels"]):
+        if subject in column:
+            tags[doc, column[subject]] = 1.0
+    tags[:, 0] = chunk["label_sizes"]
+    return tags
+
+
+def tally(chunk: dict, column: dict[int, int]) -> tuple[list[str], np.ndarray]:
+    """Features, '' for documents themselves, with the number of documents, of those with each label, and of sentences."""
+    tags, feat, n, docs = _tags(chunk, column), _ints(chunk["feats"]), len(chunk["features"]), len(chunk["sentences"])
+    tags[:, 0] = 1.0
+    pair_feat, pair_doc = np.divmod(np.unique(feat * docs + _spread(chunk["sentences"])[_spread(chunk["sizes"])]), docs)
+    rows = np.stack([*(np.bincount(pair_feat, tags[pair_doc, c], n) for c in range(tags.shape[1])), np.bincount(feat, minlength=n)], axis=1)
+    return ["", *chunk["features"]], np.vstack([[*tags.sum(axis=0), len(chunk["sizes"])], rows])
+
+
+def numbered(chunk: dict, number: dict[str, int]) -> dict:
+    """A chunk with the features that are numbered, by their numbers, in order within each sentence."""
+    place = _ints([number.get(f, -1) for f in chunk["features"]])
+    feat, sent, size = place[_ints(chunk["feats"])], _spread(chunk["sizes"]), max(1, len(number))
+    sent, feat = np.divmod(np.sort((sent * size + feat)[feat >= 0]), size)
+    return {**{c: v for c, v in chunk.items() if c != "features"}, "feats": feat, "sizes": np.bincount(sent, minlength=len(chunk["sizes"]))}
+
+
+def read_of(chunk: dict, column: dict[int, int]) -> Read:
+    doc = _spread(chunk["sentences"])
+    return Read(doc, _tags(chunk, column)[doc], _spread(chunk["sizes"]), _ints(chunk["feats"]), _spread(chunk["hit_sizes"]), _ints(chunk["hits"]))
+
+
+def counted_of(features: list[str], sums: np.ndarray) -> Counted:
+    total = sums[[i for i, f in enumerate(features) if not f]].sum(axis=0)
+    order = sorted((i for i, f in enumerate(features) if f and sums[i, 0] >= LEARN_LEAST), key=features.__getitem__)
+    rows = sums[order]
+    return Counted([features[i] for i in order], rows[:, 0], rows[:, -1], rows[:, :-1], int(total[0]), int(total[-1]), total[:-1])
+
+
+def first_lift(counted: Counted) -> np.ndarray:
+    """To begin with: how much oftener a word's documents bear a label than all do. One row per class, none for no subject."""
+    usual = counted.labelled / max(1, counted.documents) + 1e-6
+    lift = np.log((counted.tagged + 2 * usual) / ((counted.docs[:, None] + 2) * usual)).T.copy()
+    lift[0] = 0.0
+    return lift
+
+
+def next_lift(counts: np.ndarray, counted: Counted) -> np.ndarray:
+    """How much likelier a word is in a sentence about each subject than in one about none."""
+    base = (counted.uses + 1e-9) / max(counted.uses.sum(), 1.0)
+    chance = (counts + 50.0 * base[:, None]) / (counts.sum(axis=0) + 50.0)
+    return np.ascontiguousarray((np.log(chance) - np.log(chance[:, :1])).T)
+
+
+def expected(read: Read, lift: np.ndarray, terms: tuple[Term, ...], place: np.ndarray, seeding: float) -> np.ndarray:
+    """The share each sentence has in each class, in steps of 2^-20, so that sums over sentences are exact in any order."""
+    n, width = read.labels.shape
+    prior = 0.05 / max(1, width - 1) + read.labels * (0.4 / np.maximum(1.0, read.labels[:, :1]))
+    prior[:, 0] = np.maximum(0.05, 1 - prior[:, 1:].sum(axis=1))
+    score = np.log(prior)
+    if seeding:
+        weights = np.array([w for _, w, _ in terms])
+        seed = np.bincount(read.hit_sent * width + place[read.hit], weights[read.hit], n * width).reshape(n, width)
+        score += seeding * ((seed >= SENTENCE) & (seed >= seed.max(axis=1, keepdims=True)))
+    for c in range(1, width):
+        score[:, c] += 0.5 * np.bincount(read.sent, lift[c][read.feat], n)
+    share = np.exp(score - score.max(axis=1, keepdims=True))
+    share /= share.sum(axis=1, keepdims=True)
+    return np.round(share * 2**20) / 2**20
+
+
+def by_feature(read: Read, share: np.ndarray, size: int) -> np.ndarray:
+    return np.stack([np.bincount(read.feat, share[read.sent, c], size) for c in range(share.shape[1])], axis=1)
+
+
+def _classes(terms: tuple[Term, ...]) -> tuple[list[int], dict[int, int], np.ndarray]:
+    """Subjects of the terms, their columns (0 is no subject), and each term's column."""
+    owners = sorted({s for s, _, _ in terms})
+    column = {s: i + 1 for i, s in enumerate(owners)}
+    return owners, column, np.array([column[s] for s, _, _ in terms], dtype=np.int64)
+
+
+def fit_terms(texts: list[str | None], labelled: list[set[int]], terms: tuple[Term, ...], rounds: int = ROUNDS) -> list[Term]:
+    """Terms as labelled documents support them: curated ones weighed anew, and learned ones. All in memory.
 
     Which sentences of a document are about its subjects is not labelled. It is estimated by expectation maximisation:
     each sentence belongs to a subject or to none, labels say which subjects a document's sentences are likely to have,
@@ -141,77 +286,31 @@ def fit_terms(texts: list[str | None], labelled: list[set[int]], terms: tuple[Te
     curated term seen often is weighed by the share of its sentences that are about its subject; words and pairs of which
     nearly all sentences are about one subject are added. Wrong labels only shift what is likely.
     """
-    owners = sorted({s for s, _, _ in terms})
-    column = {s: i + 1 for i, s in enumerate(owners)}
-    lexicon, width = lexicon_of(terms), len(owners) + 1
-    weights = np.array([w for _, w, _ in terms])
-    place = np.array([column[s] for s, _, _ in terms])
-    number: dict[str, int] = {}
-    sent_of, feat_of, doc_of, priors, seeds, hits = [], [], [], [], [], []
-    for d, (text, subjects) in enumerate(zip(texts, labelled)):
-        plain, ends = plain_text(text or "")
-        flat, start = _MARKS.sub(" ", plain), 0
-        prior = np.full(width, 0.05 / max(1, width - 1))
-        for s in subjects & column.keys():
-            prior[column[s]] += 0.4 / len(subjects)
-        prior[0] = max(0.05, 1 - prior[1:].sum())
-        for end in ends:
-            sentence, start = flat[start:end] + " ", end
-            n = len(priors)
-            found = sorted({t for _, numbers in lexicon.automaton.iter(sentence) for t in numbers}) if terms else []
-            seed = np.bincount(place[found], weights[found], width) if found else np.zeros(width)
-            hits += [(n, t) for t in found]
-            new = [number.setdefault(f, len(number)) for f in _features(sentence)]
-            sent_of += [n] * len(new)
-            feat_of += new
-            priors.append(prior)
-            doc_of.append(d)
-            seeds.append(np.where((seed >= SENTENCE) & (seed >= seed.max()), 1.0, 0.0))
-    if not priors:
+    _, column, place = _classes(terms)
+    chunk = chunk_of(texts, labelled, lexicon_of(terms))
+    if not chunk["sizes"]:
         return list(terms)
-    sent, feat, doc = np.array(sent_of, dtype=np.int64), np.array(feat_of, dtype=np.int64), np.array(doc_of)
-    pairs = np.unique(feat * (len(texts) + 1) + doc[sent])
-    in_docs = np.bincount(pairs // (len(texts) + 1), minlength=len(number))
-    kept = in_docs[feat] >= LEARN_LEAST
-    sent, feat = sent[kept], feat[kept]
-    log_prior, seed = np.log(np.array(priors)), np.array(seeds)
-    # To begin with: how much oftener a word's documents bear a label than all do, and the curated terms.
-    tagged = np.zeros((len(texts), width))
-    for d, subjects in enumerate(labelled):
-        tagged[d, [column[s] for s in subjects & column.keys()]] = 1.0
-    usual, pair_feat, pair_doc = tagged.mean(axis=0) + 1e-6, pairs // (len(texts) + 1), pairs % (len(texts) + 1)
-    lift = np.zeros((len(number), width))
-    for c in range(1, width):
-        lift[:, c] = np.log((np.bincount(pair_feat, tagged[pair_doc, c], len(number)) + 2 * usual[c]) / ((in_docs + 2) * usual[c]))
-    score = log_prior + 2.0 * seed
-    for c in range(1, width):
-        score[:, c] += 0.5 * np.bincount(sent, lift[feat, c], len(priors))
-    share = np.exp(score - score.max(axis=1, keepdims=True))
-    share /= share.sum(axis=1, keepdims=True)
-    uses = np.bincount(feat, minlength=len(number)).astype(float)
-    base = (uses + 1e-9) / max(uses.sum(), 1.0)
-    counts = np.zeros((len(number), width))
-    for turn in range(rounds):
-        by_class = np.ascontiguousarray(share.T)
-        for c in range(width):
-            counts[:, c] = np.bincount(feat, by_class[c][sent], len(number))
-        chance = (counts + 50.0 * base[:, None]) / (counts.sum(axis=0) + 50.0)
-        lift = np.ascontiguousarray((np.log(chance) - np.log(chance[:, :1])).T)
-        score = log_prior.copy()
-        for c in range(1, width):
-            score[:, c] += 0.5 * np.bincount(sent, lift[c][feat], len(priors))
-        if turn == 0:
-            score += seed
-        share = np.exp(score - score.max(axis=1, keepdims=True))
-        share /= share.sum(axis=1, keepdims=True)
-    for c in range(width):
-        counts[:, c] = np.bincount(feat, share[sent, c], len(number))
-
-    seen, about = np.zeros(len(terms)), np.zeros(len(terms))
-    for n, t in hits:
-        seen[t] += 1
-        about[t] += share[n, place[t]]
-    in_docs_of = Counter(t for t, _ in {(t, doc_of[n]) for n, t in hits})
+    counted = counted_of(*tally(chunk, column))
+    read = read_of(numbered(chunk, {f: i for i, f in enumerate(counted.names)}), column)
+    lift = first_lift(counted)
+    for turn in range(rounds + 1):
+        share = expected(read, lift, terms, place, _SEEDING.get(turn, 0.0))
+        counts = by_feature(read, share, len(counted.names))
+        lift = next_lift(counts, counted)
+    return supported(terms, counted, counts, *by_term(read, share, place).T)
+
+
+def by_term(read: Read, share: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """For each curated term the sentences and documents that hold it, and how many of the sentences are about its subject."""
+    seen = np.bincount(read.hit, minlength=len(place))
+    about = np.bincount(read.hit, share[read.hit_sent, place[read.hit]], len(place))
+    pairs = np.unique(read.doc[read.hit_sent] * max(1, len(place)) + read.hit)
+    return np.stack([seen, np.bincount(pairs % max(1, len(place)), minlength=len(place)), about], axis=1)
+
+
+def supported(terms: tuple[Term, ...], counted: Counted, counts: np.ndarray, seen: np.ndarray, in_docs_of: np.ndarray, about: np.ndarray) -> list[Term]:
+    """Curated terms by the trust that the counts give them, and the words and pairs they support."""
+    owners, _, _ = _classes(terms)
     weight_of: dict[tuple[int, str], float] = {}
     heads: dict[int, list[str]] = defaultdict(list)  # what of a subject begins so is counted already
     for t in sorted(range(len(terms)), key=lambda t: len(terms[t][2])):
@@ -221,14 +320,12 @@ def fit_terms(texts: list[str | None], labelled: list[set[int]], terms: tuple[Te
         if trust >= LEARN_TRUST and not any(term.startswith(h) and weight_of[s, h] >= w for h in heads[s]):
             weight_of[s, term] = float(w)
             heads[s].append(term)
-    names = list(number)
-    best = counts[:, 1:].argmax(axis=1) + 1 if width > 1 else np.zeros(len(names), dtype=int)
-    for f in sorted(range(len(names)), key=lambda f: (names[f].count(" "), names[f])):
-        n, s = counts[f, best[f]], owners[best[f] - 1]
-        trust = n / (uses[f] + 1.0)
-        if in_docs[f] < LEARN_LEAST or trust < LEARN_COMPANY:
-            continue
-        w = ALONE if trust >= LEARN_ALONE else COMPANY
+    names = counted.names
+    best = counts[:, 1:].argmax(axis=1) + 1 if owners else np.zeros(len(names), dtype=int)
+    trusts = counts[np.arange(len(names)), best] / (counted.uses + 1.0)
+    for f in sorted(np.flatnonzero(trusts >= LEARN_COMPANY), key=lambda f: (names[f].count(" "), names[f])):
+        s = owners[best[f] - 1]
+        w = ALONE if trusts[f] >= LEARN_ALONE else COMPANY
         parts = [f" {p} " for p in names[f].split()]
         known = [weight_of.get((s, p), 0.0) for p in parts] + [weight_of[s, h] for h in heads[s] if any(p.startswith(h) for p in parts)]
         if w > max(known):
@@ -237,21 +334,77 @@ def fit_terms(texts: list[str | None], labelled: list[set[int]], terms: tuple[Te
 
 
 def learned_terms(documents: DataFrame, labels: DataFrame, terms: tuple[Term, ...], doc_id: str = "doc_id", text: str = "text", subject_id: str = "subject_id") -> tuple[Term, ...]:
-    """`fit_terms` on at most LEARN_DOCS labelled documents, taken by the smallest hash of their id; one task holds them.
+    """`fit_terms` on all labelled documents, spread over the workers; a repeated doc_id counts once, with its first text.
 
-    What reaches the driver are terms, as many as LEARN_DOCS documents can hold. Without labelled documents the terms
-    stay as they are.
+    Features are told once; each round is one pass over the sentences as numbers. What reaches the driver, and is sent out again,
+    are sums by feature: one row for each word and pair of words that stands in LEARN_LEAST labelled documents. All sums are
+    exact, so the result does not depend on how rows are spread. Without labelled documents the terms stay as they are.
     """
-    clean = labels.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("doc_id")).agg(F.collect_set(F.col(subject_id).cast("long")).alias("subjects"))
-    chosen = clean.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LEARN_DOCS)
-    sample = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    spark = documents.sparkSession
+    owners, column, place = _classes(terms)
+    width = len(owners) + 1
+    clean = cut_lineage(labels.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("doc_id")).agg(F.collect_set(F.col(subject_id).cast("long")).alias("subjects")))
+    known = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(clean, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("subjects").alias("subjects"))
+
+    def parted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lexicon = lexicon_of(terms)
+        for batch in batches:
+            for at in range(0, len(batch), CHUNK_DOCS):
+                part = batch.iloc[at : at + CHUNK_DOCS]
+                yield pd.DataFrame([chunk_of(part["text"], part["subjects"], lexicon)])
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("doc_id", kind="stable")
-        return pd.DataFrame(fit_terms(list(pdf["text"]), [set(map(int, s)) for s in pdf["subjects"]], terms), columns=["subject_id", "weight", "term"])
+    kept = "feats array<int>, sizes array<int>, hits array<int>, hit_sizes array<int>, sentences array<int>, labels array<long>, label_sizes array<int>"
+    chunks = cut_lineage(known.mapInPandas(parted, f"features array<string>, {kept}"))
+    columns = ["docs", *(f"c{i}" for i in range(1, width)), "uses"]
 
-    found = sample.groupBy(F.lit(1).alias("_all")).applyInPandas(fit, "subject_id long, weight double, term string").collect()
-    return tuple(sorted((r["subject_id"], r["weight"], r["term"]) for r in found)) or terms
+    def tallied(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for chunk in batch.to_dict("records"):
+                features, part = tally(chunk, column)
+                yield pd.DataFrame(part, columns=columns).assign(feature=features)
+
+    sums = chunks.mapInPandas(tallied, ", ".join(f"{c} double" for c in columns) + ", feature string").groupBy("feature")
+    rows = sums.agg(*(F.sum(c).alias(c) for c in columns)).where((F.col("docs") >= LEARN_LEAST) | (F.col("feature") == "")).toArrow().to_pandas()
+    counted = counted_of(list(rows["feature"]), rows[columns].to_numpy(dtype=float))
+    if not counted.sentences:
+        return terms
+    vocabulary = spark.sparkContext.broadcast({f: i for i, f in enumerate(counted.names)})
+
+    def renumbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame([numbered(chunk, vocabulary.value) for chunk in batch.to_dict("records")])
+
+    numbers = cut_lineage(chunks.mapInPandas(renumbered, kept))
+    lift, size, wide = first_lift(counted), len(counted.names), [f"c{i}" for i in range(max(width, 3))]
+    for turn in range(ROUNDS + 1):
+        sent_out = spark.sparkContext.broadcast(lift)
+
+        def expect(batches: Iterator[pd.DataFrame], turn: int = turn, sent_out=sent_out) -> Iterator[pd.DataFrame]:
+            counts, of_terms = np.zeros((size, width)), np.zeros((len(terms), 3))
+            for chunk in (c for batch in batches for c in batch.to_dict("records")):
+                read = read_of(chunk, column)
+                share = expected(read, sent_out.value, terms, place, _SEEDING.get(turn, 0.0))
+                counts += by_feature(read, share, size)
+                if turn == ROUNDS:
+                    of_terms += by_term(read, share, place)
+            for kind, table in ((0, counts), (1, of_terms)):
+                held = np.flatnonzero(table.any(axis=1))
+                if len(held):
+                    filled = np.zeros((len(held), len(wide)))
+                    filled[:, : table.shape[1]] = table[held]
+                    yield pd.DataFrame(filled, columns=wide).assign(kind=kind, place=held)
+
+        part = numbers.mapInPandas(expect, ", ".join(f"{c} double" for c in wide) + ", kind int, place long")
+        got = part.groupBy("kind", "place").agg(*(F.sum(c).alias(c) for c in wide)).toArrow().to_pandas()
+        sent_out.unpersist()
+        words, marks = got[got["kind"] == 0], got[got["kind"] == 1]
+        counts = np.zeros((size, width))
+        counts[words["place"].to_numpy()] = words[wide[:width]].to_numpy()
+        lift = next_lift(counts, counted)
+    of_terms = np.zeros((len(terms), 3))
+    of_terms[marks["place"].to_numpy()] = marks[wide[:3]].to_numpy()
+    vocabulary.unpersist()
+    return tuple(sorted(supported(terms, counted, counts, *of_terms.T))) or terms
 
 
 def term_sentences(documents: DataFrame, terms: tuple[Term, ...], doc_id: str, text: str) -> DataFrame:
@@ -313,10 +466,10 @@ def subject_shares(scanned: DataFrame, terms: tuple[Term, ...]) -> DataFrame:
 def calibrated(shares: DataFrame, labels: DataFrame, doc_id: str, subject_id: str) -> dict[int, float]:
     """For each subject the share within LATITUDE of SHARE that agrees best with the hand labels; SHARE itself if equal.
 
-    Labels may be wrong, missing or repeated. At most CALIBRATION_DOCS labelled documents are used.
+    Labels may be wrong, missing or repeated. All labelled documents are used.
     """
     clean = labels.where(F.col(doc_id).isNotNull() & F.col(subject_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(subject_id).cast("long").alias("subject_id")).distinct()
-    chosen = clean.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_DOCS)
+    chosen = clean.select("doc_id").distinct()
     near = shares.where(F.col("share").between(SHARE - LATITUDE, SHARE + LATITUDE)).join(chosen.hint("merge"), "doc_id", "left_semi")
     steps = near.join(clean.withColumn("labelled", F.lit(1)).hint("merge"), ["doc_id", "subject_id"], "left").groupBy("subject_id", F.round("share", 3).alias("share")).agg(
         F.count("*").alias("n"), F.sum(F.coalesce("labelled", F.lit(0))).alias("yes")

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.subjects import Lexicon, calibrated, curated_terms, fit_terms, plain_text, sentence_subjects, subjects_of
+from ledgerloom.llm.subjects import Lexicon, calibrated, curated_terms, fit_terms, learned_terms, plain_text, sentence_subjects, subjects_of
 from ledgerloom.session import table
 
 SUBJECTS = [(1, "switching and routing", ""), (3, "security", ""), (9, "sport and venues", ""), (50, "gardening", "Flowers, hedges and compost"), (None, "x", "")]
@@ -63,3 +63,28 @@ def test_held_out_labels(spark, sf_dir):
     docs = {d for d, _ in labels}
     assert len(labels & found) >= 0.85 * len(labels)
     assert len({f for f in found if f[0] in docs} & labels) >= 0.85 * len({f for f in found if f[0] in docs})
+
+
+def by_hash(spark, n):
+    """Document ids in the order of their hash."""
+    return [r[0] for r in spark.range(n).orderBy(F.xxhash64("id"), "id").collect()]
+
+
+def test_terms_are_learned_from_every_labelled_document(spark):
+    """A word that stands only in the labelled documents with the highest hashes is learned too, and rows may be spread in any way."""
+    terms = curated_terms(((1, "switching and routing", ""), (3, "security", "")))
+    docs = [(i, f"The {'blorb' if n >= 4_050 else 'plain'} of site 4 rests. Every vlan has a subnet. Table 7 lists it." if n % 2 else "The attacker guessed a password. Table 7 lists it.", 1 if n % 2 else 3) for n, i in enumerate(by_hash(spark, 4_100))]
+    df = spark.createDataFrame([d[:2] for d in docs], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, s) for i, _, s in docs], "doc_id long, subject_id long")
+    found = learned_terms(df.unionByName(df.limit(50)).repartition(5), labels, terms)
+    assert (1, 2.0, " blorb ") in found
+    inorder = sorted(docs)
+    assert list(found) == sorted(fit_terms([t for _, t, _ in inorder], [{s} for _, _, s in inorder], terms))
+    assert learned_terms(df, labels.limit(0), terms) == terms and learned_terms(df.limit(0), labels, terms) == terms
+
+
+def test_thresholds_are_told_by_every_labelled_document(spark):
+    """Only the labelled documents with the highest hashes say that the threshold is too high."""
+    ids = by_hash(spark, 24_000)
+    shares = spark.createDataFrame([(i, 1, 2, 0.155 if n >= 20_000 else 0.2) for n, i in enumerate(ids)], "doc_id long, subject_id long, hits int, share double")
+    assert 0.15 < calibrated(shares, spark.createDataFrame([(i, 1) for i in ids], "doc_id long, subject_id long"), "doc_id", "subject_id")[1] <= 0.155

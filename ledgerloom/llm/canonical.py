@@ -62,12 +62,15 @@ def _squared(c: Column) -> Column:
 
 
 def canonical_entries(values: DataFrame, entries: DataFrame, value: str = "value", entry_id: str = "entry_id", entry: str = "entry") -> DataFrame:
-    """value -> entry_id for each distinct value that has one: value, entry_id, score, how (model or ranking).
-
-    An entry with a model number is told by it alone and needs it exactly, though it may be written apart or together;
-    a value that holds a number of that kind never takes an entry without it. Other entries need every one of their
-    words, in any order, each repaired from a written word (up to EDITS edits, a prefix, or words run together); among
-    several, the best soft TF-IDF wins, then the smaller entry_id. Words of a value that belong to no entry don't count.
+    """value -> entry_id for each distinct value that has one: value, entry_id, score, how (model: the check asked for a
+    model number; ranking: for words).
+
+    Every value goes the same way: its words are repaired to words of the list (up to EDITS edits, a prefix, or words run
+    together), all entries that share one are ranked by soft TF-IDF, and the best one that passes an exact check is taken;
+    of equal ones the smaller entry_id. A model number is a word that is never repaired, though it may be written apart
+    or together. The check: an entry with a model number needs it and no other word, and is never compared with a value
+    without one, nor other entries with a value that has one; these need every one of their words, in any order. Words
+    of a value that belong to no entry don't count.
     Blank and NULL values have no entry; repeated values and repeated entries change nothing; a word longer than any
     entry allows cannot match and is passed over before its variants are made.
 
@@ -77,48 +80,52 @@ def canonical_entries(values: DataFrame, entries: DataFrame, value: str = "value
     listed = entries.where(F.col(entry_id).isNotNull()).select(F.col(entry_id).cast("bigint").alias("entry_id"), F.transform(words_of(F.col(entry)), _plain).alias("words"))
     listed = listed.groupBy("words").agg(F.min("entry_id").alias("entry_id")).where(F.size("words") > 0)
 
-    # By model number, exactly.
-    models = listed.select("entry_id", F.explode(F.filter("words", lambda w: w.rlike(MODEL))).alias("model"))
-    numbered = F.exists("words", lambda w: w.rlike(MODEL))
-    asked = distinct.where(numbered).select("value", F.size("words").alias("n"), F.explode(model_candidates(F.col("words"))).alias("model"))
-    by_model = asked.join(models, "model").select("value", "entry_id", F.length("model").cast("double").alias("score"), F.lit("model").alias("how"))
+    is_model = lambda w: w.rlike(MODEL)
+    numbered = F.exists("words", is_model)
 
-    # By words. Surfaces of the vocabulary are the entries' words and their adjacent words run together.
-    named = listed.where(~numbered)
-    size = named.agg(F.count("*").alias("all"), F.max(F.length(F.array_join("words", ""))).alias("longest")).head()  # of the reference list
-    vocabulary = named.select("entry_id", F.explode(F.array_distinct("words")).alias("word"))
+    # The vocabulary. Surfaces are the entries' words and their adjacent words run together; model numbers have none.
+    size = listed.agg(F.count("*").alias("all"), F.max(F.length(F.array_join(F.filter("words", lambda w: ~is_model(w)), ""))).alias("longest")).head()  # of the reference list
+    vocabulary = listed.select("entry_id", numbered.alias("numbered"), F.explode(F.array_distinct("words")).alias("word"))
     weights = vocabulary.groupBy("word").agg(F.count("*").alias("df")).select("word", F.log1p(F.lit(size["all"]) / F.col("df")).alias("idf"))
-    postings = vocabulary.join(weights, "word").withColumn("norm", F.sum(_squared(F.col("idf"))).over(Window.partitionBy("entry_id"))).withColumn("needs", F.count("*").over(Window.partitionBy("entry_id")))
+    entry = Window.partitionBy("entry_id")
+    postings = vocabulary.join(weights, "word").withColumn("norm", F.sum(_squared(F.col("idf"))).over(entry)).withColumn("words", F.count("*").over(entry))
     starts = F.sequence(F.lit(1), F.size("words"))
     grams = F.flatten(F.transform(starts, lambda i: F.transform(starts, lambda n: F.slice("words", i, n))))
-    surfaces = named.select(F.explode(grams).alias("parts")).distinct().select(F.array_join("parts", "").alias("surface"), "parts")
+    surfaces = listed.select(numbered.alias("numbered"), F.explode(grams).alias("parts")).where(~F.exists("parts", is_model)).distinct().select("numbered", F.array_join("parts", "").alias("surface"), "parts")
 
-    written = distinct.where(~numbered).select("value", F.explode(F.array_distinct("words")).alias("word"))
-    tokens = written.select("word").distinct().select("word", _plain(F.col("word")).alias("plain")).where(F.length("plain").between(2, (size["longest"] or 0) + EDITS))
+    written = distinct.select("value", numbered.alias("numbered"), F.explode(F.array_distinct(F.filter("words", lambda w: ~is_model(w)))).alias("word"))
+    tokens = written.select("numbered", "word").distinct().select("numbered", "word", _plain(F.col("word")).alias("plain")).where(F.length("plain").between(2, (size["longest"] or 0) + EDITS))
     apart = F.levenshtein(F.col("plain"), F.col("surface"))
     letters = lambda c: F.array_sort(F.split(c, ""))
     near = (apart <= 1) & (F.length("surface") >= 3) | (apart <= EDITS) & ((F.length("surface") >= LONG) | (letters(F.col("plain")) == letters(F.col("surface"))))
     edited = (
-        tokens.select("word", "plain", F.explode(deletions(F.col("plain"))).alias("variant"))
-        .join(surfaces.select("surface", "parts", F.explode(deletions(F.col("surface"))).alias("variant")), "variant")
-        .select("word", "plain", "surface", "parts")
+        tokens.select("numbered", "word", "plain", F.explode(deletions(F.col("plain"))).alias("variant"))
+        .join(surfaces.select("numbered", "surface", "parts", F.explode(deletions(F.col("surface"))).alias("variant")), ["numbered", "variant"])
+        .select("numbered", "word", "plain", "surface", "parts")
         .distinct()
         .where(near | (apart == 0))
-        .select("word", "parts", apart.cast("double").alias("cost"), (1 - apart / F.greatest(F.length("plain"), F.length("surface"))).alias("likeness"))
+        .select("numbered", "word", "parts", apart.cast("double").alias("cost"), (1 - apart / F.greatest(F.length("plain"), F.length("surface"))).alias("likeness"))
     )
-    heads = surfaces.where(F.size("parts") == 1).select("parts", F.explode(F.transform(F.sequence(F.lit(3), F.greatest(F.lit(3), F.length("surface") - 1)), lambda n: F.substring(F.col("surface"), F.lit(1), n))).alias("plain"))
-    lone = heads.groupBy("plain").agg(F.count("*").alias("n"), F.first("parts").alias("parts")).where("n = 1")
-    cut = tokens.where(F.col("word").endswith(".") | (F.length("plain") >= 4)).join(lone, "plain").select("word", "parts", F.lit(EDITS + 0.5).alias("cost"), F.lit(0.8).alias("likeness"))
-    repairs = edited.unionByName(cut).withColumn("_r", F.rank().over(Window.partitionBy("word").orderBy("cost"))).where("_r = 1")
-    repaired = repairs.select("word", F.explode("parts").alias("part"), "likeness").groupBy("word", "part").agg(F.max("likeness").alias("likeness"))
-
-    held = written.join(repaired, "word").groupBy("value", F.col("part").alias("word")).agg(F.max("likeness").alias("likeness"))
-    soft = held.join(postings, "word").groupBy("value", "entry_id").agg(
-        (F.sum(F.col("likeness") * _squared(F.col("idf"))) / F.first("norm")).alias("score"), F.count("*").alias("met"), F.first("needs").alias("needs")
-    ).where("met = needs")
-    by_words = soft.select("value", "entry_id", "score", F.lit("ranking").alias("how"))
-    best = by_model.unionByName(by_words).groupBy("value").agg(F.max(F.struct("score", (-F.col("entry_id")).alias("minus"), "how")).alias("top"))
-    return best.select("value", (-F.col("top.minus")).alias("entry_id"), F.col("top.score").alias("score"), F.col("top.how").alias("how"))
+    heads = surfaces.where(F.size("parts") == 1).select("numbered", "parts", F.explode(F.transform(F.sequence(F.lit(3), F.greatest(F.lit(3), F.length("surface") - 1)), lambda n: F.substring(F.col("surface"), F.lit(1), n))).alias("plain"))
+    lone = heads.groupBy("numbered", "plain").agg(F.count("*").alias("n"), F.first("parts").alias("parts")).where("n = 1")
+    cut = tokens.where(F.col("word").endswith(".") | (F.length("plain") >= 4)).join(lone, ["numbered", "plain"]).select("numbered", "word", "parts", F.lit(EDITS + 0.5).alias("cost"), F.lit(0.8).alias("likeness"))
+    repairs = edited.unionByName(cut).withColumn("_r", F.rank().over(Window.partitionBy("numbered", "word").orderBy("cost"))).where("_r = 1")
+    repaired = repairs.select("numbered", "word", F.explode("parts").alias("part"), "likeness").groupBy("numbered", "word", "part").agg(F.max("likeness").alias("likeness"))
+
+    # Model numbers of the list, exactly as written.
+    models = weights.where(is_model(F.col("word"))).select("word")
+    exact = distinct.where(numbered).select("value", F.lit(True).alias("numbered"), F.explode(model_candidates(F.col("words"))).alias("word")).join(models, "word").select("value", "numbered", "word", F.lit(1.0).alias("likeness"))
+
+    held = written.join(repaired, ["numbered", "word"]).select("value", "numbered", F.col("part").alias("word"), "likeness").unionByName(exact)
+    held = held.groupBy("value", "numbered", "word").agg(F.max("likeness").alias("likeness"))
+    ranked = held.join(postings, ["numbered", "word"]).groupBy("value", "numbered", "entry_id").agg(
+        F.round(F.sum(F.col("likeness") * _squared(F.col("idf"))) / F.sqrt(F.first("norm")), 9).alias("score"),
+        F.count_if(is_model(F.col("word"))).alias("models"), F.count("*").alias("met"), F.first("words").alias("needs"),
+    )
+    checked = ranked.where(F.when(F.col("numbered"), F.col("models") > 0).otherwise(F.col("met") == F.col("needs")))
+    best = checked.groupBy("value").agg(F.max(F.struct("score", (-F.col("entry_id")).alias("minus"), "numbered")).alias("top"))
+    how = F.when(F.col("top.numbered"), "model").otherwise("ranking")
+    return best.select("value", (-F.col("top.minus")).alias("entry_id"), F.col("top.score").alias("score"), how.alias("how"))
 
 
 def map_to_entries(rows: DataFrame, entries: DataFrame, keep: list[str], value: str = "value") -> DataFrame:

@@ -30,6 +30,18 @@ def test_cases(spark):
     assert canonical_entries(df, entries.limit(0)).collect() == []
 
 
+def test_entries_are_ranked_by_all_their_words(spark):
+    """Values with a model number are repaired and ranked like others: words decide between entries that the number leaves."""
+    listed = [(1, "Velmark 3560"), (2, "Halbrook 6650 Gen2"), (3, "Sundrel 4100"), (4, "Marquell 4100"), (5, "Policy Engine"), (6, "Ironquay Policy Engine")]
+    entries = spark.createDataFrame(listed, "entry_id long, entry string")
+    cases = {
+        "Halbrok 6650 (was 3560)": 2, "Vlemark 3560 (was 6650)": 1, "Marquel-4100": 4, "Marq. 4100 switches": 4, "Sundrel 4100": 3, "4100": 3, "Marquell 4200": 0,
+        "Ironqauy Policy Engine": 6, "Policy Engine": 5, "Ironquay Engine": 0,
+    }
+    got = {r["value"]: r["entry_id"] for r in map_to_entries(spark.createDataFrame([(v,) for v in cases], "value string"), entries, []).collect()}
+    assert got == cases
+
+
 @pytest.mark.parametrize(("a", "b"), [("portal", "potral"), ("portal", "ortal"), ("portal", "pprtall"), ("engine", "engnie")])
 def test_near_words_share_a_variant(spark, a, b):
     row = spark.range(1).select(deletions(F.lit(a)).alias("a"), deletions(F.lit(b)).alias("b")).head()

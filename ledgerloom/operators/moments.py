@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerloom.session import cut_lineage
 
@@ -173,6 +174,9 @@ def _fits(family: str, order: str) -> np.ndarray:
 
 
 FITS = {f"{family} {order}": _fits(family, order) for family, _, orders in FAMILIES for order in orders}
+#: A named day that can be read with the year first only: an impossible date unless the source is in that order, which it can't tell.
+DOUBTFUL, YEAR_FIRST = "day name doubtful", FITS["day name ymd"]
+FITS[DOUBTFUL] = np.ones(len(STATES), dtype=bool)
 
 
 def times(here: list[Reading]) -> np.ndarray:
@@ -183,9 +187,9 @@ def times(here: list[Reading]) -> np.ndarray:
     return found
 
 
-def step_costs(before: np.ndarray | None, now: np.ndarray) -> np.ndarray:
+def step_costs(before: np.ndarray | None, now: np.ndarray, backward: float = BACKWARD) -> np.ndarray:
     """Cost of going from each state at one value to each state at the next one, given the times they read there."""
-    back = 0.0 if before is None else BACKWARD * (now[None, :] < before[:, None])
+    back = 0.0 if before is None else backward * (now[None, :] < before[:, None])
     return np.where(np.isinf(now)[None, :], np.inf, SWITCH * CHANGES + back)
 
 
@@ -196,9 +200,9 @@ class Stretch(NamedTuple):
     first: np.ndarray
     last: np.ndarray
 
-    def then(self, other: Stretch) -> Stretch:
+    def then(self, other: Stretch, backward: float = BACKWARD) -> Stretch:
         """This stretch and the one that follows it as one; the order of joining makes no difference."""
-        between = cheapest(self.costs, step_costs(self.last, other.first))
+        between = cheapest(self.costs, step_costs(self.last, other.first, backward))
         return Stretch(cheapest(between, other.costs), self.first, other.last)
 
 
@@ -213,7 +217,7 @@ def unit(now: np.ndarray) -> Stretch:
     return Stretch(costs, now, now)
 
 
-def best_states(parts: list[Stretch], enter: np.ndarray | None, leave: int | None) -> list[tuple[int, int]]:
+def best_states(parts: list[Stretch], enter: np.ndarray | None, leave: int | None, backward: float = BACKWARD) -> list[tuple[int, int]]:
     """The cheapest state at the first and the last value of each stretch. Ties go to the earlier state.
 
     enter: costs of the states at the first value (BEGIN if NULL); leave: the state at the last value, if it is settled.
@@ -222,7 +226,7 @@ def best_states(parts: list[Stretch], enter: np.ndarray | None, leave: int | Non
     to_go = np.zeros(len(STATES)) if leave is None else np.where(np.arange(len(STATES)) == leave, 0.0, np.inf)
     for i in range(len(parts) - 1, -1, -1):
         if i + 1 < len(parts):
-            to_go = (step_costs(parts[i].last, parts[i + 1].first) + ahead[-1][None, :]).min(axis=1)
+            to_go = (step_costs(parts[i].last, parts[i + 1].first, backward) + ahead[-1][None, :]).min(axis=1)
         ahead.append((parts[i].costs + to_go[None, :]).min(axis=1))
     ahead.reverse()
     chosen, costs = [], BEGIN if enter is None else enter
@@ -230,15 +234,15 @@ def best_states(parts: list[Stretch], enter: np.ndarray | None, leave: int | Non
         first = int(np.argmin(costs + ahead[i]))
         after = np.zeros(len(STATES)) if leave is None else np.where(np.arange(len(STATES)) == leave, 0.0, np.inf)
         if i + 1 < len(parts):
-            after = (step_costs(part.last, parts[i + 1].first) + ahead[i + 1][None, :]).min(axis=1)
+            after = (step_costs(part.last, parts[i + 1].first, backward) + ahead[i + 1][None, :]).min(axis=1)
         last = int(np.argmin(part.costs[first] + after))
         chosen.append((first, last))
         if i + 1 < len(parts):
-            costs = step_costs(part.last, parts[i + 1].first)[last]
+            costs = step_costs(part.last, parts[i + 1].first, backward)[last]
     return chosen
 
 
-def viterbi(rows: list[list[Reading]], enter: int | None = None, leave: int | None = None) -> list[Reading | None]:
+def viterbi(rows: list[list[Reading]], enter: int | None = None, leave: int | None = None, backward: float = BACKWARD) -> list[Reading | None]:
     """The cheapest choice of one reading per value: changes of an order within a family and jumps back in time cost.
 
     A source is in one order of every open family at any time, so a value that can be read in one order only speaks for
@@ -249,7 +253,7 @@ def viterbi(rows: list[list[Reading]], enter: int | None = None, leave: int | No
     places = [i for i, here in enumerate(rows) if here]
     if not places:
         return chosen
-    if all(len(rows[i]) == 1 for i in places):
+    if all(len(rows[i]) == 1 and rows[i][0].form != DOUBTFUL for i in places):
         for i in places:
             chosen[i] = rows[i][0]
         return chosen
@@ -258,7 +262,7 @@ def viterbi(rows: list[list[Reading]], enter: int | None = None, leave: int | No
             chosen[i] = rows[i][0]
     kept = events(rows, places)
     begin = None if enter is None else np.where(np.arange(len(STATES)) == enter, 0.0, np.inf)
-    for i, (state, _) in zip(kept, best_states([unit(times(rows[i])) for i in kept], begin, leave)):
+    for i, (state, _) in zip(kept, best_states([unit(times(rows[i])) for i in kept], begin, leave, backward)):
         chosen[i] = reading_in(rows[i], state)
     return chosen
 
@@ -278,17 +282,24 @@ def events(rows: list[list[Reading]], places: list[int]) -> list[int]:
     return [i for n, i in enumerate(places) if n in (0, last) or not (plain[n] and plain[n - 1] and plain[n + 1])]
 
 
-def reading_in(here: list[Reading], state: int) -> Reading:
+def reading_in(here: list[Reading], state: int) -> Reading | None:
     """The reading a state gives a value."""
+    if here[0].form == DOUBTFUL and not YEAR_FIRST[state]:
+        return None
     return next((r for r in here if FITS[r.form][state]), here[0])
 
 
+#: Families whose order a convention states; that of named days with a year of two digits is left open.
+SETTLED = ("slash", "point")
+
+
 def _readings_of(pdf: pd.DataFrame, stated: bool) -> list[list[Reading]]:
     american, plain = {"slash": "mdy"}, {"slash": "dmy"}
     zones = [z if z and z in ZONES else "UTC" for z in pdf["_zone"]]
     if not stated:
         return [readings(v, z, plain) for v, z in zip(pdf["_value"], zones)]
-    return [[r for r in readings(v, z, american if z.startswith("America") else plain) if r.usual] for v, z in zip(pdf["_value"], zones)]
+    found = [[r for r in readings(v, z, american if z.startswith("America") else plain) if r.usual or not r.form.startswith(SETTLED)] for v, z in zip(pdf["_value"], zones)]
+    return [[here[0]._replace(form=DOUBTFUL)] if len(here) == 1 and here[0].form == "day name ymd" else here for here in found]
 
 
 def _by_source(pdf: pd.DataFrame) -> dict[str, list[int]]:
@@ -298,18 +309,47 @@ def _by_source(pdf: pd.DataFrame) -> dict[str, list[int]]:
     return found
 
 
-def _summed(pdf: pd.DataFrame) -> pd.DataFrame:
+def _summed(pdf: pd.DataFrame, stated: bool = False, backward: dict[str, float] | None = None) -> pd.DataFrame:
     """One block of a table: for each of its sources the stretch of its values; sources without a readable value have none."""
     pdf = pdf.sort_values(["_order", "_value"], kind="stable")
-    parsed, out = _readings_of(pdf, False), []
+    parsed, out = _readings_of(pdf, stated), []
+    cost = (backward or {}).get(pdf["_table"].iat[0], BACKWARD)
     for source, places in _by_source(pdf).items():
         held = [i for i in places if parsed[i]]
         if held:
-            whole = reduce(Stretch.then, [unit(times(parsed[i])) for i in events(parsed, held)])
+            whole = reduce(lambda a, b: a.then(b, cost), [unit(times(parsed[i])) for i in events(parsed, held)])
             out.append((pdf["_table"].iat[0], source, pdf["_block"].iat[0], whole.costs.ravel(), whole.first, whole.last))
     return pd.DataFrame(out, columns=["_table", "_source", "_block", "costs", "first", "last"])
 
 
+def _steps(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One block of a table: for each of its sources the first and last time told by one reading, and how often the next is later or earlier."""
+    pdf = pdf.sort_values(["_order", "_value"], kind="stable")
+    parsed, out = _readings_of(pdf, True), []
+    for source, places in _by_source(pdf).items():
+        told = np.array([parsed[i][0].at for i in places if len(parsed[i]) == 1 and parsed[i][0].form != DOUBTFUL])
+        if len(told):
+            out.append((pdf["_table"].iat[0], source, pdf["_block"].iat[0], told[0], told[-1], int((np.diff(told) > 0).sum()), int((np.diff(told) < 0).sum())))
+    return pd.DataFrame(out, columns=["_table", "_source", "_block", "first", "last", "forth", "back"])
+
+
+def jump_costs(rows: DataFrame) -> dict[str, float]:
+    """What a jump back in time costs in each table: BACKWARD if its records stand in order of time, 0 if in none.
+
+    Told by all values that have one reading: by how much more of them are later than the one before than earlier, beyond
+    three standard errors. In steps of 2^-10, so that sums of costs are exact in any order.
+    """
+    steps = rows.groupBy("_table", "_block").applyInPandas(_steps, "_table string, _source string, _block long, first double, last double, forth long, back long")
+    before = F.lag("last").over(Window.partitionBy("_table", "_source").orderBy("_block"))
+    steps = steps.withColumn("_edge", F.coalesce(F.signum(F.col("first") - before), F.lit(0.0)))
+    sums = steps.groupBy("_table").agg(F.sum(F.col("forth") + (F.col("_edge") > 0).cast("long")).alias("forth"), F.sum(F.col("back") + (F.col("_edge") < 0).cast("long")).alias("back"))
+    found = {}
+    for r in sums.collect():  # one row per table
+        n = max(1, r["forth"] + r["back"])
+        found[r["_table"]] = round(1024 * BACKWARD * max(0.0, (r["forth"] - r["back"]) / n - 3 / n**0.5)) / 1024
+    return found
+
+
 def _groups(batches: Iterator[pd.DataFrame], keys: int) -> Iterator[list[tuple]]:
     """Rows that agree in their first `keys` columns, from batches of a partition sorted by these."""
     held: list[tuple] = []
@@ -332,19 +372,20 @@ def _frames(rows: Iterator[tuple], columns: list[str], size: int = 5_000) -> Ite
         yield pd.DataFrame(part, columns=columns)
 
 
-def settled_blocks(summed: DataFrame, run: int = 1_000) -> DataFrame:
+def settled_blocks(summed: DataFrame, run: int = 1_000, backward: dict[str, float] | None = None) -> DataFrame:
     """_table, _source, _block, enter, leave: the states of each source at the first and the last value of each block.
 
     summed holds a stretch for every source and block. Runs of `run` blocks are joined to one stretch each, the ends of
     runs are settled over a source's runs, and then the ends of blocks within each run. So what one step holds is a
     thousandth, or a millionth, of what a block sums up, and the result is that of one pass over all records.
     """
+    costs = backward or {}
     held = summed.select("_table", "_source", F.floor(F.col("_block") / run).alias("_run"), "_block", "costs", "first", "last")
 
     def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows() -> Iterator[tuple]:
             for group in _groups(batches, 3):
-                whole = reduce(Stretch.then, (_stretch(*r[4:7]) for r in group))
+                whole = reduce(lambda a, b: a.then(b, costs.get(group[0][0], BACKWARD)), (_stretch(*r[4:7]) for r in group))
                 yield *group[0][:3], whole.costs.ravel(), whole.first, whole.last
 
         yield from _frames(rows(), ["_table", "_source", "_run", "costs", "first", "last"])
@@ -352,7 +393,7 @@ def settled_blocks(summed: DataFrame, run: int = 1_000) -> DataFrame:
     def over_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows() -> Iterator[tuple]:
             for group in _groups(batches, 2):
-                ends = best_states([_stretch(*r[3:6]) for r in group], None, None)
+                ends = best_states([_stretch(*r[3:6]) for r in group], None, None, costs.get(group[0][0], BACKWARD))
                 yield from ((*r[:3], *e) for r, e in zip(group, ends))
 
         yield from _frames(rows(), ["_table", "_source", "_run", "enter", "leave"])
@@ -361,7 +402,7 @@ def settled_blocks(summed: DataFrame, run: int = 1_000) -> DataFrame:
         def rows() -> Iterator[tuple]:
             for group in _groups(batches, 3):
                 begin = np.where(np.arange(len(STATES)) == group[0][7], 0.0, np.inf)
-                ends = best_states([_stretch(*r[4:7]) for r in group], begin, int(group[0][8]))
+                ends = best_states([_stretch(*r[4:7]) for r in group], begin, int(group[0][8]), costs.get(group[0][0], BACKWARD))
                 yield from ((r[0], r[1], r[3], *e) for r, e in zip(group, ends))
 
         yield from _frames(rows(), ["_table", "_source", "_block", "enter", "leave"])
@@ -381,9 +422,10 @@ def normalise_moments(
 
     All valid readings of a value are taken, and one path through them is chosen for each source over its records in their
     order. With stated=True, conventions settle what is valid: slashed days are month first where the zone starts with
-    America, else day first; with points and with month names, day first. Then no value has two readings, and one that
-    is impossible under its convention is not readable. With stated=False the order of parts is not known: Viterbi finds
-    it from the values that can be read in one order only, from changes of order and from jumps back in time.
+    America, else day first; with points, day first; one that is impossible under its convention is not readable. Whether
+    the day or the year of two digits comes first with a named month, no convention says. With stated=False no order of
+    parts is known. Viterbi finds what is open from the values that can be read in one order only, from changes of order
+    and from jumps back in time; with stated=True these cost what `jump_costs` finds them to tell in a table.
 
     Records are read in blocks of `block_rows` consecutive order numbers, a bound on what one task holds whatever the
     source's share of the rows; blocks are summed up and joined, so that the result does not depend on them.
@@ -398,22 +440,26 @@ def normalise_moments(
     rows = rows.withColumn("_block", F.floor(F.coalesce(F.col("_order"), F.xxhash64("_value")) / block_rows))
     schema = "_table string, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema) + ", moment string"
 
-    def choose(pdf: pd.DataFrame, ends: pd.DataFrame | None) -> pd.DataFrame:
+    backward = jump_costs(rows) if stated else {}
+
+    def choose(pdf: pd.DataFrame, ends: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["_order", "_value"], kind="stable")
-        parsed = _readings_of(pdf, ends is None)
-        at = {} if ends is None else {s: (a, b) for s, a, b in zip(ends["_source"], ends["enter"], ends["leave"])}
+        parsed = _readings_of(pdf, stated)
+        at = {s: (a, b) for s, a, b in zip(ends["_source"], ends["enter"], ends["leave"])}
         moments: list = [None] * len(parsed)
         for s, places in _by_source(pdf).items():
-            for i, r in zip(places, viterbi([parsed[i] for i in places], *at.get(s, ()))):
+            cost = backward.get(pdf["_table"].iat[0], BACKWARD)
+            for i, r in zip(places, viterbi([parsed[i] for i in places], *at.get(s, (None, None)), cost)):
                 if r is not None:
                     moments[i] = r.moment
         out = pdf[["_table", *keep]].assign(moment=moments)
         return out[out["moment"].notna()]
 
-    if stated:
-        found = rows.groupBy("_table", "_block").applyInPandas(lambda pdf: choose(pdf, None), schema)
-    else:
-        summed = cut_lineage(rows.groupBy("_table", "_block").applyInPandas(_summed, "_table string, _source string, _block long, costs array<double>, first array<double>, last array<double>"))
-        ends = settled_blocks(summed)
-        found = rows.groupBy("_table", "_block").cogroup(ends.groupBy("_table", "_block")).applyInPandas(lambda pdf, ends: choose(pdf, ends), schema)
+    summed = cut_lineage(
+        rows.groupBy("_table", "_block").applyInPandas(
+            lambda pdf: _summed(pdf, stated, backward), "_table string, _source string, _block long, costs array<double>, first array<double>, last array<double>"
+        )
+    )
+    ends = settled_blocks(summed, backward=backward)
+    found = rows.groupBy("_table", "_block").cogroup(ends.groupBy("_table", "_block")).applyInPandas(choose, schema)
     return found.withColumnRenamed("_table", "source_table")

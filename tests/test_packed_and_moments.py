@@ -205,6 +205,21 @@ def test_orders_are_found_alike_in_blocks_of_any_size(spark, block):
     assert right >= 0.9 * len(open_ones) and fixed < 0.8 * right
 
 
+@pytest.mark.parametrize("block", [7, 20_000])
+def test_what_conventions_leave_open_is_found_by_the_record_order(spark, block):
+    """Named days with the year first, in order of time in one table, and in no order, with the day first, in the other."""
+    rng, held = random.Random(5), []
+    for name, form in (("timed", "%y-%b-%d"), ("mixed", "%d-%b-%y")):
+        days = [dt.date(2012, 1, 10) + dt.timedelta(days=4 * i) for i in range(400)]
+        if name == "mixed":
+            rng.shuffle(days)
+        held += [(name, 2 * i + 1, "31-Feb-21", "2031-02-21" if name == "timed" else None) for i in (7, 200)]  # impossible with the day first
+        held += [(name, 2 * i, d.strftime(form if d.day > 9 and i % 5 < 3 else "%d/%m/%Y"), d.isoformat()) for i, d in enumerate(days)]
+    df = spark.createDataFrame(held, "t string, row_id long, w string, want string")
+    found = normalise_moments(df, F.col("t"), F.lit("s"), F.col("row_id"), F.col("w"), F.lit("UTC"), ["row_id"], block_rows=block)
+    assert {(r["source_table"], r["row_id"]): r["moment"] for r in found.collect()} == {(t, i): want for t, i, _, want in held if want}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.datetimes(dt.datetime(1980, 1, 1), dt.datetime(2060, 1, 1)), st.sampled_from(["%Y-%m-%d %H:%M:%S", "%d-%b-%Y %H:%M:%S", "%d.%m.%Y %H:%M:%S", "%a, %d %b %Y %H:%M:%S GMT", "%Y%m%dT%H%M%SZ"]))
 def test_written_and_read_again(moment, form):

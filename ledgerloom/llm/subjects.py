@@ -6,17 +6,19 @@ term can be trusted in this corpus, and what further words and pairs of words te
 
 from __future__ import annotations
 
+import pickle
 import re
-from bisect import bisect_right
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 from math import log1p
 from typing import NamedTuple
 
 import ahocorasick
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,8 @@ SENTENCE = 1.0
 ROUNDS, _SEEDING = 5, {0: 2.0, 1: 1.0}
 #: Labelled documents that are held as one row of numbers.
 CHUNK_DOCS = 500
+#: Characters and sentences, about, that are worked on at a time.
+SLICE_CHARS, SLICE_SENTENCES = 1 << 20, 1 << 17
 #: Documents a learned term must occur in at least (a curated one thrice as many to be weighed anew); the share of its sentences that must be about its subject
 #: for it to count alone and in company; weights of both kinds.
 LEARN_LEAST, LEARN_ALONE, LEARN_COMPANY = 3, 0.95, 0.7
@@ -43,24 +47,29 @@ Subjects = tuple[tuple[int, str, str], ...]
 
 _INVISIBLE = re.compile("[\u00ad\u200b-\u200d\u2060\ufeff]")
 _PARAGRAPH = re.compile(r"\n[ \t\r\xa0]*\n\s*")
-_DIGITS = re.compile(r"\d+(?:[./:]\d+)*")
+_DIGITS, _ASCII_DIGITS = re.compile(r"\d\d*(?:[./:]\d+)*"), "[0-9]+(?:[./:][0-9]+)*"
 _STOP = re.compile("[.!?]")
 _END = re.compile(r"[.!?][\"'”»)]*(?= )")
 _MARKS = re.compile("[.,;:!?()\\[\\]{}<>|*_\"'“”„‘’«»`~…–—•]")
+_ASCII_BLANKED = bytes(ord(" ") if _MARKS.match(chr(i)) else i for i in range(256))
 
 
-def plain_text(text: str) -> tuple[str, list[int]]:
-    """Lower-case text with numbers as #, single blanks and paragraphs parted, and where each sentence ends in it.
+def _lowered(texts: Iterable[str]) -> list[str]:
+    """Lower-case texts with numbers as #; those in ASCII all at once by Arrow, where no other digits need to be told."""
+    low = [(text if text.isascii() else _INVISIBLE.sub("", text)).lower().replace("\r\n", "\n") for text in texts]
+    plain = [i for i, text in enumerate(low) if text.isascii()]
+    for i, text in zip(plain, pc.replace_substring_regex(pa.array([low[i] for i in plain], pa.string()), _ASCII_DIGITS, "#").to_pylist()):
+        low[i] = text
+    return [text if text.isascii() else _DIGITS.sub("#", text) for text in low]
 
-    Paragraphs without a full stop, such as headings and page numbers, hold no sentence; their terms count nowhere.
-    """
-    if not text.isascii():
-        text = _INVISIBLE.sub("", text)
+
+def _sentences(lowered: str) -> tuple[str, list[int]]:
     parts, ends, at = [], [], 0
-    for paragraph in _PARAGRAPH.split(_DIGITS.sub("#", text.lower().replace("\r\n", "\n"))):
+    for paragraph in _PARAGRAPH.split(lowered):
         if not _STOP.search(paragraph):
             continue
-        line = f" {' '.join(paragraph.split())} "
+        # what can be printed has no white space but blanks
+        line = f" {paragraph.strip(' ')} " if paragraph.isprintable() and "  " not in paragraph else f" {' '.join(paragraph.split())} "
         found = [at + m.end() for m in _END.finditer(line)]
         if found:
             parts.append(line)
@@ -69,6 +78,18 @@ def plain_text(text: str) -> tuple[str, list[int]]:
     return "".join(parts), ends
 
 
+def plain_text(text: str) -> tuple[str, list[int]]:
+    """Lower-case text with numbers as #, single blanks and paragraphs parted, and where each sentence ends in it.
+
+    Paragraphs without a full stop, such as headings and page numbers, hold no sentence; their terms count nowhere.
+    """
+    return _sentences(_lowered([text])[0])
+
+
+def _unmarked(plain: str) -> str:
+    return plain.encode().translate(_ASCII_BLANKED).decode() if plain.isascii() else _MARKS.sub(" ", plain)
+
+
 def curated_terms(subjects: Subjects) -> tuple[Term, ...]:
     """The lexicon's terms of the subjects; one without a curated list has the words of its own name and description."""
     found: list[Term] = []
@@ -81,6 +102,62 @@ def curated_terms(subjects: Subjects) -> tuple[Term, ...]:
     return tuple(dict.fromkeys(found))
 
 
+def _ints(values: Sequence[int]) -> np.ndarray:
+    return np.asarray(values, dtype=np.int64)
+
+
+def _spread(sizes: Sequence[int]) -> np.ndarray:
+    """The number of its group for each of the members, given the sizes of groups."""
+    return np.repeat(np.arange(len(sizes)), _ints(sizes))
+
+
+def _slices(sizes: Sequence[int], most: int) -> Iterator[slice]:
+    """Slices of members that follow one another, of about `most` in all or a single member each."""
+    start, held = 0, 0
+    for i, size in enumerate(sizes):
+        if held and held + size > most:
+            yield slice(start, i)
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield slice(start, len(sizes))
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """In order, each once; np.unique tells integers apart by a hash table, which takes far longer on these."""
+    values = np.sort(values)
+    return values[np.diff(values, prepend=values[:1] - 1) > 0]
+
+
+def _lists(values: np.ndarray, sizes: Sequence[int]) -> pa.ListArray:
+    """A column of lists of these sizes."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(_ints(sizes))]), pa.int32()), pa.array(values, pa.int32()))
+
+
+def flat_texts(texts: Iterable[str | None]) -> tuple[str, np.ndarray, np.ndarray]:
+    """Texts in one without marks, each up to the end of its last sentence; where sentences end; how many each text has.
+
+    A sentence ends in a mark, now a blank, and the next begins with a blank, so what holds single blanks is within one.
+    """
+    parts, ends, counts = [], [], []
+    for lowered in _lowered(text or "" for text in texts):
+        plain, found = _sentences(lowered)
+        if found:
+            parts.append(_unmarked(plain[: found[-1]]))
+            ends += found
+        counts.append(len(found))
+    number, length = _ints(counts), _ints([len(p) for p in parts])
+    return "".join(parts), _ints(ends) + np.repeat(np.cumsum(length) - length, number[number > 0]), number
+
+
+class Hits(NamedTuple):
+    """The number of sentences of each text; by sentence and number the terms in them, each once a sentence."""
+
+    sentences: np.ndarray
+    sent: np.ndarray
+    term: np.ndarray
+
+
 class Lexicon:
     """Weighted terms of all subjects in one automaton."""
 
@@ -90,32 +167,37 @@ class Lexicon:
         places: dict[str, list[int]] = defaultdict(list)
         for number, (_, _, term) in enumerate(terms):
             places[term].append(number)
-        for term, numbers in places.items():
-            self.automaton.add_word(term, tuple(numbers))
+        self.sizes, self.numbers = _ints([len(n) for n in places.values()]), _ints([*chain.from_iterable(places.values())])
+        self.firsts = np.cumsum(self.sizes) - self.sizes
+        for place, term in enumerate(places):
+            self.automaton.add_word(term, place)
         if places:
             self.automaton.make_automaton()
 
+    def hits(self, flat: str, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sentence and number of each term in texts as `flat_texts` gives them, each once a sentence."""
+        if not len(ends) or not self.terms:
+            return _ints([]), _ints([])
+        end, place = np.fromiter(chain.from_iterable(self.automaton.iter(flat)), dtype=np.int64).reshape(-1, 2).T
+        size = self.sizes[place]
+        number = self.numbers[np.arange(size.sum()) + np.repeat(self.firsts[place] - np.cumsum(size) + size, size)]
+        return np.divmod(_distinct(np.repeat(np.searchsorted(ends, end, "right"), size) * len(self.terms) + number), len(self.terms))
+
+    def read(self, texts: Sequence[str | None]) -> Hits:
+        counts, sents, numbers, before = [_ints([])], [_ints([])], [_ints([])], 0
+        for part in _slices([len(t or "") for t in texts], SLICE_CHARS):
+            flat, ends, count = flat_texts(texts[part])
+            sent, number = self.hits(flat, ends)
+            counts.append(count)
+            sents.append(sent + before)
+            numbers.append(number)
+            before += len(ends)
+        return Hits(np.concatenate(counts), np.concatenate(sents), np.concatenate(numbers))
+
     def sentences(self, text: str | None) -> tuple[int, list[tuple[int, ...]]]:
         """The number of sentences, and for each sentence with terms their numbers, each once."""
-        if not text:
-            return 0, []
-        plain, ends = plain_text(text)
-        if not ends or not self.terms:
-            return len(ends), []
-        found, held, at, stop = [], set(), 0, ends[0]
-        for end, numbers in self.automaton.iter(_MARKS.sub(" ", plain)):
-            if end >= stop:
-                if held:
-                    found.append(tuple(sorted(held)))
-                    held = set()
-                at = bisect_right(ends, end, at)
-                if at == len(ends):
-                    break
-                stop = ends[at]
-            held.update(numbers)
-        if held:
-            found.append(tuple(sorted(held)))
-        return len(ends), found
+        hits = self.read([text])
+        return int(hits.sentences[0]), [tuple(s.tolist()) for s in np.split(hits.term, np.flatnonzero(np.diff(hits.sent)) + 1) if len(s)]
 
 
 @lru_cache(maxsize=4)
@@ -123,22 +205,16 @@ def lexicon_of(terms: tuple[Term, ...]) -> Lexicon:
     return Lexicon(terms)
 
 
-def _features(sentence: str) -> set[str]:
-    """The words and pairs of adjacent words of a sentence without marks; marks part pairs."""
-    found = set()
-    for part in sentence.split("  "):
-        words = part.split()
-        found.update(f" {w} " for w in words)
-        found.update(f" {a} {b} " for a, b in zip(words, words[1:]))
-    return found
-
-
 class Read(NamedTuple):
-    """The sentences of documents as arrays: for each its document and that one's labels, its features and curated terms."""
+    """The sentences of documents as arrays: for each its document and that one's labels, its features and curated terms.
+
+    Features go by their place among those of the documents at hand, so that work on them does not grow with all others.
+    """
 
     doc: np.ndarray
     labels: np.ndarray  # one row per sentence: the number of labels, and 1 for each subject labelled
-    sent: np.ndarray  # sentence and number of each feature it holds, in the order of numbers
+    places: np.ndarray  # numbers of the features, in order
+    sent: np.ndarray  # sentence and place in `places` of each feature it holds, in order
     feat: np.ndarray
     hit_sent: np.ndarray  # the same for curated terms
     hit: np.ndarray
@@ -156,43 +232,44 @@ class Counted(NamedTuple):
     labelled: np.ndarray
 
 
-def _marked(text: str | None, lexicon: Lexicon) -> tuple[list[str], list[list[int]]]:
-    """The sentences of a text without marks, and for each the numbers of the terms in it."""
-    plain, ends = plain_text(text or "")
-    flat, start, words, hits = _MARKS.sub(" ", plain), 0, [], []
-    for end in ends:
-        words.append(flat[start:end] + " ")
-        hits.append(sorted({t for _, numbers in lexicon.automaton.iter(words[-1]) for t in numbers}) if lexicon.terms else [])
-        start = end
-    return words, hits
-
-
 def chunk_of(texts: Iterable[str | None], labelled: Iterable[Iterable[int]], lexicon: Lexicon) -> dict:
-    """Documents as flat lists: `features` they hold, and by place in it those of each sentence; curated terms; labels."""
-    number: dict[str, int] = {}
-    chunk: dict[str, list] = {c: [] for c in ("feats", "sizes", "hits", "hit_sizes", "sentences", "labels", "label_sizes")}
-    for text, subjects in zip(texts, labelled):
-        words, hits = _marked(text, lexicon)
-        for sentence, terms in zip(words, hits):
-            held = [number.setdefault(f, len(number)) for f in _features(sentence)]
-            chunk["feats"] += held
-            chunk["sizes"].append(len(held))
-            chunk["hits"] += terms
-            chunk["hit_sizes"].append(len(terms))
-        chunk["sentences"].append(len(words))
-        subjects = list(map(int, subjects))
-        chunk["labels"] += subjects
-        chunk["label_sizes"].append(len(subjects))
-    return {"features": list(number), **chunk}
-
-
-def _ints(values: Sequence[int]) -> np.ndarray:
-    return np.asarray(values, dtype=np.int64)
-
+    """Documents as flat lists: `features` they hold, and by place in it those of each sentence; curated terms; labels.
 
-def _spread(sizes: Sequence[int]) -> np.ndarray:
-    """The number of its group for each of the members, given the sizes of groups."""
-    return np.repeat(np.arange(len(sizes)), _ints(sizes))
+    Features are the words and pairs of adjacent words of a sentence without marks; marks part pairs.
+    """
+    flat, ends, count = flat_texts(texts)
+    tokens = flat.split(" ")  # an empty one stands for each blank beyond the first
+    number: dict[str, int] = defaultdict()
+    number.default_factory = number.__len__
+    number[""] = 0
+    word = np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens))
+    size = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    sent = np.searchsorted(ends, np.cumsum(size + 1) - size - 1, "right")
+    names, first = list(number), np.flatnonzero((word[:-1] > 0) & (word[1:] > 0))
+    pairs, pair = np.unique(word[first] * len(names) + word[first + 1], return_inverse=True)
+    features = [f" {w} " for w in names[1:]] + [f" {names[a]} {names[b]} " for a, b in zip(*(x.tolist() for x in np.divmod(pairs, len(names))))]
+    held, width = np.flatnonzero(word), max(1, len(features))
+    sent, feat = np.divmod(_distinct(np.concatenate([sent[held] * width + word[held] - 1, sent[first] * width + len(names) - 1 + pair])), width)
+    hit_sent, hit = lexicon.hits(flat, ends)
+    labels = [list(map(int, subjects)) for subjects in labelled]
+    return {
+        "features": features, "feats": feat, "sizes": np.bincount(sent, minlength=len(ends)), "hits": hit, "hit_sizes": np.bincount(hit_sent, minlength=len(ends)),
+        "sentences": count, "labels": _ints([*chain.from_iterable(labels)]), "label_sizes": _ints([len(x) for x in labels]),
+    }
+
+
+def _packed(chunk: dict) -> pa.BinaryArray:
+    """All arrays of a chunk as one value, which costs the JVM nothing; each as narrow as its numbers allow."""
+    narrow = {name: x.astype(np.min_scalar_type(x.max(initial=0))) if x.min(initial=0) >= 0 else x for name, x in chunk.items() if name != "features"}
+    return pa.array([pickle.dumps(narrow, protocol=pickle.HIGHEST_PROTOCOL)], pa.binary())
+
+
+def _unpacked(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+    """The chunks of batches; features stay an Arrow array."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            features = {"features": batch.column("features")[i].values} if "features" in batch.schema.names else {}
+            yield {**features, **pickle.loads(batch.column("numbers")[i].as_py())}
 
 
 def _tags(chunk: dict, column: dict[int, int]) -> np.ndarray:
@@ -205,26 +282,29 @@ def _tags(chunk: dict, column: dict[int, int]) -> np.ndarray:
     return tags
 
 
-def tally(chunk: dict, column: dict[int, int]) -> tuple[list[str], np.ndarray]:
-    """Features, '' for documents themselves, with the number of documents, of those with each label, and of sentences."""
+def tally(chunk: dict, column: dict[int, int]) -> np.ndarray:
+    """For documents themselves, then each feature, the number of documents, of those with each label, and of sentences."""
     tags, feat, n, docs = _tags(chunk, column), _ints(chunk["feats"]), len(chunk["features"]), len(chunk["sentences"])
     tags[:, 0] = 1.0
-    pair_feat, pair_doc = np.divmod(np.unique(feat * docs + _spread(chunk["sentences"])[_spread(chunk["sizes"])]), docs)
+    pair_feat, pair_doc = np.divmod(_distinct(feat * docs + _spread(chunk["sentences"])[_spread(chunk["sizes"])]), max(1, docs))
     rows = np.stack([*(np.bincount(pair_feat, tags[pair_doc, c], n) for c in range(tags.shape[1])), np.bincount(feat, minlength=n)], axis=1)
-    return ["", *chunk["features"]], np.vstack([[*tags.sum(axis=0), len(chunk["sizes"])], rows])
+    return np.vstack([[*tags.sum(axis=0), len(chunk["sizes"])], rows])
 
 
-def numbered(chunk: dict, number: dict[str, int]) -> dict:
-    """A chunk with the features that are numbered, by their numbers, in order within each sentence."""
-    place = _ints([number.get(f, -1) for f in chunk["features"]])
-    feat, sent, size = place[_ints(chunk["feats"])], _spread(chunk["sizes"]), max(1, len(number))
+def numbered(chunk: dict, number: np.ndarray) -> dict:
+    """A chunk with those features only that are numbered, others have -1; `places` are their numbers, in order."""
+    kept = np.flatnonzero(number >= 0)
+    kept = kept[np.argsort(number[kept])]
+    rank = np.full(len(number), -1)
+    rank[kept] = np.arange(len(kept))
+    feat, sent, size = rank[_ints(chunk["feats"])], _spread(chunk["sizes"]), max(1, len(kept))
     sent, feat = np.divmod(np.sort((sent * size + feat)[feat >= 0]), size)
-    return {**{c: v for c, v in chunk.items() if c != "features"}, "feats": feat, "sizes": np.bincount(sent, minlength=len(chunk["sizes"]))}
+    return {**{c: v for c, v in chunk.items() if c != "features"}, "places": number[kept], "feats": feat, "sizes": np.bincount(sent, minlength=len(chunk["sizes"]))}
 
 
 def read_of(chunk: dict, column: dict[int, int]) -> Read:
     doc = _spread(chunk["sentences"])
-    return Read(doc, _tags(chunk, column)[doc], _spread(chunk["sizes"]), _ints(chunk["feats"]), _spread(chunk["hit_sizes"]), _ints(chunk["hits"]))
+    return Read(doc, _tags(chunk, column)[doc], _ints(chunk["places"]), _spread(chunk["sizes"]), _ints(chunk["feats"]), _spread(chunk["hit_sizes"]), _ints(chunk["hits"]))
 
 
 def counted_of(features: list[str], sums: np.ndarray) -> Counted:
@@ -254,20 +334,21 @@ def expected(read: Read, lift: np.ndarray, terms: tuple[Term, ...], place: np.nd
     n, width = read.labels.shape
     prior = 0.05 / max(1, width - 1) + read.labels * (0.4 / np.maximum(1.0, read.labels[:, :1]))
     prior[:, 0] = np.maximum(0.05, 1 - prior[:, 1:].sum(axis=1))
-    score = np.log(prior)
+    score, near = np.log(prior), lift[:, read.places]
     if seeding:
         weights = np.array([w for _, w, _ in terms])
         seed = np.bincount(read.hit_sent * width + place[read.hit], weights[read.hit], n * width).reshape(n, width)
         score += seeding * ((seed >= SENTENCE) & (seed >= seed.max(axis=1, keepdims=True)))
     for c in range(1, width):
-        score[:, c] += 0.5 * np.bincount(read.sent, lift[c][read.feat], n)
+        score[:, c] += 0.5 * np.bincount(read.sent, near[c][read.feat], n)
     share = np.exp(score - score.max(axis=1, keepdims=True))
     share /= share.sum(axis=1, keepdims=True)
     return np.round(share * 2**20) / 2**20
 
 
-def by_feature(read: Read, share: np.ndarray, size: int) -> np.ndarray:
-    return np.stack([np.bincount(read.feat, share[read.sent, c], size) for c in range(share.shape[1])], axis=1)
+def by_feature(read: Read, share: np.ndarray) -> np.ndarray:
+    """For each feature of `read.places` how many of its sentences are in each class."""
+    return np.stack([np.bincount(read.feat, share[:, c][read.sent], len(read.places)) for c in range(share.shape[1])], axis=1)
 
 
 def _classes(terms: tuple[Term, ...]) -> tuple[list[int], dict[int, int], np.ndarray]:
@@ -288,14 +369,15 @@ def fit_terms(texts: list[str | None], labelled: list[set[int]], terms: tuple[Te
     """
     _, column, place = _classes(terms)
     chunk = chunk_of(texts, labelled, lexicon_of(terms))
-    if not chunk["sizes"]:
+    if not len(chunk["sizes"]):
         return list(terms)
-    counted = counted_of(*tally(chunk, column))
-    read = read_of(numbered(chunk, {f: i for i, f in enumerate(counted.names)}), column)
-    lift = first_lift(counted)
+    counted = counted_of(["", *chunk["features"]], tally(chunk, column))
+    number = {f: i for i, f in enumerate(counted.names)}
+    read = read_of(numbered(chunk, _ints([number.get(f, -1) for f in chunk["features"]])), column)
+    lift, counts = first_lift(counted), np.zeros((len(counted.names), len(column) + 1))
     for turn in range(rounds + 1):
         share = expected(read, lift, terms, place, _SEEDING.get(turn, 0.0))
-        counts = by_feature(read, share, len(counted.names))
+        counts[read.places] = by_feature(read, share)
         lift = next_lift(counts, counted)
     return supported(terms, counted, counts, *by_term(read, share, place).T)
 
@@ -304,7 +386,7 @@ def by_term(read: Read, share: np.ndarray, place: np.ndarray) -> np.ndarray:
     """For each curated term the sentences and documents that hold it, and how many of the sentences are about its subject."""
     seen = np.bincount(read.hit, minlength=len(place))
     about = np.bincount(read.hit, share[read.hit_sent, place[read.hit]], len(place))
-    pairs = np.unique(read.doc[read.hit_sent] * max(1, len(place)) + read.hit)
+    pairs = _distinct(read.doc[read.hit_sent] * max(1, len(place)) + read.hit)
     return np.stack([seen, np.bincount(pairs % max(1, len(place)), minlength=len(place)), about], axis=1)
 
 
@@ -346,55 +428,57 @@ def learned_terms(documents: DataFrame, labels: DataFrame, terms: tuple[Term, ..
     clean = cut_lineage(labels.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("doc_id")).agg(F.collect_set(F.col(subject_id).cast("long")).alias("subjects")))
     known = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(clean, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("subjects").alias("subjects"))
 
-    def parted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = lexicon_of(terms)
         for batch in batches:
-            for at in range(0, len(batch), CHUNK_DOCS):
-                part = batch.iloc[at : at + CHUNK_DOCS]
-                yield pd.DataFrame([chunk_of(part["text"], part["subjects"], lexicon)])
+            for at in range(0, batch.num_rows, CHUNK_DOCS):
+                part = batch.slice(at, CHUNK_DOCS)
+                chunk = chunk_of(part.column("text").to_pylist(), part.column("subjects").to_pylist(), lexicon)
+                yield pa.RecordBatch.from_arrays([pa.array([chunk["features"]], pa.list_(pa.string())), _packed(chunk)], names=["features", "numbers"])
 
-    kept = "feats array<int>, sizes array<int>, hits array<int>, hit_sizes array<int>, sentences array<int>, labels array<long>, label_sizes array<int>"
-    chunks = cut_lineage(known.mapInPandas(parted, f"features array<string>, {kept}"))
+    chunks = cut_lineage(known.select("text", "subjects").mapInArrow(parted, "features array<string>, numbers binary"))
     columns = ["docs", *(f"c{i}" for i in range(1, width)), "uses"]
 
-    def tallied(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for chunk in batch.to_dict("records"):
-                features, part = tally(chunk, column)
-                yield pd.DataFrame(part, columns=columns).assign(feature=features)
+    def tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in _unpacked(batches):
+            features = pa.concat_arrays([pa.array([""]), chunk["features"]])
+            yield pa.RecordBatch.from_arrays([*map(pa.array, tally(chunk, column).T), features], names=[*columns, "feature"])
 
-    sums = chunks.mapInPandas(tallied, ", ".join(f"{c} double" for c in columns) + ", feature string").groupBy("feature")
+    sums = chunks.mapInArrow(tallied, ", ".join(f"{c} double" for c in columns) + ", feature string").groupBy("feature")
     rows = sums.agg(*(F.sum(c).alias(c) for c in columns)).where((F.col("docs") >= LEARN_LEAST) | (F.col("feature") == "")).toArrow().to_pandas()
     counted = counted_of(list(rows["feature"]), rows[columns].to_numpy(dtype=float))
     if not counted.sentences:
         return terms
-    vocabulary = spark.sparkContext.broadcast({f: i for i, f in enumerate(counted.names)})
+    vocabulary = spark.sparkContext.broadcast(pa.array(counted.names, pa.string()))
 
-    def renumbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def renumbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pd.DataFrame([numbered(chunk, vocabulary.value) for chunk in batch.to_dict("records")])
+            features = batch.column("features")
+            number, last = pc.fill_null(pc.index_in(features.flatten(), vocabulary.value), -1).to_numpy(), np.cumsum(_ints(features.value_lengths()))
+            for chunk, end in zip(_unpacked([batch]), last):
+                yield pa.RecordBatch.from_arrays([_packed(numbered(chunk, number[end - len(chunk["features"]) : end]))], names=["numbers"])
 
-    numbers = cut_lineage(chunks.mapInPandas(renumbered, kept))
+    numbers = cut_lineage(chunks.mapInArrow(renumbered, "numbers binary"))
     lift, size, wide = first_lift(counted), len(counted.names), [f"c{i}" for i in range(max(width, 3))]
     for turn in range(ROUNDS + 1):
         sent_out = spark.sparkContext.broadcast(lift)
 
-        def expect(batches: Iterator[pd.DataFrame], turn: int = turn, sent_out=sent_out) -> Iterator[pd.DataFrame]:
+        def expect(batches: Iterator[pa.RecordBatch], turn: int = turn, sent_out=sent_out) -> Iterator[pa.RecordBatch]:
             counts, of_terms = np.zeros((size, width)), np.zeros((len(terms), 3))
-            for chunk in (c for batch in batches for c in batch.to_dict("records")):
+            for chunk in _unpacked(batches):
                 read = read_of(chunk, column)
                 share = expected(read, sent_out.value, terms, place, _SEEDING.get(turn, 0.0))
-                counts += by_feature(read, share, size)
+                counts[read.places] += by_feature(read, share)
                 if turn == ROUNDS:
                     of_terms += by_term(read, share, place)
             for kind, table in ((0, counts), (1, of_terms)):
                 held = np.flatnonzero(table.any(axis=1))
                 if len(held):
-                    filled = np.zeros((len(held), len(wide)))
-                    filled[:, : table.shape[1]] = table[held]
-                    yield pd.DataFrame(filled, columns=wide).assign(kind=kind, place=held)
+                    filled = np.zeros((len(wide), len(held)))
+                    filled[: table.shape[1]] = table[held].T
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, filled), pa.array(np.full(len(held), kind), pa.int32()), pa.array(held)], names=[*wide, "kind", "place"])
 
-        part = numbers.mapInPandas(expect, ", ".join(f"{c} double" for c in wide) + ", kind int, place long")
+        part = numbers.mapInArrow(expect, ", ".join(f"{c} double" for c in wide) + ", kind int, place long")
         got = part.groupBy("kind", "place").agg(*(F.sum(c).alias(c) for c in wide)).toArrow().to_pandas()
         sent_out.unpersist()
         words, marks = got[got["kind"] == 0], got[got["kind"] == 1]
@@ -408,30 +492,35 @@ def learned_terms(documents: DataFrame, labels: DataFrame, terms: tuple[Term, ..
 
 
 def term_sentences(documents: DataFrame, terms: tuple[Term, ...], doc_id: str, text: str) -> DataFrame:
-    """doc_id, sentences, and the distinct sets of terms with how many sentences hold each: one pass over whole texts."""
+    """doc_id, sentences, the terms of each sentence that has some, one after another, and their numbers: one pass over whole texts."""
     id_type = documents.schema[doc_id].dataType.simpleString()
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = lexicon_of(terms)
         for batch in batches:
-            rows = []
-            for doc, body in zip(batch["doc_id"], batch["text"]):
-                n, sets = lexicon.sentences(body)
-                counts = Counter(sets)
-                rows.append((doc, n, [list(s) for s in counts], list(counts.values())))
-            yield pd.DataFrame(rows, columns=["doc_id", "sentences", "sets", "times"])
+            hits = lexicon.read(batch.column("text").to_pylist())
+            doc, docs = _spread(hits.sentences), batch.num_rows
+            size = np.bincount(hits.sent, minlength=len(doc))
+            filled = np.flatnonzero(size)
+            of_docs = [np.bincount(doc[x], minlength=docs) for x in (hits.sent, filled)]
+            columns = [batch.column("doc_id"), pa.array(hits.sentences, pa.int32()), _lists(hits.term, of_docs[0]), _lists(size[filled], of_docs[1])]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "sentences", "terms", "sizes"])
 
     read = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return read.mapInPandas(scan, f"doc_id {id_type}, sentences int, sets array<array<int>>, times array<int>")
+    return read.mapInArrow(scan, f"doc_id {id_type}, sentences int, terms array<int>, sizes array<int>")
+
+
+def sentences_about(sent: np.ndarray, weight: np.ndarray, column: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """For each sentence and subject whether it has the sentence's highest sum of weights and that reaches SENTENCE."""
+    sums = np.bincount(sent * shape[1] + column, weight, shape[0] * shape[1]).reshape(shape)
+    return (sums >= SENTENCE) & (sums >= sums.max(axis=1, keepdims=True) - 1e-9)
 
 
 def sentence_subjects(terms: tuple[int, ...], owner: list[int], weight: list[float]) -> tuple[int, ...]:
-    """The subjects with the highest sum of weights, if it reaches SENTENCE."""
-    sums: dict[int, float] = defaultdict(float)
-    for t in terms:
-        sums[owner[t]] += weight[t]
-    top = max(sums.values())
-    return tuple(s for s, v in sums.items() if v >= SENTENCE and v >= top - 1e-9)
+    """The subjects of one sentence by its terms."""
+    owners, column = np.unique([owner[t] for t in terms], return_inverse=True)
+    about = sentences_about(np.zeros(len(terms), dtype=np.int64), np.array([weight[t] for t in terms]), column, (1, len(owners)))
+    return tuple(owners[about[0]].tolist())
 
 
 def subject_shares(scanned: DataFrame, terms: tuple[Term, ...]) -> DataFrame:
@@ -441,26 +530,28 @@ def subject_shares(scanned: DataFrame, terms: tuple[Term, ...]) -> DataFrame:
     about the subject with the highest sum, if that reaches SENTENCE; equal sums count for each.
     """
     total = scanned.count()
-    used = scanned.select(F.explode(F.array_distinct(F.flatten("sets"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    used = scanned.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     found = {r["term"]: log1p(total / r["df"]) for r in used.collect()}  # one row per term of the lexicon
     usual = sorted(found.values())[len(found) // 2] if found else 1.0
-    weight = [w * min(1.5, max(0.5, found.get(i, usual) / usual)) for i, (_, w, _) in enumerate(terms)]
-    owner = [s for s, _, _ in terms]
+    weight = np.array([w * min(1.5, max(0.5, found.get(i, usual) / usual)) for i, (_, w, _) in enumerate(terms)])
+    owners, _, place = _classes(terms)
+    owner, place, width = _ints(owners), place - 1, len(owners)
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        about = lru_cache(maxsize=200_000)(lambda terms: sentence_subjects(terms, owner, weight))
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for doc, n, sets, times in zip(batch["doc_id"], batch["sentences"], batch["sets"], batch["times"]):
-                counts: dict[int, int] = defaultdict(int)
-                for terms, k in zip(sets, times):
-                    for s in about(tuple(terms)):
-                        counts[s] += int(k)
-                rows += [(doc, s, k, k / n) for s, k in counts.items()]
-            yield pd.DataFrame(rows, columns=["doc_id", "subject_id", "hits", "share"])
+            for rows in _slices(batch.column("sizes").value_lengths().to_pylist(), SLICE_SENTENCES):
+                part = batch.slice(rows.start, rows.stop - rows.start)
+                term, size = _ints(part.column("terms").flatten()), _ints(part.column("sizes").flatten())
+                doc = _spread(part.column("sizes").value_lengths())
+                sent, subject = np.nonzero(sentences_about(_spread(size), weight[term], place[term], (len(size), width)))
+                counts = np.bincount(doc[sent] * width + subject, minlength=part.num_rows * width).reshape(part.num_rows, width)
+                doc, subject = np.nonzero(counts)
+                hits = counts[doc, subject]
+                columns = [part.column("doc_id").take(pa.array(doc)), pa.array(owner[subject]), pa.array(hits, pa.int32()), pa.array(hits / _ints(part.column("sentences"))[doc])]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "subject_id", "hits", "share"])
 
     id_type = scanned.schema["doc_id"].dataType.simpleString()
-    return scanned.where("sentences > 0 AND size(sets) > 0").mapInPandas(score, f"doc_id {id_type}, subject_id long, hits int, share double")
+    return scanned.where("sentences > 0 AND size(terms) > 0").mapInArrow(score, f"doc_id {id_type}, subject_id long, hits int, share double")
 
 
 def calibrated(shares: DataFrame, labels: DataFrame, doc_id: str, subject_id: str) -> dict[int, float]:
@@ -502,8 +593,10 @@ def subjects_of(documents: DataFrame, subjects: DataFrame, labels: DataFrame | N
     if labels is not None and terms:
         terms = learned_terms(documents, labels, terms, doc_id, text)
     scanned = cut_lineage(term_sentences(documents, terms, doc_id, text))
-    shares = subject_shares(scanned, terms)
-    cuts = calibrated(shares, labels, "doc_id", "subject_id") if labels is not None else {}
+    shares, cuts = subject_shares(scanned, terms), {}
+    if labels is not None:
+        shares = cut_lineage(shares)  # read twice
+        cuts = calibrated(shares, labels, "doc_id", "subject_id")
     least = F.lit(SHARE - 1e-9)
     for subject, cut in cuts.items():
         least = F.when(F.col("subject_id") == subject, F.lit(cut)).otherwise(least)

@@ -1,5 +1,10 @@
+import random
+import re
+
+import numpy as np
 from pyspark.sql import functions as F
 
+from ledgerloom.llm import subjects as module
 from ledgerloom.llm.subjects import Lexicon, calibrated, curated_terms, fit_terms, learned_terms, plain_text, sentence_subjects, subjects_of
 from ledgerloom.session import table
 
@@ -88,3 +93,67 @@ def test_thresholds_are_told_by_every_labelled_document(spark):
     ids = by_hash(spark, 24_000)
     shares = spark.createDataFrame([(i, 1, 2, 0.155 if n >= 20_000 else 0.2) for n, i in enumerate(ids)], "doc_id long, subject_id long, hits int, share double")
     assert 0.15 < calibrated(shares, spark.createDataFrame([(i, 1) for i in ids], "doc_id long, subject_id long"), "doc_id", "subject_id")[1] <= 0.155
+
+
+def slow_plain(text):
+    """`plain_text` said with patterns alone."""
+    text, parts, ends, at = re.sub("[\u00ad\u200b-\u200d\u2060\ufeff]", "", text), [], [], 0
+    for paragraph in re.split(r"\n[ \t\r\xa0]*\n\s*", re.sub(r"\d+(?:[./:]\d+)*", "#", text.lower().replace("\r\n", "\n"))):
+        line = f" {' '.join(paragraph.split())} "
+        found = [at + m.end() for m in re.finditer(r"[.!?][\"'”»)]*(?= )", line)]
+        if found:
+            parts, ends, at = [*parts, line], ends + found, at + len(line)
+    return "".join(parts), ends
+
+
+def odd_texts(n):
+    rng = random.Random(5)
+    bits = ["vlan", "Firewall", "spanning tree", "spanning, tree", "3.4", "٣.5", "12:30/", "#", "x-y", "don't", "Ünïcode", "\u200b", "İ", ".", "!", "?”", ".)", ". ", ",", " ", "  ", "\n", "\n \n", "\r\n\r\n", "\t", "\xa0", "\x1f", "\x0c", "\u2003", "the", "attacker", "root."]
+    return [None, "", "no stop", "One. Two left", "vlan", *("".join(rng.choice(bits) + rng.choice(["", " "]) for _ in range(rng.randint(0, 60))) for _ in range(n))]
+
+
+def test_many_texts_at_once_are_read_as_each_alone(monkeypatch):
+    """Sentences, terms, words and pairs, however texts are put together."""
+    terms = (*curated_terms(((1, "switching and routing", ""), (3, "security", ""))), (1, 2.0, " the attacker "), (3, 0.6, " the attacker "), (3, 2.0, "ünï"))
+    lexicon, texts = Lexicon(terms), odd_texts(400)
+    sentences, hits, features = [], [], []
+    for text in texts:
+        plain, ends = plain_text(text or "")
+        assert (plain, ends) == slow_plain(text or "")
+        flat = re.sub("[.,;:!?()\\[\\]{}<>|*_\"'“”„‘’«»`~…–—•]", " ", plain)
+        own = [flat[a:b] for a, b in zip([0, *ends], ends)]
+        sentences.append(len(own))
+        hits += [[t for t, (_, _, term) in enumerate(terms) if term in sentence + " "] for sentence in own]
+        words = [[part.split() for part in sentence.split("  ")] for sentence in own]
+        features += [{f" {w} " for part in parts for w in part} | {f" {a} {b} " for part in parts for a, b in zip(part, part[1:])} for parts in words]
+    for most in (1, 500, 1 << 20):
+        monkeypatch.setattr(module, "SLICE_CHARS", most)
+        got = lexicon.read(texts)
+        assert got.sentences.tolist() == sentences and sum(map(bool, hits)) > 100
+        assert list(zip(got.sent.tolist(), got.term.tolist())) == [(i, t) for i, held in enumerate(hits) for t in held]
+    chunk = module.chunk_of(texts, [{1}] * len(texts), lexicon)
+    edges = np.cumsum(chunk["sizes"])[:-1]
+    assert [{chunk["features"][f] for f in held} for held in np.split(chunk["feats"], edges)] == features and len(chunk["feats"]) == sum(map(len, features))
+    assert len(set(chunk["features"])) == len(chunk["features"])
+
+
+def test_work_on_a_chunk_does_not_grow_with_all_features():
+    """Sums over sentences have a row for each feature of the chunk, in the order of their numbers."""
+    lexicon, column = Lexicon(curated_terms(((1, "switching and routing", ""),))), {1: 1}
+    chunk = module.chunk_of(["One vlan here. Two here."], [{1}], lexicon)
+    number = np.array([{" here ": 70_000, " one ": 5}.get(f, -1) for f in chunk["features"]])
+    read = module.read_of(module.numbered(chunk, number), column)
+    assert read.places.tolist() == [5, 70_000] and module.by_feature(read, np.array([[0.25, 0.75], [1.0, 0.0]])).tolist() == [[0.25, 0.75], [1.25, 0.75]]
+
+
+def test_sentences_are_scored_once(spark):
+    """Calibration and result read the same written shares; ids may be of any type."""
+    docs = spark.createDataFrame([("a", ROUTING * 2 + PLAIN * 9), ("b", PLAIN), ("a", ROUTING), (None, ROUTING)], "doc_id string, text string")
+    labels = spark.createDataFrame([("a", 1), ("b", 3)], "doc_id string, subject_id long")
+    found = subjects_of(docs, spark.createDataFrame(SUBJECTS, "subject_id long, subject string, description string"), labels)
+    assert "MapIn" not in found._jdf.queryExecution().toString()
+    assert sorted((r["doc_id"] or "", r["subject_id"], round(r["share"], 6)) for r in found.collect()) == [("", 1, 1.0), ("a", 1, round(2 / 11, 6)), ("a", 1, 1.0)]
+
+
+def test_slices():
+    assert [(s.start, s.stop) for s in module._slices([3, 0, 4, 9, 0, 1, 1], 5)] == [(0, 2), (2, 3), (3, 4), (4, 7)] and not list(module._slices([], 5))
